@@ -35,39 +35,46 @@ def chunk_span(back: int, ahead: int, span: int | None = None) -> int:
     return span or max(CHUNK_SLOTS, 4 * (back + ahead))
 
 
+Stage = Callable[[WindowSpec], dict[str, Column]]
+
+
 def over_slots(
     df: DataFrame,
     series: Sequence[str],
     minutes: int,
     back: int,
     ahead: int,
-    columns: Callable[[WindowSpec], dict[str, Column]],
+    columns: Stage | Sequence[Stage],
     ts: str = "ts",
     span: int | None = None,
 ) -> DataFrame:
     """Add window columns that look at most `back` slots behind and `ahead` slots forward.
 
-    `df` must hold one row per (series, slot) on a regular grid.
+    `df` must hold one row per (series, slot) on a regular grid. `columns` is one function from the
+    window to new columns, or several applied in turn so that later ones may use earlier results;
+    all share one shuffle and one sort. Columns named with a leading underscore are not returned.
     """
     span = chunk_span(back, ahead, span)
-    slot, home = F.col("_slot"), F.floor(F.col("_slot") / F.lit(span)).cast("long")
-    offset = slot - home * span
+    home = F.floor(F.col("_slot") / F.lit(span)).cast("long")
+    offset = F.col("_slot") - home * span
     homes = [home]
     if back:
         homes.append(F.when(offset >= span - back, home + 1))
     if ahead:
         homes.append(F.when(offset < ahead, home - 1))
-    spread = df.withColumn("_slot", slot_of(F.col(ts), minutes)).withColumn(
+    frame = df.withColumn("_slot", slot_of(F.col(ts), minutes)).withColumn(
         "_chunk", F.explode(F.array_compact(F.array(*homes)))
     )
     window = Window.partitionBy(*series, "_chunk").orderBy("_slot")
-    added = columns(window)
-    kept = [c for c in df.columns if c not in added]
-    return (
-        spread.select(*kept, "_slot", "_chunk", *[c.alias(name) for name, c in added.items()])
-        .where(F.col("_chunk") == F.floor(F.col("_slot") / F.lit(span)).cast("long"))
-        .select(*kept, *added)
-    )
+    names = list(df.columns)
+    for stage in [columns] if callable(columns) else columns:
+        added = stage(window)
+        names = [c for c in names if c not in added] + [c for c in added if not c.startswith("_")]
+        frame = frame.select(
+            *[c for c in frame.columns if c not in added],
+            *[c.alias(name) for name, c in added.items()],
+        )
+    return frame.where(F.col("_chunk") == home).select(*names)
 
 
 def regular_slots(

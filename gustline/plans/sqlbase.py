@@ -87,3 +87,30 @@ SELECT *,
        CAST(ts >= (SELECT least(TIMESTAMP '2024-01-29', max(ts)) FROM t_raw) AS INTEGER) AS is_simulated
 FROM t_filled
 """)
+cte("t_bounds", "SELECT min(ts) AS lo, max(ts) AS hi, date_diff('minute', min(ts), max(ts)) // 10 + 1 AS n FROM t_raw")
+cte("t_farm", """
+SELECT ts, sum(power) AS farm_total_power, avg(power) AS farm_avg_power, avg(wind_speed) AS farm_avg_wind
+FROM t_clean GROUP BY ts
+""")
+cte("t_series", """
+SELECT turbine_id AS series_id, ts, power, wind_speed, is_observed, is_imputed, is_simulated FROM t_clean
+UNION ALL
+SELECT 'farm_total_power', ts, sum(power), avg(wind_speed), max(is_observed), min(is_imputed), max(is_simulated)
+FROM t_clean GROUP BY ts
+""")
+cte("t_split", """
+SELECT s.*, CASE WHEN pos < floor(n * 0.7::DOUBLE) THEN 'train'
+                 WHEN pos < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'validation' ELSE 'test' END AS split
+FROM (SELECT t_series.*, n, date_diff('minute', lo, ts) // 10 AS pos FROM t_series, t_bounds) s
+""")
+cte("t_horizon", """
+SELECT * FROM (VALUES ('10min', 1), ('30min', 3), ('1hour', 6), ('6hour', 36), ('24hour', 144)) v(horizon, steps)
+""")
+cte("t_target", """
+SELECT s.series_id, s.ts, s.power, s.wind_speed, s.is_observed, s.is_imputed, s.is_simulated, s.split, s.pos,
+       h.horizon, h.steps, f.power AS y_true, s.roll6
+FROM (SELECT *, avg(power) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS roll6
+      FROM t_split) s
+CROSS JOIN t_horizon h
+LEFT JOIN t_series f ON f.series_id = s.series_id AND f.ts = s.ts + h.steps * INTERVAL '10 minutes'
+""")
