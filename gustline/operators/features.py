@@ -61,26 +61,33 @@ def rolling_stages(names: Sequence[str], windows: Sequence[int]) -> list:
         return stage
 
     def merged(small: int, w: int):
-        def stage(_):
+        def copies(name):
+            return [F.col(name)] + [F.col(f"{name}_{k}") for k in range(1, w // small)]
+
+        def sums(_):
             out = {}
             for c in names:
-                def copies(name):
-                    return [F.col(name)] + [F.col(f"{name}_{k}") for k in range(1, w // small)]
-
-                n, total, m2, low, high = (copies(name) for name in parts(c, small))
-                zero = F.lit(0.0)
-                count = sum((F.coalesce(x, F.lit(0)) for x in n), F.lit(0))
-                amount = sum((F.coalesce(x, zero) for x in total), zero)
-                mean = F.try_divide(amount, count)
-                spread = sum((F.coalesce(x, zero) for x in m2), zero)
+                n, total, _m2, low, high = (copies(name) for name in parts(c, small))
+                out |= {
+                    f"_{c}_{w}_n": sum((F.coalesce(x, F.lit(0)) for x in n), F.lit(0)),
+                    f"_{c}_{w}_sum": sum((F.coalesce(x, F.lit(0.0)) for x in total), F.lit(0.0)),
+                    f"_{c}_{w}_min": F.least(*low),
+                    f"_{c}_{w}_max": F.greatest(*high),
+                }
+            return out
+
+        def spreads(_):
+            out = {}
+            for c in names:
+                n, total, m2, _low, _high = (copies(name) for name in parts(c, small))
+                mean = F.try_divide(F.col(f"_{c}_{w}_sum"), F.col(f"_{c}_{w}_n"))
+                spread = sum((F.coalesce(x, F.lit(0.0)) for x in m2), F.lit(0.0))
                 for size, part in zip(n, total, strict=True):
                     gap = F.try_divide(part, size) - mean
-                    spread = spread + F.coalesce(size * gap * gap, zero)
-                out |= dict(zip(
-                    parts(c, w),
-                    [count, amount, spread, F.least(*low), F.greatest(*high)], strict=True))
+                    spread = spread + F.coalesce(size * gap * gap, F.lit(0.0))
+                out[f"_{c}_{w}_m2"] = spread
             return out
-        return stage
+        return [sums, spreads]
 
     def finished(w: int):
         def stage(_):
@@ -99,7 +106,7 @@ def rolling_stages(names: Sequence[str], windows: Sequence[int]) -> list:
     stages, previous = [], None
     for w in sizes:
         if previous and w % previous == 0:
-            stages += [shifted(previous, w), merged(previous, w)]
+            stages += [shifted(previous, w), *merged(previous, w)]
         else:
             stages.append(direct(w))
         stages.append(finished(w))

@@ -59,6 +59,16 @@ def split_by_rows(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame
     return df.join(named, "ts")
 
 
+def _placed(df: DataFrame, bounds: Bounds, settings: FarmSettings) -> tuple[DataFrame, Column, Column]:
+    """Rows with their position and the number of slots, each read once."""
+    low_high = F.struct(bounds[0].alias("lo"), bounds[1].alias("hi"))
+    placed = df.withColumn("_b", low_high).withColumns({
+        "_pos": slot_of(F.col("ts"), settings.interval_minutes) - F.col("_b.lo"),
+        "_n": F.col("_b.hi") - F.col("_b.lo") + 1,
+    })
+    return placed, F.col("_pos"), F.col("_n")
+
+
 def fold_bounds(n: Column, n_folds: int = 5) -> list[tuple[Column, Column, Column]]:
     """Row positions (train_end, val_end, test_end) of each walk-forward fold."""
     folds = []
@@ -76,8 +86,7 @@ def walk_forward(df: DataFrame, bounds: Bounds, settings: FarmSettings = DEFAULT
 
     Folds are a handful of literal ranges, so rows are copied by an explode and never joined.
     """
-    n = bounds[1] - bounds[0] + 1
-    position = slot_of(F.col("ts"), settings.interval_minutes) - bounds[0]
+    placed, position, n = _placed(df, bounds, settings)
     parts = []
     for i, (train_end, val_end, test_end) in enumerate(fold_bounds(n, n_folds), start=1):
         usable = (
@@ -89,22 +98,21 @@ def walk_forward(df: DataFrame, bounds: Bounds, settings: FarmSettings = DEFAULT
             .when(position < test_end, "test")
         )
         parts.append(F.when(usable & part.isNotNull(), F.struct(F.lit(i).alias("fold"), part.alias("part"))))
-    return df.withColumn("_f", F.explode(F.array_compact(F.array(*parts)))).select(
+    return placed.withColumn("_f", F.explode(F.array_compact(F.array(*parts)))).select(
         *df.columns, "_f.fold", "_f.part"
     )
 
 
 def cv_folds(df: DataFrame, bounds: Bounds, k: int = 3, settings: FarmSettings = DEFAULTS) -> DataFrame:
     """Expanding-window cross-validation: k equal test blocks at the end, train on all before."""
-    n = bounds[1] - bounds[0] + 1
-    position = slot_of(F.col("ts"), settings.interval_minutes) - bounds[0]
+    placed, position, n = _placed(df, bounds, settings)
     block = F.floor(n / F.lit(k + 1))
     parts = []
     for i in range(k):
         start = n - block * (k - i)
         part = F.when(position < start, "train").when(position < start + block, "test")
         parts.append(F.when(part.isNotNull(), F.struct(F.lit(i + 1).alias("fold"), part.alias("part"))))
-    return df.withColumn("_f", F.explode(F.array_compact(F.array(*parts)))).select(
+    return placed.withColumn("_f", F.explode(F.array_compact(F.array(*parts)))).select(
         *df.columns, "_f.fold", "_f.part"
     )
 

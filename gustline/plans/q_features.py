@@ -39,8 +39,8 @@ def _rolling_sql():
     for c in MAIN:
         for w in DERIVED.windows:
             over = f"OVER (PARTITION BY turbine_id ORDER BY ts ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
-            cols += [f"round(avg({c}) {over}, 6) AS {c}_roll{w}_mean", f"min({c}) {over} AS {c}_roll{w}_min",
-                     f"max({c}) {over} AS {c}_roll{w}_max", f"round(stddev_samp({c}) {over}, 4) AS {c}_roll{w}_std"]
+            cols += [f"avg({c}) {over} AS {c}_roll{w}_mean", f"min({c}) {over} AS {c}_roll{w}_min",
+                     f"max({c}) {over} AS {c}_roll{w}_max", f"round(stddev_samp({c}) {over}, 7) AS {c}_roll{w}_std"]
     return ", ".join(cols)
 
 
@@ -49,8 +49,7 @@ def e2(spark, sf):
     df = clean_frame(spark, sf).select("turbine_id", "ts", *MAIN)
     out = over_slots(df, ["turbine_id"], 10, max(DERIVED.windows), 0,
                      E.rolling_stages(MAIN, DERIVED.windows)).drop(*MAIN)
-    return out.withColumns({c: F.round(c, 4 if c.endswith("_std") else 6)
-                            for c in out.columns if c.endswith(("_std", "_mean"))})
+    return out.withColumns({c: F.round(c, 7) for c in out.columns if c.endswith("_std")})
 
 
 @query("e3_changes", """
@@ -138,7 +137,7 @@ _FEATURES = ("power_lag1", "power_lag144", "wind_speed_lag12", "power_roll6_mean
 @query("e10_feature_matrix", """
 SELECT turbine_id, c.ts, lag(power, 1) OVER w AS power_lag1, lag(power, 144) OVER w AS power_lag144,
   lag(wind_speed, 12) OVER w AS wind_speed_lag12,
-  round(avg(power) OVER (PARTITION BY turbine_id ORDER BY c.ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), 6) AS power_roll6_mean,
+  avg(power) OVER (PARTITION BY turbine_id ORDER BY c.ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS power_roll6_mean,
   max(power) OVER (PARTITION BY turbine_id ORDER BY c.ts ROWS BETWEEN 144 PRECEDING AND 1 PRECEDING) AS power_roll144_max,
   min(temperature) OVER (PARTITION BY turbine_id ORDER BY c.ts ROWS BETWEEN 36 PRECEDING AND 1 PRECEDING) AS temperature_roll36_min,
   power - lag(power, 3) OVER w AS power_diff3, abs(power - lag(power, 1) OVER w) / 10 AS power_ramp_abs,
@@ -147,8 +146,7 @@ FROM t_clean c JOIN t_farm f ON f.ts = c.ts WINDOW w AS (PARTITION BY turbine_id
 def e10(spark, sf):
     df = clean_frame(spark, sf)
     out = E.feature_matrix(df, C.farm_frame(df), DERIVED)
-    return out.select("turbine_id", "ts", *_FEATURES, "farm_avg_power").withColumn(
-        "power_roll6_mean", F.round("power_roll6_mean", 6))
+    return out.select("turbine_id", "ts", *_FEATURES, "farm_avg_power")
 
 
 @query("e10_farm_scope", """

@@ -31,11 +31,11 @@ SELECT 'TB' || lpad(CAST(user_id // 30 + 1 AS VARCHAR), 5, '0') AS turbine_id,
        time_bucket(INTERVAL '10 minutes', ts) AS ts,
        event_id % 2 AS reading_no,
        CAST(sum(c) FILTER (event_type IN ('view', 'click', 'signup'))
-            // count(c) FILTER (event_type IN ('view', 'click', 'signup')) AS DOUBLE) / 512 AS wind_speed,
+            // (16 * count(c) FILTER (event_type IN ('view', 'click', 'signup'))) AS DOUBLE) / 32 AS wind_speed,
        CAST(sum(c) FILTER (event_type IN ('error', 'click', 'signup'))
-            // count(c) FILTER (event_type IN ('error', 'click', 'signup')) AS DOUBLE) / 256 - 15 AS temperature,
+            // (16 * count(c) FILTER (event_type IN ('error', 'click', 'signup'))) AS DOUBLE) / 16 - 15 AS temperature,
        CAST(sum(c) FILTER (event_type IN ('purchase', 'signup', 'click')) AS DOUBLE) / 4 - 40 AS power,
-       CAST(sum(c) // count(c) AS DOUBLE) / 1024 + 46 AS frequency
+       CAST(sum(c) // (64 * count(c)) AS DOUBLE) / 16 + 46 AS frequency
 FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events)
 GROUP BY 1, 2, 3
 """)
@@ -114,3 +114,34 @@ FROM (SELECT *, avg(power) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN
 CROSS JOIN t_horizon h
 LEFT JOIN t_series f ON f.series_id = s.series_id AND f.ts = s.ts + h.steps * INTERVAL '10 minutes'
 """)
+
+cte("t_rated", "SELECT 2200.0::DOUBLE * count(DISTINCT turbine_id) AS farm_rated FROM t_raw")
+cte("t_fit", """
+SELECT series_id, horizon, count(*) AS n, avg(y_true) AS y_mean,
+  avg(power) AS x_mean, stddev_pop(power) AS x_std, covar_pop(power, y_true) AS xy,
+  regr_slope(y_true, wind_speed) AS wind_slope, regr_intercept(y_true, wind_speed) AS wind_intercept,
+  regr_slope(y_true, roll6) AS roll_slope, regr_intercept(y_true, roll6) AS roll_intercept
+FROM t_target WHERE split = 'train' AND power IS NOT NULL AND wind_speed IS NOT NULL AND roll6 IS NOT NULL
+  AND y_true IS NOT NULL GROUP BY ALL
+""")
+cte("t_pred", """
+SELECT t.*, m.model, CASE m.model WHEN 'persistence' THEN power
+    WHEN 'ridge' THEN y_mean + (n * xy / x_std / (n + 1.0::DOUBLE)) * (power - x_mean) / x_std
+    WHEN 'linear_wind' THEN wind_intercept + wind_slope * wind_speed
+    ELSE roll_intercept + roll_slope * roll6 END AS y_pred,
+  CASE WHEN t.series_id = 'farm_total_power' THEN farm_rated ELSE 2200.0::DOUBLE END AS rated
+FROM t_target t JOIN t_fit f ON f.series_id = t.series_id AND f.horizon = t.horizon
+CROSS JOIN (VALUES ('persistence'), ('ridge'), ('linear_wind'), ('linear_roll')) m(model)
+CROSS JOIN t_rated
+""")
+cte("t_test", """
+SELECT * FROM t_pred WHERE split = 'test' AND is_observed = 1 AND is_imputed = 0 AND is_simulated = 0
+  AND y_true IS NOT NULL AND y_pred IS NOT NULL
+""")
+cte("t_metrics", """
+SELECT series_id, horizon, model, avg(abs(y_pred - y_true)) AS mae, sqrt(avg((y_pred - y_true) ** 2)) AS rmse,
+  avg(abs(y_pred - y_true)) / min(rated) * 100 AS nmae_pct, sqrt(avg((y_pred - y_true) ** 2)) / min(rated) * 100 AS nrmse_pct,
+  avg(y_pred - y_true) AS bias, 1 - sum((y_pred - y_true) ** 2) / (var_pop(y_true) * count(*)) AS r2,
+  max(abs(y_pred - y_true)) AS max_error, count(*) AS n_samples
+FROM t_test GROUP BY ALL
+""")

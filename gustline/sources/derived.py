@@ -7,6 +7,8 @@ sums are then exact in any order of addition.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,14 @@ from gustline.functions.timeline import slot_of, slot_start
 from gustline.settings import FarmSettings
 
 # Report date that falls inside the span of the given tables.
-DERIVED = FarmSettings(report_date="2024-01-29", n_turbines=5)
+DERIVED = FarmSettings(report_date="2024-01-29")
+
+
+def settings_for(spark: SparkSession, sf_dir: str) -> FarmSettings:
+    """Settings whose turbine count is that of the table."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    n = events.select(F.expr("user_id div 30")).distinct().count()
+    return replace(DERIVED, n_turbines=n)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,8 +34,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     def of(*kinds: str):
         return F.when(F.col("event_type").isin(*kinds), cents)
 
-    def mean_of(*kinds: str):
-        return F.floor(F.sum(of(*kinds)) / F.count(of(*kinds))).cast("double")
+    def mean_of(step: int, *kinds: str):
+        return F.floor(F.sum(of(*kinds)) / (F.count(of(*kinds)) * step)).cast("double")
 
     number = F.expr("user_id div 30 + 1").cast("string")
     return events.groupBy(
@@ -34,8 +43,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         slot_start(slot_of(F.col("ts"), 10), 10).alias("ts"),
         (F.col("event_id") % 2).alias("reading_no"),
     ).agg(
-        (mean_of("view", "click", "signup") / 512).alias("wind_speed"),
-        (mean_of("error", "click", "signup") / 256 - 15).alias("temperature"),
+        (mean_of(16, "view", "click", "signup") / 32).alias("wind_speed"),
+        (mean_of(16, "error", "click", "signup") / 16 - 15).alias("temperature"),
         (F.sum(of("purchase", "signup", "click")).cast("double") / 4 - 40).alias("power"),
-        (mean_of("view", "click", "signup", "error", "purchase") / 1024 + 46).alias("frequency"),
+        (mean_of(64, "view", "click", "signup", "error", "purchase") / 16 + 46).alias("frequency"),
     )
