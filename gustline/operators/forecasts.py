@@ -86,7 +86,7 @@ def quality(minutes: Column) -> Column:
 def daily_forecast(intervals: DataFrame) -> DataFrame:
     """Mean forecast and bounds per day, series, horizon and model, clipped to the series' rated power."""
     rows = intervals.withColumn("horizon_min", horizon_minutes(F.col("horizon")))
-    day = F.to_date("ts")
+    day = F.to_date("ts").cast("timestamp_ntz")
     out = rows.groupBy(
         day.alias("day"), "series_id", "horizon_min", "model", quality(F.col("horizon_min")).alias("forecast_quality"),
     ).agg(

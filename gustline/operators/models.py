@@ -80,7 +80,7 @@ def fit_linear(train: DataFrame, features: Sequence[str], alpha: float = 0.0,
     rows = training_frame(train, features, target)
     size = len(features)
 
-    def solve(key, cells: pd.DataFrame) -> pd.DataFrame:
+    def solve(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         gram = np.zeros((size + 2, size + 2))
         gram[cells.i, cells.j] = cells.total
         gram[cells.j, cells.i] = cells.total

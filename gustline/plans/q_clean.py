@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from gustline.operators import cleaning as C
 from gustline.plans.registry import query
+from gustline.plans.stages import stage
 from gustline.settings import SENSORS
 from gustline.sources.derived import DERIVED, readings
 
 
 def clean_frame(spark, sf):
-    return C.clean(readings(spark, sf), DERIVED)
+    return stage(spark, sf, "clean", lambda: C.clean(readings(spark, sf), DERIVED))
 
 
 def unique_frame(spark, sf):
@@ -103,4 +104,4 @@ def d9(spark, sf):
 
 @query("d10_clean_chain", "SELECT * FROM t_clean")
 def d10(spark, sf):
-    return clean_frame(spark, sf)
+    return C.clean(readings(spark, sf), DERIVED)

@@ -10,6 +10,7 @@ from gustline.operators import features as E
 from gustline.operators import splits as S
 from gustline.plans.q_clean import clean_frame
 from gustline.plans.registry import query
+from gustline.plans.stages import stage
 from gustline.settings import HORIZONS, SENSORS
 from gustline.sources.derived import DERIVED, readings
 
@@ -115,6 +116,10 @@ def e8(spark, sf):
 
 
 def series_targets(spark, sf):
+    return stage(spark, sf, "targets", lambda: build_targets(spark, sf))
+
+
+def build_targets(spark, sf):
     """(series_id, ts, split, horizon, steps, power, y_true, roll6, flags) over turbines and farm."""
     series = C.series_frame(clean_frame(spark, sf), farm_flags="all")
 
@@ -127,7 +132,7 @@ def series_targets(spark, sf):
 
 @query("e9_targets", "SELECT series_id, ts, split, horizon, steps, y_true FROM t_target")
 def e9(spark, sf):
-    return series_targets(spark, sf).select("series_id", "ts", "split", "horizon", "steps", "y_true")
+    return build_targets(spark, sf).select("series_id", "ts", "split", "horizon", "steps", "y_true")
 
 
 _FEATURES = ("power_lag1", "power_lag144", "wind_speed_lag12", "power_roll6_mean", "power_roll144_max",

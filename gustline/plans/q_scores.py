@@ -13,6 +13,7 @@ from gustline.plans.q_clean import clean_frame
 from gustline.plans.q_features import bounds, series_targets
 from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
+from gustline.plans.stages import stage, value
 from gustline.settings import HORIZONS
 from gustline.sources.derived import DERIVED, settings_for
 
@@ -28,8 +29,13 @@ def r4(names, prefix=""):
     return ", ".join(f"round({prefix}{n}, 4) AS {n}" for n in names)
 
 
+def farm_settings(spark, sf):
+    return value(spark, sf, "settings", lambda: settings_for(spark, sf))
+
+
 def predictions(spark, sf):
-    return G.base_predictions(series_targets(spark, sf), settings_for(spark, sf))
+    return stage(spark, sf, "predictions", lambda: G.base_predictions(
+        series_targets(spark, sf), farm_settings(spark, sf)))
 
 
 def official(spark, sf):
@@ -163,7 +169,7 @@ SELECT f.*, greatest(CASE WHEN n < 10 AND coalesce(s0, 0) = 0 THEN predicted * 0
 FROM t_fc f JOIN t_spread s ON s.series_id = f.series_id AND s.horizon = f.horizon AND s.model = f.model
 """)
 cte("t_daily", """
-SELECT CAST(ts AS DATE) AS day, series_id, CASE horizon WHEN '10min' THEN 10 WHEN '30min' THEN 30 WHEN '1hour' THEN 60
+SELECT date_trunc('day', ts)::TIMESTAMP AS day, series_id, CASE horizon WHEN '10min' THEN 10 WHEN '30min' THEN 30 WHEN '1hour' THEN 60
     WHEN '6hour' THEN 360 ELSE 1440 END AS horizon_min, model,
   CASE WHEN horizon IN ('6hour', '24hour') THEN 'reference_only' ELSE 'production' END AS forecast_quality,
   avg(predicted) AS y_pred, greatest(avg(y_low), 0) AS y_low, least(avg(y_high), max(rated)) AS y_high
@@ -190,18 +196,18 @@ def daily_source(spark, sf):
 
 
 @query("h5_daily_power", """
-SELECT day, series_id, horizon_min, model, forecast_quality, round(y_pred, 4) AS y_pred, round(y_low, 4) AS y_low,
-  round(y_high, 4) AS y_high FROM t_daily WHERE series_id <> 'farm_total_power'""")
+SELECT day, series_id, horizon_min, model, forecast_quality, round(y_pred, 6) AS y_pred, round(y_low, 6) AS y_low,
+  round(y_high, 6) AS y_high FROM t_daily WHERE series_id <> 'farm_total_power'""")
 def h5(spark, sf):
-    return rounded(H.daily_power_forecast(daily_source(spark, sf)))
+    return rounded(H.daily_power_forecast(daily_source(spark, sf)), 6)
 
 
 @query("h6_daily_farm", """
-SELECT day, horizon_min, model, forecast_quality, round(y_pred, 4) AS farm_power_pred, round(y_low, 4) AS farm_power_low,
-  round(y_high, 4) AS farm_power_high, round(y_pred * horizon_min / 60, 4) AS farm_energy_pred
+SELECT day, horizon_min, model, forecast_quality, round(y_pred, 6) AS farm_power_pred, round(y_low, 6) AS farm_power_low,
+  round(y_high, 6) AS farm_power_high, round(y_pred * horizon_min / 60, 6) AS farm_energy_pred
 FROM t_daily WHERE series_id = 'farm_total_power'""")
 def h6(spark, sf):
-    return rounded(H.daily_farm_forecast(daily_source(spark, sf)))
+    return rounded(H.daily_farm_forecast(daily_source(spark, sf)), 6)
 
 
 @query("h7_quality_counts", """
@@ -257,7 +263,7 @@ def g17(spark, sf):
     requests = series_targets(spark, sf).where("split = 'test'").select("series_id", "ts", "horizon")
     scored = I.official_rows(rows)
     return rounded(G.champion_scores(
-        requests, rows, H.champions(I.metrics(scored)), H.residual_quantiles(scored), settings_for(spark, sf)))
+        requests, rows, H.champions(I.metrics(scored)), H.residual_quantiles(scored), farm_settings(spark, sf)))
 
 
 # ---- scoring
@@ -315,11 +321,11 @@ def i5(spark, sf):
 
 
 @query("i5_mask_at_target", """
-WITH moved AS (SELECT t.series_id, t.ts, t.horizon, f.is_observed, f.is_imputed, f.is_simulated, t.y_true
-  FROM t_target t LEFT JOIN t_series f ON f.series_id = t.series_id AND f.ts = t.ts + t.steps * INTERVAL '10 minutes'
-  WHERE t.split = 'test')
+WITH moved AS (SELECT series_id, horizon, split, y_true, lead(is_observed, steps) OVER w AS o,
+    lead(is_imputed, steps) OVER w AS i, lead(is_simulated, steps) OVER w AS s
+  FROM t_target WINDOW w AS (PARTITION BY series_id, horizon ORDER BY ts))
 SELECT series_id, horizon, count(*) AS n_kept, sum(y_true) AS power FROM moved
-WHERE is_observed = 1 AND is_imputed = 0 AND is_simulated = 0 AND y_true IS NOT NULL GROUP BY ALL""")
+WHERE split = 'test' AND o = 1 AND i = 0 AND s = 0 AND y_true IS NOT NULL GROUP BY ALL""")
 def i5_target(spark, sf):
     rows = I.flags_at_target(series_targets(spark, sf), DERIVED).withColumn("y_pred", F.lit(0.0))
     return I.official_rows(rows).groupBy("series_id", "horizon").agg(
@@ -446,9 +452,10 @@ SELECT t.series_id, t.horizon, t.model, l AS nominal_confidence, avg(CAST(abs(y_
   2 * max(q) AS mean_interval_width, count(*) AS n_samples, abs(avg(CAST(abs(y_pred - y_true) <= q AS INTEGER)) - l) AS calibration_error
 FROM t_test t JOIN (
   SELECT series_id, horizon, model, unnest([0.5::DOUBLE, 0.8::DOUBLE, 0.9::DOUBLE, 0.95::DOUBLE, 0.99::DOUBLE]) AS l,
-    unnest(quantile_cont(abs(y_pred - y_true), [0.5, 0.8, 0.9, 0.95, 0.99])) AS q FROM t_test GROUP BY series_id, horizon, model) q
+    unnest(qs) AS q FROM (SELECT series_id, horizon, model, quantile_cont(abs(y_pred - y_true), [0.5, 0.8, 0.9, 0.95, 0.99]) AS qs
+    FROM t_test GROUP BY series_id, horizon, model)) q
   ON q.series_id = t.series_id AND q.horizon = t.horizon AND q.model = t.model
-GROUP BY ALL
+GROUP BY t.series_id, t.horizon, t.model, l
 """)
 
 

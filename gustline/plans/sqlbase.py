@@ -23,7 +23,10 @@ def with_ctes(body: str) -> str:
 
     visit(body)
     parts = [f"{n} AS (\n{CTES[n]}\n)" for n in CTES if n in needed]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
+    body = body.strip()
+    if parts and body.startswith("WITH "):
+        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
 cte("t_raw", """

@@ -34,16 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write a stage result to the shared folder and read it back.
+def write_stage(df: DataFrame, label: str) -> str:
+    """Write a stage result to the shared folder; returns its path.
 
     A stage read by many later jobs is stored once; a lost executor then re-reads files instead
     of replaying the lineage.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    writer = df.write.mode("error")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return path
