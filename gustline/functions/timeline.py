@@ -132,3 +132,19 @@ def run_positions(
     joined = counted.join(edges, keys)
     carried = F.when(F.col("_miss") == 0, F.col("_carry")).otherwise(F.lit(0))
     return joined.select(*df.columns, (F.col("_local") + carried).cast("long").alias(name))
+
+
+def with_previous(df: DataFrame, series: Sequence[str], ts: str = "ts", days: int = 14) -> DataFrame:
+    """Add `previous`, the series' last timestamp before this one, over gaps of any length.
+
+    Neighbours are found inside fixed spans of days; the last timestamp of each span is carried to the
+    next one through a table with one row per span. `df` holds distinct (series, ts).
+    """
+    span = F.floor(minutes_since_epoch(F.col(ts)) / F.lit(days * 1440)).cast("long")
+    marked = df.withColumn("_span", span)
+    keys = [*series, "_span"]
+    local = marked.withColumn("_local", F.lag(ts).over(Window.partitionBy(*keys).orderBy(ts)))
+    edges = marked.groupBy(*keys).agg(F.max(ts).alias("_max"))
+    along = (Window.partitionBy(*series) if series else Window.partitionBy(F.lit(0))).orderBy("_span")
+    carried = edges.select(*keys, F.lag("_max").over(along).alias("_carry"))
+    return local.join(carried, keys).select(*df.columns, F.coalesce("_local", "_carry").alias("previous"))

@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from gustline.plans import q_alerts, q_clean, q_features, q_scores  # noqa: F401
+from gustline.plans import q_alerts, q_clean, q_features, q_scores, q_sources  # noqa: F401
 from gustline.plans.registry import ORACLE, QUERIES  # noqa: F401
