@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gustline.functions.joins import attach
 from gustline.functions.timeline import over_slots, run_positions
 from gustline.settings import DEFAULTS, FarmSettings
 
@@ -47,7 +48,7 @@ def _power_profile(df: DataFrame) -> DataFrame:
         F.avg("power").alias("_mean"), F.stddev_pop("power").alias("_std"), F.count("*").alias("_n"),
     ).where(F.col("_n") >= MIN_ROWS)
     z = F.abs(F.col("power") - F.col("_mean")) / (F.col("_std") + 1e-6)
-    return valid.join(stats, "turbine_id").withColumn("z_score", z)
+    return attach(valid, stats, ["turbine_id"]).withColumn("z_score", z)
 
 
 def anomaly_alerts(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame:
@@ -109,7 +110,7 @@ def failure_risk(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame:
     valid = df.where(F.col("power").isNotNull()).select("turbine_id", "ts", "power")
     stats = valid.groupBy("turbine_id").agg(F.avg("power").alias("_mean"), F.count("*").alias("_n"))
     running = stats.where((F.col("_n") >= MIN_ROWS) & (F.col("_mean") > STOP_MEAN_KW)).select("turbine_id")
-    rows = valid.join(running, "turbine_id")
+    rows = attach(valid, running, ["turbine_id"])
     counted = run_positions(
         rows, ["turbine_id"], settings.interval_minutes, F.col("power") < STOP_KW, "stop_count")
     return screening(counted.where(F.col("stop_count") > STOP_COUNT).select(
@@ -142,12 +143,12 @@ def residual_anomalies(df: DataFrame, threshold: float = Z_RESIDUAL) -> DataFram
     expected = F.when(
         F.col("_n") > 10, F.col("_intercept") + F.col("_slope") * F.coalesce("wind_speed", F.lit(0.0))
     ).otherwise(F.col("_mean"))
-    rows = df.join(fits, "turbine_id").select(
+    rows = attach(df, fits, ["turbine_id"]).select(
         "turbine_id", "ts", "power", "wind_speed", (F.col("power") - expected).alias("residual"))
     spread = rows.groupBy("turbine_id").agg(
         F.avg("residual").alias("_rm"), F.stddev_pop("residual").alias("_rs"))
     scored = F.when(F.col("_rs") > 0, F.abs(F.col("residual") - F.col("_rm")) / F.col("_rs")).otherwise(F.lit(0.0))
-    out = rows.join(spread, "turbine_id").withColumn("anomaly_score", scored)
+    out = attach(rows, spread, ["turbine_id"]).withColumn("anomaly_score", scored)
     flag = F.coalesce((F.col("anomaly_score") > threshold).cast("int"), F.lit(0))
     return out.select("turbine_id", "ts", "power", "wind_speed", "residual", "anomaly_score", flag.alias("is_anomaly"))
 
@@ -273,7 +274,7 @@ def anomaly_accuracy(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFr
     by_power = valid & ((p < 0) | (p > rated))
     by_wind = valid & ~by_power & (((w < 3) & (p > rated * 0.8)) | ((w > 15) & (p < rated * 0.1)))
     z = F.abs(p - F.col("_mean")) / (F.col("_std") + 1e-6)
-    rows = df.join(stats, "turbine_id").select(
+    rows = attach(df, stats, ["turbine_id"]).select(
         "turbine_id", F.coalesce(by_power, F.lit(False)).alias("bp"), F.coalesce(by_wind, F.lit(False)).alias("bw"),
         F.coalesce(valid & (z > Z_DETECT), F.lit(False)).alias("d"))
     d, t = F.col("d"), F.col("bp") | F.col("bw")

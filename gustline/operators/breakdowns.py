@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gustline.functions.joins import attach
 from gustline.operators.features import season
 from gustline.operators.forecasts import level_of
 
@@ -104,7 +105,7 @@ def best_rows(predictions: DataFrame, best: DataFrame) -> DataFrame:
     """Scored test rows of each horizon's best model."""
     scored = predictions.where(
         (F.col("split") == "test") & F.col("y_true").isNotNull() & F.col("y_pred").isNotNull())
-    return scored.join(best.select("horizon", "series_id", "model"), ["horizon", "series_id", "model"])
+    return attach(scored, best.select("horizon", "series_id", "model"), ["horizon", "series_id", "model"])
 
 
 def wind_bin(wind: Column) -> Column:
@@ -154,7 +155,7 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> Data
         F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.least(F.floor(F.try_divide(F.col(value) - F.col("_lo"), width)), F.lit(bins - 1)).cast("int")
-    placed = rows.join(spans, list(keys)).withColumn("bin", F.coalesce(place, F.lit(0)))
+    placed = attach(rows, spans, keys).withColumn("bin", F.coalesce(place, F.lit(0)))
     out = placed.groupBy(*keys, "bin").agg(
         F.count("*").alias("count"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_n").alias("_n"))
     return out.select(
@@ -166,5 +167,7 @@ def residual_histogram(rows: DataFrame, bins: int = 60) -> DataFrame:
     return histogram(rows.withColumn("residual", F.col("y_true") - F.col("y_pred")), ["horizon"], "residual", bins)
 
 
-def power_distribution(df: DataFrame, turbines: Sequence[str], bins: int = 80) -> DataFrame:
-    return histogram(df.where(F.col("turbine_id").isin(*turbines)), ["turbine_id"], "power", bins)
+def power_distribution(df: DataFrame, turbines: Sequence[str] | None = None, bins: int = 80) -> DataFrame:
+    """Power histogram of the listed turbines, or of all."""
+    rows = df.where(F.col("turbine_id").isin(*turbines)) if turbines else df
+    return histogram(rows, ["turbine_id"], "power", bins)

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gustline.functions.measures import correlation
 from gustline.functions.timeline import over_slots, run_positions, slot_of
 from gustline.settings import DEFAULTS, SENSORS, FarmSettings
 
@@ -176,7 +177,7 @@ def turbine_profile(df: DataFrame, turbine_id: str, settings: FarmSettings = DEF
         F.avg("power").alias("mean_power_kw"),
         F.stddev_pop(F.when(p > 5, p)).alias("std_power_operating"),
         F.avg(F.when(p > 5, p)).alias("mean_power_operating"),
-        F.corr("power", "wind_speed").alias("wind_power_corr"),
+        correlation("power", "wind_speed").alias("wind_power_corr"),
         F.avg("wind_speed").alias("mean_wind_speed"),
     )
     frozen = frozen_runs(own, ["split"], settings).select("split", "frozen_blocks", (F.col("frozen_ratio") * 100).alias("frozen_ratio_pct"))
@@ -194,8 +195,8 @@ def neighbour_correlations(df: DataFrame, turbine_id: str) -> DataFrame:
     both = others.join(own, "ts")
     shared = F.when(F.col("power").isNotNull() & F.col("_p").isNotNull(), F.lit(1))
     out = both.groupBy("turbine_id").agg(
-        F.count(shared).alias("n_shared"), F.corr("_p", "power").alias("power_corr"),
-        F.corr("_w", "wind_speed").alias("wind_corr"), F.avg("power").alias("mean_power"))
+        F.count(shared).alias("n_shared"), correlation("_p", "power").alias("power_corr"),
+        correlation("_w", "wind_speed").alias("wind_corr"), F.avg("power").alias("mean_power"))
     return out.where(F.col("n_shared") > 10)
 
 

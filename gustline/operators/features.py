@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from gustline.functions.measures import correlation
 from gustline.functions.timeline import over_slots
 from gustline.settings import DEFAULTS, HORIZONS, FarmSettings
 
@@ -251,7 +252,7 @@ def univariate_scores(df: DataFrame, features: Sequence[str], target: str) -> Da
     """(feature, n, r, f_score) of a one-feature linear regression, in one pass over the rows."""
     rows = training_frame(df, features, target)
     wide = rows.agg(
-        F.count("*").alias("n"), *[F.corr(F.col(f).cast("double"), F.col(target)).alias(f) for f in features]
+        F.count("*").alias("n"), *[correlation(f, target).alias(f) for f in features]
     )
     long = wide.unpivot(["n"], list(features), "feature", "r").where(F.col("r").isNotNull())
     score = F.try_divide(F.col("r") * F.col("r"), 1 - F.col("r") * F.col("r")) * (F.col("n") - 2)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gustline.functions.joins import attach
 from gustline.functions.quantiles import exact_quantiles
 from gustline.settings import FARM_SERIES
 
@@ -42,7 +43,7 @@ def quantile_intervals(forecasts: DataFrame, confidence: float = 0.9) -> DataFra
     alpha = 1 - confidence
     q = exact_quantiles(forecasts, GROUP, "error", [alpha / 2, 1 - alpha / 2]).groupBy(*GROUP).agg(
         F.min_by("quantile", "prob").alias("_lo"), F.max_by("quantile", "prob").alias("_hi"))
-    wide = forecasts.join(_spread(forecasts), GROUP).join(q, GROUP, "left")
+    wide = attach(forecasts, _spread(forecasts).join(q, GROUP, "left"), GROUP)
     p, few = F.col("predicted"), F.col("_n") < MIN_RESIDUALS
     flat = F.coalesce(F.col("_std") == 0, F.lit(True))
     low = F.when(few & flat, p * 0.05).when(few, p - NORMAL_WIDTH * F.col("_std")).otherwise(p + F.col("_lo"))
@@ -54,7 +55,7 @@ def symmetric_intervals(forecasts: DataFrame, confidence: float = 0.9) -> DataFr
     """Bounds at plus and minus the quantile of the absolute residual."""
     sized = forecasts.withColumn("_abs", F.abs("error"))
     q = exact_quantiles(sized, GROUP, "_abs", [confidence]).select(*GROUP, F.col("quantile").alias("_q"))
-    wide = forecasts.join(_spread(forecasts), GROUP).join(q, GROUP, "left")
+    wide = attach(forecasts, _spread(forecasts).join(q, GROUP, "left"), GROUP)
     p, few = F.col("predicted"), F.col("_n") < MIN_RESIDUALS
     flat = F.coalesce(F.col("_std_pop") == 0, F.lit(True))
     low = F.when(few & flat, p * 0.95).when(few, p - NORMAL_WIDTH * F.col("_std_pop")).otherwise(p - F.col("_q"))

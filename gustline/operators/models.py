@@ -15,10 +15,11 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gustline.functions.joins import attach
 from gustline.operators.features import filled_features, training_frame
 from gustline.settings import DEFAULTS, FARM_SERIES, FarmSettings
 
@@ -116,7 +117,7 @@ def predict_linear(df: DataFrame, fits: DataFrame, features: Sequence[str], name
     for i, feature in enumerate(features):
         dot = dot + F.col("_coefs")[i] * F.col(feature)
     picked = fits.select(*keys, F.col("intercept").alias("_intercept"), F.col("coefs").alias("_coefs"))
-    return source.join(picked, list(keys)).select(*df.columns, dot.alias(name))
+    return attach(source, picked, keys).select(*df.columns, dot.alias(name))
 
 
 # ---- the long prediction table
@@ -148,7 +149,7 @@ def base_predictions(rows: DataFrame, settings: FarmSettings = DEFAULTS) -> Data
         F.struct(F.lit("linear_roll").alias("model"),
                  (F.col("l_intercept") + F.col("l_slope") * F.col("roll6")).alias("y_pred")),
     )
-    joined = rows.join(fits, list(TARGET_KEYS))
+    joined = attach(rows, fits, TARGET_KEYS)
     return joined.select(
         *rows.columns, rated_power(F.col("series_id"), settings).alias("rated"), F.explode(models).alias("_m")
     ).select(*rows.columns, "rated", "_m.model", "_m.y_pred")
@@ -289,7 +290,7 @@ def walk_forward_scores(folds: DataFrame, feature: str = "power", alpha: float =
         F.struct(F.lit("persistence").alias("model"), F.col("power").alias("y_pred")),
         F.struct(F.lit("ridge").alias("model"), (F.col("intercept") + F.col("slope") * F.col(feature)).alias("y_pred")),
     )
-    scored = val.join(fits, keys).select(*keys, "y_true", F.explode(models).alias("_m")).select(*keys, "y_true", "_m.*")
+    scored = attach(val, fits, keys).select(*keys, "y_true", F.explode(models).alias("_m")).select(*keys, "y_true", "_m.*")
     e = F.col("y_pred") - F.col("y_true")
     return scored.groupBy(*keys, "model").agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
@@ -366,11 +367,9 @@ def ablation_blocks(features: Sequence[str]) -> dict[str, list[str]]:
 
 # ---- storage and batch scoring
 
-def save_model(model: PipelineModel, folder: str, key: str, features: Sequence[str], meta: dict[str, str]) -> None:
+def save_model(spark: SparkSession, model: PipelineModel, folder: str, key: str, features: Sequence[str],
+               meta: dict[str, str]) -> None:
     """Model files plus one registry row (features, seed, hashes and so on)."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
     model.write().overwrite().save(f"{folder}/{key}")
     row = spark.createDataFrame(
         [(key, f"{folder}/{key}", list(features), meta)],
@@ -378,7 +377,7 @@ def save_model(model: PipelineModel, folder: str, key: str, features: Sequence[s
     row.write.mode("append").parquet(f"{folder}/registry")
 
 
-def load_model(spark, folder: str, key: str) -> tuple[PipelineModel, list[str]]:
+def load_model(spark: SparkSession, folder: str, key: str) -> tuple[PipelineModel, list[str]]:
     row = spark.read.parquet(f"{folder}/registry").where(F.col("model_key") == key).first()
     if row is None:
         raise KeyError(key)
@@ -393,12 +392,12 @@ def champion_scores(requests: DataFrame, predictions: DataFrame, champions: Data
     prediction is returned and flagged.
     """
     level = F.when(F.col("series_id") == FARM_SERIES, "farm").otherwise("turbine")
-    wanted = requests.withColumn("level", level).join(
-        champions.select("level", "horizon", F.col("model").alias("model")), ["level", "horizon"], "left")
-    keyed = wanted.join(
+    wanted = attach(
+        requests.withColumn("level", level), champions.select("level", "horizon", "model"), ["level", "horizon"], "left")
+    scored = wanted.join(
         predictions.select("series_id", "ts", "horizon", "model", "y_pred"),
-        ["series_id", "ts", "horizon", "model"], "left",
-    ).join(quantiles.select("series_id", "horizon", "model", "q"), ["series_id", "horizon", "model"], "left")
+        ["series_id", "ts", "horizon", "model"], "left")
+    keyed = attach(scored, quantiles.select("series_id", "horizon", "model", "q"), ["series_id", "horizon", "model"], "left")
     rated = rated_power(F.col("series_id"), settings)
     zero = F.lit(0.0)
 

@@ -104,9 +104,13 @@ def coverage_audit(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFram
         F.count("*").alias("n_rows"), F.sum(F.col("_c") - 1).alias("n_duplicate_rows"),
         F.min("ts").alias("timestamp_start"), F.max("ts").alias("timestamp_end"),
         (F.floor((F.max(minute) - F.min(minute)) / settings.interval_minutes) + 1).alias("expected_steps"))
+    label = (
+        F.when(F.col("year").isNull(), "overall").when(F.col("month").isNull(), F.concat(F.lit("year_"), "year"))
+        .otherwise(F.format_string("month_%d-%02d", "year", "month")))
     return out.withColumns({
+        "label": label,
         "n_missing_timestamps": F.greatest(F.lit(0), F.col("expected_steps") - F.col("n_rows")),
-        "coverage_ratio": F.col("n_rows") / F.col("expected_steps")})
+        "coverage_ratio": F.col("n_rows") / F.col("expected_steps")}).drop("year", "month")
 
 
 def synthetic_rows(raw: DataFrame, processed: DataFrame) -> DataFrame:
@@ -118,10 +122,11 @@ def synthetic_report(raw: DataFrame, processed: DataFrame, n_examples: int = 5)
     """Count and share of added timestamps with the first few as examples."""
     added = synthetic_rows(raw, processed)
     total = timestamp_union(processed).agg(F.count("*")).scalar()
-    examples = added.orderBy("ts").limit(n_examples).agg(F.sort_array(F.collect_list("ts"))).scalar()
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm")
+    examples = added.orderBy("ts").limit(n_examples).agg(
+        F.array_join(F.sort_array(F.collect_list(text)), ", ")).scalar()
     return added.agg(F.count("*").alias("n_added")).select(
-        "n_added", (F.col("n_added") / total).alias("ratio"),
-        F.array_join(F.transform(examples, lambda t: F.date_format(t, "yyyy-MM-dd HH:mm")), ", ").alias("examples"))
+        "n_added", (F.col("n_added") / total).alias("ratio"), examples.alias("examples"))
 
 
 def _remark(rate: Column) -> Column:

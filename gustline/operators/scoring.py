@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gustline.functions.joins import attach
 from gustline.functions.quantiles import exact_quantiles
 from gustline.functions.timeline import slot_of
 from gustline.settings import FARM_SERIES
@@ -178,7 +179,7 @@ def fit_bias(predictions: DataFrame) -> DataFrame:
         F.avg(error_column()).alias("val_bias_raw"), F.avg(F.abs(error_column())).alias("val_mae_raw"),
     ).where(F.col("n_samples") >= 2)
     corrected = F.col("slope") * guess_column() + F.col("intercept")
-    after = rows.join(fits.select(*keys, "slope", "intercept"), keys).groupBy(*keys).agg(
+    after = attach(rows, fits.select(*keys, "slope", "intercept"), keys).groupBy(*keys).agg(
         F.avg(F.abs(corrected - truth_column())).alias("val_mae_corrected"))
     return fits.join(after, keys)
 
@@ -186,7 +187,7 @@ def fit_bias(predictions: DataFrame) -> DataFrame:
 def apply_bias(predictions: DataFrame, fits: DataFrame) -> DataFrame:
     """Add `y_corrected`; other series pass through unchanged."""
     keys = ["horizon", "model"]
-    joined = predictions.join(fits.select(*keys, "slope", "intercept"), keys, "left")
+    joined = attach(predictions, fits.select(*keys, "slope", "intercept"), keys, "left")
     fixed = F.when(
         (F.col("series_id") == FARM_SERIES) & F.col("slope").isNotNull(),
         F.col("slope") * guess_column() + F.col("intercept")).otherwise(guess_column())
@@ -279,7 +280,7 @@ def coverage(official: DataFrame, levels: Sequence[float] = LEVELS) -> DataFrame
     sized = official.withColumn("_abs", F.abs(error_column()))
     q = exact_quantiles(sized, GROUP, "_abs", levels).groupBy(*GROUP).agg(
         F.sort_array(F.collect_list(F.struct("prob", "quantile"))).alias("_q"))
-    rows = sized.join(q, GROUP)
+    rows = attach(sized, q, GROUP)
     cells = [F.count_if(F.col("_abs") <= F.col("_q")[i]["quantile"]).alias(f"_in{i}") for i in range(len(levels))]
     wide = rows.groupBy(*GROUP).agg(F.count("*").alias("n_samples"), F.max("_q").alias("_q"), *cells)
     options = F.array(*[

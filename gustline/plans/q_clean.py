@@ -6,15 +6,19 @@ from pyspark.sql import functions as F
 
 from gustline.operators import cleaning as C
 from gustline.plans.registry import query
-from gustline.plans.stages import stage
+from gustline.plans.stages import stage, value
 from gustline.settings import SENSORS
-from gustline.sources.derived import DERIVED, readings
+from gustline.sources.derived import DERIVED, readings, settings_for
 
 
 def clean_frame(spark, sf):
     return stage(spark, sf, "clean", lambda: C.clean(readings(spark, sf), DERIVED))
 
 
+def farm_settings(spark, sf):
+    return value(spark, sf, "settings", lambda: settings_for(spark, sf))
+
+
 def unique_frame(spark, sf):
     return C.first_reading(readings(spark, sf), ["turbine_id", "ts"], ["reading_no"])
 

@@ -8,7 +8,7 @@ from gustline.functions.timeline import over_slots
 from gustline.operators import cleaning as C
 from gustline.operators import features as E
 from gustline.operators import splits as S
-from gustline.plans.q_clean import clean_frame
+from gustline.plans.q_clean import clean_frame, farm_settings
 from gustline.plans.registry import query
 from gustline.plans.stages import stage
 from gustline.settings import HORIZONS, SENSORS
@@ -155,17 +155,16 @@ def e10(spark, sf):
 
 
 @query("e10_farm_scope", """
-SELECT ts, first(power_lag1) FILTER (turbine_id = 'TB00001') AS TB00001_power_lag1,
-  first(power_roll6_max) FILTER (turbine_id = 'TB00001') AS TB00001_power_roll6_max,
-  first(power_lag1) FILTER (turbine_id = 'TB00002') AS TB00002_power_lag1,
-  first(power_roll6_max) FILTER (turbine_id = 'TB00002') AS TB00002_power_roll6_max
-FROM (SELECT turbine_id, ts, lag(power) OVER (PARTITION BY turbine_id ORDER BY ts) AS power_lag1,
-  max(power) OVER (PARTITION BY turbine_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS power_roll6_max
-  FROM t_clean) GROUP BY ts""")
+SELECT ts, turbine_id || '_' || name AS name, value FROM (
+  SELECT turbine_id, ts, lag(power) OVER (PARTITION BY turbine_id ORDER BY ts) AS power_lag1,
+    max(power) OVER (PARTITION BY turbine_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS power_roll6_max FROM t_clean)
+UNPIVOT (value FOR name IN (power_lag1, power_roll6_max)) WHERE value IS NOT NULL""")
 def e10_farm(spark, sf):
-    pair = ["TB00001", "TB00002"]
-    wide = E.farm_scope_matrix(clean_frame(spark, sf), pair, DERIVED)
-    return wide.select("ts", *[f"{t}_{c}" for t in pair for c in ("power_lag1", "power_roll6_max")])
+    df = clean_frame(spark, sf)
+    turbines = [r.turbine_id for r in df.select("turbine_id").distinct().orderBy("turbine_id").collect()]
+    wide = E.farm_scope_matrix(df, turbines, DERIVED)
+    names = [f"{t}_{c}" for t in turbines for c in ("power_lag1", "power_roll6_max")]
+    return wide.unpivot(["ts"], names, "name", "value").where(F.col("value").isNotNull())
 
 
 @query("e11_feature_columns")
@@ -265,7 +264,7 @@ SELECT part, count(*) AS rows, min(ts) AS timestamp_start, max(ts) AS timestamp_
   greatest(0, date_diff('minute', min(ts), max(ts)) // 10 + 1 - count(*)) AS n_missing_timestamps,
   CAST(count(*) AS DOUBLE) / (date_diff('minute', min(ts), max(ts)) // 10 + 1) AS coverage_ratio,
   round(sum(p) / sum(np), 6) AS avg_power, round(sum(p) * 10 / 60000, 6) AS total_energy_mwh,
-  round(sum(p) / sum(np) * 5 * 10 / 60000, 6) AS avg_slot_energy_mwh,
+  round(sum(p) / sum(np) * (SELECT count(DISTINCT turbine_id) FROM t_raw) * 10 / 60000, 6) AS avg_slot_energy_mwh,
   CAST(sum(o) AS BIGINT) AS n_observed_rows, CAST(sum(1 - o) AS BIGINT) AS n_synthetic_rows,
   CAST(sum(i) AS BIGINT) AS n_imputed_rows, count(*) FILTER (o = 1 AND i = 0) AS n_observed_not_imputed_rows,
   round(avg(o), 6) AS observed_ratio
@@ -273,7 +272,7 @@ FROM (SELECT unnest([split, 'total']) AS part, ts, p, np, o, i FROM (
   SELECT split, ts, sum(power) AS p, count(power) AS np, max(is_observed) AS o, max(is_imputed) AS i
   FROM t_split WHERE series_id <> 'farm_total_power' GROUP BY split, ts)) GROUP BY part""")
 def f2(spark, sf):
-    out = S.split_statistics(split_turbines(spark, sf), DERIVED)
+    out = S.split_statistics(split_turbines(spark, sf), farm_settings(spark, sf))
     return out.withColumns({c: F.round(c, 6) for c in (
         "avg_power", "total_energy_mwh", "avg_slot_energy_mwh", "observed_ratio")})
 

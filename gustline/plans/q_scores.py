@@ -9,13 +9,13 @@ from gustline.operators import forecasts as H
 from gustline.operators import models as G
 from gustline.operators import scoring as I
 from gustline.operators import splits as S
-from gustline.plans.q_clean import clean_frame
+from gustline.plans.q_clean import clean_frame, farm_settings
 from gustline.plans.q_features import bounds, series_targets
 from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
-from gustline.plans.stages import stage, value
+from gustline.plans.stages import stage
 from gustline.settings import HORIZONS
-from gustline.sources.derived import DERIVED, settings_for
+from gustline.sources.derived import DERIVED
 
 LEARNED = ["linear_wind", "linear_roll"]
 SCORES = ("mae", "rmse", "nmae_pct", "nrmse_pct", "bias", "r2", "max_error")
@@ -29,10 +29,6 @@ def r4(names, prefix=""):
     return ", ".join(f"round({prefix}{n}, 4) AS {n}" for n in names)
 
 
-def farm_settings(spark, sf):
-    return value(spark, sf, "settings", lambda: settings_for(spark, sf))
-
-
 def predictions(spark, sf):
     return stage(spark, sf, "predictions", lambda: G.base_predictions(
         series_targets(spark, sf), farm_settings(spark, sf)))
@@ -652,10 +648,9 @@ def i29(spark, sf):
     return rounded(B.model_ranking(metrics(spark, sf)))
 
 
-@query("i30_power_distribution", histogram_sql("(SELECT * FROM t_clean WHERE turbine_id IN ('TB00001', 'TB00002'))",
-                                               "turbine_id", "power", 80))
+@query("i30_power_distribution", histogram_sql("t_clean", "turbine_id", "power", 80))
 def i30(spark, sf):
-    return _histogram(B.power_distribution(clean_frame(spark, sf), ["TB00001", "TB00002"]))
+    return _histogram(B.power_distribution(clean_frame(spark, sf)))
 
 
 _SPREAD = ("mae", "rmse", "nmae_pct", "nrmse_pct", "bias", "r2", "skill_vs_persistence")

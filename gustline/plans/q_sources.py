@@ -14,9 +14,9 @@ from gustline.operators import models as G
 from gustline.operators import quality as Q
 from gustline.operators import scoring as I
 from gustline.plans.q_alerts import j1, j2, j3, j4
-from gustline.plans.q_clean import clean_frame, unique_frame
+from gustline.plans.q_clean import clean_frame, farm_settings, unique_frame
 from gustline.plans.q_features import series_targets, weather_rows
-from gustline.plans.q_scores import farm_settings, forecasts, metrics, official, predictions, rounded
+from gustline.plans.q_scores import forecasts, metrics, official, predictions, rounded
 from gustline.plans.registry import query
 from gustline.session import shared_dir
 from gustline.settings import HORIZONS, SENSORS
@@ -186,7 +186,7 @@ SELECT count(*) AS n_rows, count(*) FILTER (event_id % 10 <> 0) AS n_present, co
 def a11(spark, sf):
     path = scratch(spark, "lines.json")
     events = spark.read.parquet(f"{sf}/events.parquet")
-    line = F.when(F.col("event_id") % 10 == 0, F.rtrim(F.lit("}"), "props")).otherwise(F.col("props"))
+    line = F.when(F.col("event_id") % 10 == 0, F.rtrim("props", F.lit("}"))).otherwise(F.col("props"))
     events.select(line.alias("value")).write.text(path)
     return A.check_input(spark, path, T.StructType([T.StructField("k", T.LongType())]))
 
@@ -309,13 +309,14 @@ def c6(spark, sf):
 
 # Orders span seven years; readings one month.
 @query("c7_coverage_audit", """
-SELECT year, month, n_rows, n_duplicate_rows, timestamp_start, timestamp_end, expected_steps,
+SELECT label, n_rows, n_duplicate_rows, timestamp_start, timestamp_end, expected_steps,
   greatest(0, expected_steps - n_rows) AS n_missing_timestamps, n_rows / expected_steps AS coverage_ratio
-FROM (SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, count(*) AS n_rows,
+FROM (SELECT CASE WHEN y IS NULL THEN 'overall' WHEN m IS NULL THEN 'year_' || y ELSE 'month_' || y || '-' || lpad(CAST(m AS VARCHAR), 2, '0') END AS label,
+    count(*) AS n_rows,
     CAST(sum(c - 1) AS BIGINT) AS n_duplicate_rows, min(ts) AS timestamp_start, max(ts) AS timestamp_end,
     date_diff('minute', min(ts), max(ts)) // 10 + 1 AS expected_steps
-  FROM (SELECT ts, count(*) AS c FROM (SELECT ts FROM t_raw UNION ALL SELECT o_orderdate FROM orders) GROUP BY ts)
-  GROUP BY GROUPING SETS ((), (1), (1, 2)))""")
+  FROM (SELECT ts, year(ts) AS y, month(ts) AS m, count(*) AS c FROM (SELECT ts FROM t_raw UNION ALL SELECT o_orderdate FROM orders) GROUP BY ts)
+  GROUP BY GROUPING SETS ((), (y), (y, m)))""")
 def c7(spark, sf):
     dates = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderdate").alias("ts"))
     return Q.coverage_audit(readings(spark, sf).select("ts").union(dates), DERIVED)
