@@ -45,7 +45,8 @@ def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> str:
         if diff.any():
             i = diff[diff].index[0]
             bad.append(f"{c}: {int(diff.sum())} differ, e.g. {a[c][i]!r} vs {b[c][i]!r}")
-    return "; ".join(bad) or "ok"
+    widths = [f"{c} {mine[c].dtype}/{theirs[c].dtype}" for c in a.columns if mine[c].dtype != theirs[c].dtype]
+    return "; ".join(bad) or ("ok" if not widths else f"ok, widths {widths}")
 
 
 def main() -> None:

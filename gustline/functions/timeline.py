@@ -56,14 +56,10 @@ def over_slots(
     """
     span = chunk_span(back, ahead, span)
     home = F.floor(F.col("_slot") / F.lit(span)).cast("long")
-    offset = F.col("_slot") - home * span
-    homes = [home]
-    if back:
-        homes.append(F.when(offset >= span - back, home + 1))
-    if ahead:
-        homes.append(F.when(offset < ahead, home - 1))
+    first = F.floor((F.col("_slot") - ahead) / F.lit(span)).cast("long")
+    last = F.floor((F.col("_slot") + back) / F.lit(span)).cast("long")
     frame = df.withColumn("_slot", slot_of(F.col(ts), minutes)).withColumn(
-        "_chunk", F.explode(F.array_compact(F.array(*homes)))
+        "_chunk", F.explode(F.sequence(first, last)) if back or ahead else home
     )
     window = Window.partitionBy(*series, "_chunk").orderBy("_slot")
     names = list(df.columns)

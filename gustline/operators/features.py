@@ -6,12 +6,13 @@ single shuffle and sort however many features it holds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from gustline.functions.measures import correlation
 from gustline.functions.timeline import over_slots
 from gustline.settings import DEFAULTS, HORIZONS, FarmSettings
 
@@ -249,14 +250,34 @@ def filled_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def univariate_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """(feature, n, r, f_score) of a one-feature linear regression, in one pass over the rows."""
-    rows = training_frame(df, features, target)
-    wide = rows.agg(
-        F.count("*").alias("n"), *[correlation(f, target).alias(f) for f in features]
-    )
-    long = wide.unpivot(["n"], list(features), "feature", "r").where(F.col("r").isNotNull())
-    score = F.try_divide(F.col("r") * F.col("r"), 1 - F.col("r") * F.col("r")) * (F.col("n") - 2)
-    return long.withColumn("f_score", score)
+    """(feature, n, r, f_score) of a one-feature linear regression, in one pass over the rows.
+
+    Each task reduces its rows to five sums per feature, so hundreds of features cost no wide aggregate.
+    """
+    names = list(features)
+    rows = training_frame(df, names, target).select(*[F.col(c).cast("double").alias(c) for c in (*names, target)])
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((len(names), 6))
+        for batch in batches:
+            x, y = batch[names].to_numpy(), batch[target].to_numpy()
+            sums[:, 0] += len(y)
+            sums[:, 1] += x.sum(axis=0)
+            sums[:, 2] += (x * x).sum(axis=0)
+            sums[:, 3] += x.T @ y
+            sums[:, 4] += y.sum()
+            sums[:, 5] += y @ y
+        yield pd.DataFrame(sums, columns=["n", "x", "xx", "xy", "y", "yy"]).assign(feature=names)
+
+    parts = rows.mapInPandas(partial, "n double, x double, xx double, xy double, y double, yy double, feature string")
+    total = parts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "xy", "y", "yy")])
+    n, x, xx, xy, y, yy = (F.col(c) for c in ("n", "x", "xx", "xy", "y", "yy"))
+    x_var, y_var = xx - x * x / n, yy - y * y / n
+    # A feature whose spread is lost in rounding counts as constant.
+    r = F.when((x_var > xx * 1e-12) & (y_var > yy * 1e-12), (xy - x * y / n) / F.sqrt(x_var * y_var))
+    scored = total.where(n > 2).select("feature", n.cast("long").alias("n"), r.alias("r")).where(F.col("r").isNotNull())
+    return scored.withColumn(
+        "f_score", F.try_divide(F.col("r") * F.col("r"), 1 - F.col("r") * F.col("r")) * (F.col("n") - 2))
 
 
 def top_features(df: DataFrame, features: Sequence[str], target: str, k: int) -> list[str]:

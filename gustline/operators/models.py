@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from gustline.functions.joins import attach
 from gustline.operators.features import filled_features, training_frame
+from gustline.session import write_stage
 from gustline.settings import DEFAULTS, FARM_SERIES, FarmSettings
 
 TARGET_KEYS = ("series_id", "horizon")
@@ -45,68 +46,92 @@ def fit_one_feature(train: DataFrame, feature: str, alpha: float = 0.0, prefix:
 
 # ---- many features: sums of products per key, solved per key
 
+OPEN_KEYS = 128
+
+
 def products(train: DataFrame, features: Sequence[str], keys: Sequence[str] = TARGET_KEYS,
              target: str = "y_true") -> DataFrame:
-    """(keys, i, j, total): sums of products of (1, features, target), reduced inside each task first."""
+    """(keys, cell, total): sums of products of (1, features, target), upper triangle row by row.
+
+    Each task adds up its own rows first and holds at most OPEN_KEYS matrices before it passes them on.
+    """
     columns = [*features, target]
-    width = len(columns) + 1
-    upper = np.triu_indices(width)
+    upper = np.triu_indices(len(columns) + 1)
+    names = list(keys)
+
+    def rows_of(sums: dict) -> pd.DataFrame:
+        out = pd.DataFrame(list(sums), columns=names)
+        out["totals"] = [m[upper].tolist() for m in sums.values()]
+        return out
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
         for batch in batches:
-            for key, part in batch.groupby(list(keys), sort=False):
+            for key, part in batch.groupby(names, sort=False):
                 z = np.column_stack([np.ones(len(part)), part[columns].to_numpy(dtype=float)])
-                sums = (z.T @ z)[upper]
-                out = pd.DataFrame({"i": upper[0], "j": upper[1], "total": sums})
-                for name, value in zip(keys, key, strict=True):
-                    out[name] = value
-                yield out[[*keys, "i", "j", "total"]]
+                sums[key] = sums[key] + z.T @ z if key in sums else z.T @ z
+                if len(sums) >= OPEN_KEYS:
+                    yield rows_of(sums)
+                    sums = {}
+        if sums:
+            yield rows_of(sums)
 
     types = {f.name: f.dataType for f in train.schema.fields}
     schema = T.StructType([
-        *[T.StructField(k, types[k]) for k in keys],
-        T.StructField("i", T.LongType()), T.StructField("j", T.LongType()),
-        T.StructField("total", T.DoubleType()),
-    ])
-    cells = train.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    return cells.mapInPandas(partial, schema).groupBy(*keys, "i", "j").agg(F.sum("total").alias("total"))
+        *[T.StructField(k, types[k]) for k in names], T.StructField("totals", T.ArrayType(T.DoubleType()))])
+    cells = train.select(*names, *[F.col(c).cast("double").alias(c) for c in columns])
+    parts = cells.mapInPandas(partial, schema).select(*names, F.posexplode("totals").alias("cell", "part"))
+    return parts.groupBy(*names, "cell").agg(F.sum("part").alias("total"))
 
 
-def fit_linear(train: DataFrame, features: Sequence[str], alpha: float = 0.0,
-               keys: Sequence[str] = TARGET_KEYS, target: str = "y_true") -> DataFrame:
-    """(keys, n, intercept, coefs): ridge on population-standardised features, in raw units.
+def solve_linear(sums: DataFrame, features: Sequence[str], alpha: float = 0.0, keys: Sequence[str] = TARGET_KEYS,
+                 among: Sequence[str] | None = None) -> DataFrame:
+    """(keys, n, intercept, coefs) from sums of products: ridge on population-standardised features, given
+    back in raw units.
 
-    Rows are the complete ones. Each solve reads (features + 2)^2 / 2 numbers however many rows there are.
+    `features` is the order the sums were taken in; `among` picks some of them. Each solve reads
+    (features + 2)^2 / 2 numbers however many rows there are.
     """
-    rows = training_frame(train, features, target)
     size = len(features)
+    upper = np.triu_indices(size + 2)
+    picked = [list(features).index(f) for f in (among or features)]
+    names = list(keys)
 
     def solve(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        flat = np.zeros(len(upper[0]))
+        flat[cells.cell] = cells.total
         gram = np.zeros((size + 2, size + 2))
-        gram[cells.i, cells.j] = cells.total
-        gram[cells.j, cells.i] = cells.total
-        n = gram[0, 0]
-        mean = gram[0, 1:size + 1] / n
-        y_mean = gram[0, -1] / n
-        cross = gram[1:size + 1, 1:size + 1] - n * np.outer(mean, mean)
-        to_y = gram[1:size + 1, -1] - n * mean * y_mean
+        gram[upper] = flat
+        gram += np.triu(gram, 1).T
+        n, y_sum = gram[0, 0], gram[0, -1]
+        at = np.array(picked) + 1
+        mean = gram[0, at] / n
+        cross = gram[np.ix_(at, at)] - n * np.outer(mean, mean)
+        to_y = gram[at, -1] - mean * y_sum
         scale = np.sqrt(np.maximum(np.diag(cross) / n, 0.0))
         scale[scale < 1e-9 * np.maximum(1.0, np.abs(mean))] = 1.0
-        system = cross / np.outer(scale, scale) + alpha * np.eye(size)
+        system = cross / np.outer(scale, scale) + alpha * np.eye(len(at))
         right = to_y / scale
         weight = np.linalg.solve(system, right) if alpha else np.linalg.lstsq(system, right, rcond=None)[0]
         coefs = weight / scale
         return pd.DataFrame({
-            **{k: [v] for k, v in zip(keys, key, strict=True)},
-            "n": [int(n)], "intercept": [float(y_mean - coefs @ mean)], "coefs": [coefs.tolist()],
+            **{k: [v] for k, v in zip(names, key, strict=True)},
+            "n": [int(n)], "intercept": [float(y_sum / n - coefs @ mean)], "coefs": [coefs.tolist()],
         })
 
-    types = {f.name: f.dataType for f in train.schema.fields}
+    types = {f.name: f.dataType for f in sums.schema.fields}
     schema = T.StructType([
-        *[T.StructField(k, types[k]) for k in keys], T.StructField("n", T.LongType()),
+        *[T.StructField(k, types[k]) for k in names], T.StructField("n", T.LongType()),
         T.StructField("intercept", T.DoubleType()), T.StructField("coefs", T.ArrayType(T.DoubleType())),
     ])
-    return products(rows, features, keys, target).groupBy(*keys).applyInPandas(solve, schema)
+    return sums.groupBy(*names).applyInPandas(solve, schema)
+
+
+def fit_linear(train: DataFrame, features: Sequence[str], alpha: float = 0.0,
+               keys: Sequence[str] = TARGET_KEYS, target: str = "y_true") -> DataFrame:
+    """Ridge (or least squares at `alpha = 0`) on the complete rows of every key."""
+    rows = training_frame(train, features, target)
+    return solve_linear(products(rows, features, keys, target), features, alpha, keys)
 
 
 def predict_linear(df: DataFrame, fits: DataFrame, features: Sequence[str], name: str,
@@ -334,23 +359,37 @@ def walk_forward_trees(folds: DataFrame, features: Sequence[str], presets: dict[
 # ---- experiments
 
 def compare_linear(rows: DataFrame, blocks: dict[str, Sequence[str]], alpha: float = 1.0,
-                   settings: FarmSettings = DEFAULTS, shared: Sequence[str] | None = None) -> DataFrame:
-    """Ridge per feature block, all blocks trained and scored on the same complete rows."""
-    everything = list(dict.fromkeys(f for block in blocks.values() for f in block)) if shared is None else list(shared)
+                   settings: FarmSettings = DEFAULTS) -> DataFrame:
+    """Ridge per feature block, all blocks trained and scored on the same complete rows.
+
+    The sums of products are taken once for all features; a block solves its part of them. Every block's
+    forecast is then added to the test rows, and one pass scores them all.
+    """
+    everything = list(dict.fromkeys(f for block in blocks.values() for f in block))
     complete = training_frame(rows, everything, "y_true")
-    out = None
+    spark = rows.sparkSession
+    sums = products(complete.where("split = 'train'"), everything)
+    sums = spark.read.schema(sums.schema).parquet(write_stage(sums, "products"))
+    fits = None
+    for name, features in blocks.items():
+        part = solve_linear(sums, everything, alpha, among=features).select(
+            *TARGET_KEYS, F.col("intercept").alias(f"i_{name}"), F.col("coefs").alias(f"c_{name}"))
+        fits = part if fits is None else fits.join(part, list(TARGET_KEYS))
+    test = attach(complete.where("split = 'test'"), fits, TARGET_KEYS)
+    guesses = []
     for name, features in blocks.items():
-        fits = fit_linear(complete.where("split = 'train'"), features, alpha)
-        scored = predict_linear(complete.where("split = 'test'"), fits, features, "y_pred")
-        e = F.col("y_pred") - F.col("y_true")
-        part = scored.groupBy("series_id", "horizon").agg(
-            F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-            (1 - F.try_divide(F.sum(e * e), F.var_pop("y_true") * F.count("*"))).alias("r2"),
-            F.count("*").alias("n_samples"),
-        ).withColumn("feature_set", F.lit(name)).withColumn(
-            "nmae_pct", F.col("mae") / rated_power(F.col("series_id"), settings) * 100)
-        out = part if out is None else out.unionByName(part)
-    return out
+        # A plain dot product over two arrays; a sum of a hundred terms would outgrow compiled methods.
+        terms = F.zip_with(F.col(f"c_{name}"), F.array(*[F.col(f).cast("double") for f in features]), lambda a, b: a * b)
+        total = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+        guesses.append(F.struct(F.lit(name).alias("feature_set"), (F.col(f"i_{name}") + total).alias("y_pred")))
+    long = test.select(*TARGET_KEYS, "y_true", F.explode(F.array(*guesses)).alias("_g")).select(
+        *TARGET_KEYS, "y_true", "_g.*")
+    e = F.col("y_pred") - F.col("y_true")
+    return long.groupBy(*TARGET_KEYS, "feature_set").agg(
+        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
+        (1 - F.try_divide(F.sum(e * e), F.var_pop("y_true") * F.count("*"))).alias("r2"),
+        F.count("*").alias("n_samples"),
+    ).withColumn("nmae_pct", F.col("mae") / rated_power(F.col("series_id"), settings) * 100)
 
 
 def ablation_blocks(features: Sequence[str]) -> dict[str, list[str]]:

@@ -59,62 +59,55 @@ def split_by_rows(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame
     return df.join(named, "ts")
 
 
-def _placed(df: DataFrame, bounds: Bounds, settings: FarmSettings) -> tuple[DataFrame, Column, Column]:
-    """Rows with their position and the number of slots, each read once."""
-    low_high = F.struct(bounds[0].alias("lo"), bounds[1].alias("hi"))
-    placed = df.withColumn("_b", low_high).withColumns({
-        "_pos": slot_of(F.col("ts"), settings.interval_minutes) - F.col("_b.lo"),
-        "_n": F.col("_b.hi") - F.col("_b.lo") + 1,
-    })
-    return placed, F.col("_pos"), F.col("_n")
+def _in_folds(df: DataFrame, bounds: Bounds, ends: list[Column], usable: Column | None,
+              settings: FarmSettings) -> DataFrame:
+    """Copy each row once per fold it belongs to.
 
+    `ends` gives the positions where each part of a fold ends, from the number of slots `n`. They are
+    worked out once in a one-row table and read as a scalar; rows are copied by an explode of that short
+    list and never joined.
+    """
+    size = df.sparkSession.range(1).select((bounds[1] - bounds[0] + 1).alias("n"))
+    folds = size.select(F.explode(F.array(*ends)).alias("f")).select("f.*")
+    folds = folds if usable is None else folds.where(usable)
+    table = folds.agg(F.sort_array(F.collect_list(F.struct(*folds.columns)))).scalar()
+    position = slot_of(F.col("ts"), settings.interval_minutes) - bounds[0]
+    placed = df.withColumn("_pos", position).withColumn("_f", F.explode(table))
+    part = F.lit(None).cast("string")
+    for name in reversed([c for c in folds.columns if c.endswith("_end")]):
+        part = F.when(F.col("_pos") < F.col(f"_f.{name}"), name.removesuffix("_end")).otherwise(part)
+    return placed.select(*df.columns, F.col("_f.fold").alias("fold"), part.alias("part")).where(
+        F.col("part").isNotNull())
 
-def fold_bounds(n: Column, n_folds: int = 5) -> list[tuple[Column, Column, Column]]:
-    """Row positions (train_end, val_end, test_end) of each walk-forward fold."""
-    folds = []
-    for i in range(n_folds):
-        train_end = F.greatest(F.floor(n * F.lit(FOLD_START + i * FOLD_STEP)), F.lit(MIN_TRAIN))
-        val_end = F.greatest(F.floor(n * F.lit(FOLD_START + (i + 1) * FOLD_STEP)), train_end + 1)
-        test_end = F.greatest(
-            F.least(F.floor(n * F.lit(FOLD_START + (i + 2) * FOLD_STEP)), n), val_end + 1)
-        folds.append((train_end, val_end, test_end))
-    return folds
 
+def fold_ends(n: Column, fold: int) -> Column:
+    """Row positions where train, validation and test of one walk-forward fold end."""
+    train = F.greatest(F.floor(n * F.lit(FOLD_START + (fold - 1) * FOLD_STEP)), F.lit(MIN_TRAIN))
+    validation = F.greatest(F.floor(n * F.lit(FOLD_START + fold * FOLD_STEP)), train + 1)
+    test = F.greatest(F.least(F.floor(n * F.lit(FOLD_START + (fold + 1) * FOLD_STEP)), n), validation + 1)
+    return F.struct(F.lit(fold).alias("fold"), train.alias("train_end"), validation.alias("validation_end"),
+                    test.alias("test_end"), n.alias("n"))
 
-def walk_forward(df: DataFrame, bounds: Bounds, settings: FarmSettings = DEFAULTS, n_folds: int = 5) -> DataFrame:
-    """One row per (input row, fold, part); undersized folds are left out.
 
-    Folds are a handful of literal ranges, so rows are copied by an explode and never joined.
-    """
-    placed, position, n = _placed(df, bounds, settings)
-    parts = []
-    for i, (train_end, val_end, test_end) in enumerate(fold_bounds(n, n_folds), start=1):
-        usable = (
-            (test_end <= n) & (train_end >= MIN_TRAIN)
-            & (val_end - train_end >= MIN_VAL) & (test_end - val_end >= MIN_TEST)
-        )
-        part = (
-            F.when(position < train_end, "train").when(position < val_end, "validation")
-            .when(position < test_end, "test")
-        )
-        parts.append(F.when(usable & part.isNotNull(), F.struct(F.lit(i).alias("fold"), part.alias("part"))))
-    return placed.withColumn("_f", F.explode(F.array_compact(F.array(*parts)))).select(
-        *df.columns, "_f.fold", "_f.part"
-    )
+def walk_forward(df: DataFrame, bounds: Bounds, settings: FarmSettings = DEFAULTS, n_folds: int = 5) -> DataFrame:
+    """One row per (input row, fold, part): expanding train, sliding validation and test; undersized folds
+    are left out."""
+    ends = [fold_ends(F.col("n"), i + 1) for i in range(n_folds)]
+    usable = (
+        (F.col("test_end") <= F.col("n")) & (F.col("train_end") >= MIN_TRAIN)
+        & (F.col("validation_end") - F.col("train_end") >= MIN_VAL)
+        & (F.col("test_end") - F.col("validation_end") >= MIN_TEST))
+    return _in_folds(df, bounds, ends, usable, settings)
 
 
 def cv_folds(df: DataFrame, bounds: Bounds, k: int = 3, settings: FarmSettings = DEFAULTS) -> DataFrame:
     """Expanding-window cross-validation: k equal test blocks at the end, train on all before."""
-    placed, position, n = _placed(df, bounds, settings)
+    n = F.col("n")
     block = F.floor(n / F.lit(k + 1))
-    parts = []
-    for i in range(k):
-        start = n - block * (k - i)
-        part = F.when(position < start, "train").when(position < start + block, "test")
-        parts.append(F.when(part.isNotNull(), F.struct(F.lit(i + 1).alias("fold"), part.alias("part"))))
-    return placed.withColumn("_f", F.explode(F.array_compact(F.array(*parts)))).select(
-        *df.columns, "_f.fold", "_f.part"
-    )
+    ends = [F.struct(
+        F.lit(i + 1).alias("fold"), (n - block * (k - i)).alias("train_end"),
+        (n - block * (k - i - 1)).alias("test_end")) for i in range(k)]
+    return _in_folds(df, bounds, ends, None, settings)
 
 
 def split_statistics(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame:
