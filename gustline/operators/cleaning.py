@@ -145,11 +145,17 @@ def series_frame(df: DataFrame, farm_flags: str = "any") -> DataFrame:
     return own.unionByName(farm)
 
 
-def clean(df: DataFrame, settings: FarmSettings = DEFAULTS, order: Sequence[str] = ("reading_no",)) -> DataFrame:
-    """The fixed cleaning order: dedupe, clip, grid, flags, fill, status, cutoff."""
-    bounds = time_bounds(df, settings)
-    turbines = df.select("turbine_id").distinct()
-    cutoff = evaluation_cutoff(df, settings).scalar()
+def clean(df: DataFrame, settings: FarmSettings = DEFAULTS, order: Sequence[str] = ("reading_no",),
+          stamps: DataFrame | None = None) -> DataFrame:
+    """The fixed cleaning order: dedupe, clip, grid, flags, fill, status, cutoff.
+
+    Bounds, turbines and cutoff are read from `stamps` (turbine_id, ts) where given, a leaner scan than
+    the readings themselves.
+    """
+    stamps = df if stamps is None else stamps
+    bounds = time_bounds(stamps, settings)
+    turbines = stamps.select("turbine_id").distinct()
+    cutoff = evaluation_cutoff(stamps, settings).scalar()
     unique = first_reading(df.select("turbine_id", "ts", *order, *SENSORS), ["turbine_id", "ts"], order)
     grid = to_regular_grid(clip_readings(unique.drop(*order)), settings, bounds, turbines)
     return (

@@ -217,14 +217,15 @@ def feature_matrix(df: DataFrame, farm: DataFrame, settings: FarmSettings = DEFA
     return with_interactions(windowed.withColumns(calendar_columns()), farm)
 
 
-def farm_scope_matrix(df: DataFrame, turbines: Sequence[str], settings: FarmSettings = DEFAULTS) -> DataFrame:
-    """One row per slot with the power features of every listed turbine side by side.
+def farm_scope_matrix(df: DataFrame, places: Sequence[str], settings: FarmSettings = DEFAULTS) -> DataFrame:
+    """One row per farm and slot with the power features of its turbines side by side.
 
-    Only listed turbines become columns, so the width is set by the caller.
+    `df` has farm_no and place; the listed places become columns, so the width is that of one farm.
     """
-    per_turbine = window_features(df.select("turbine_id", "ts", "power"), settings, ["power"], {})
-    names = [c for c in per_turbine.columns if c not in ("turbine_id", "ts")]
-    wide = per_turbine.groupBy("ts").pivot("turbine_id", list(turbines)).agg(
+    per_turbine = window_features(
+        df.select("farm_no", "place", "turbine_id", "ts", "power"), settings, ["power"], {})
+    names = [c for c in per_turbine.columns if c not in ("farm_no", "place", "turbine_id", "ts")]
+    wide = per_turbine.groupBy("farm_no", "ts").pivot("place", list(places)).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in names]
     )
     return wide.withColumns(calendar_columns())

@@ -8,7 +8,7 @@ from gustline.operators import scoring as I
 from gustline.operators import splits as S
 from gustline.plans import q_alerts, q_clean, q_features, q_models, q_scores, q_sources  # noqa: F401
 from gustline.plans.registry import ORACLE, QUERIES, query  # noqa: F401
-from gustline.sources.derived import DERIVED, readings
+from gustline.sources.derived import DERIVED, readings, stamps
 
 
 @query("m0_persistence_rmse", """
@@ -18,11 +18,11 @@ FROM t_target WHERE horizon = '10min' AND split = 'test' AND is_observed = 1 AND
 def persistence_rmse(spark, sf):
     """Dedupe, clip, grid, fill, one-step target, split, official mask and metrics, all in one plan."""
     raw = readings(spark, sf)
-    clean = C.clean(raw, DERIVED).select(
+    clean = C.clean(raw, DERIVED, stamps=stamps(spark, sf)).select(
         F.col("turbine_id").alias("series_id"), "ts", "power", "is_observed", "is_imputed", "is_simulated")
     rows = over_slots(
         clean, ["series_id"], DERIVED.interval_minutes, 0, 1, lambda w: {"y_true": F.lead("power", 1).over(w)})
-    split = S.split_by_time(rows, C.time_bounds(raw, DERIVED), DERIVED).withColumns(
+    split = S.split_by_time(rows, C.time_bounds(stamps(spark, sf), DERIVED), DERIVED).withColumns(
         {"y_pred": F.col("power"), "rated": F.lit(DERIVED.rated_kw)})
     scored = I.metrics(I.official_rows(split), ["series_id"])
     return scored.select("series_id", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), "n_samples")

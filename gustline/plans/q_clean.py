@@ -8,11 +8,11 @@ from gustline.operators import cleaning as C
 from gustline.plans.registry import query
 from gustline.plans.stages import stage, value
 from gustline.settings import SENSORS
-from gustline.sources.derived import DERIVED, readings, settings_for
+from gustline.sources.derived import DERIVED, readings, settings_for, stamps
 
 
 def clean_frame(spark, sf):
-    return stage(spark, sf, "clean", lambda: C.clean(readings(spark, sf), DERIVED))
+    return stage(spark, sf, "clean", lambda: C.clean(readings(spark, sf), DERIVED, stamps=stamps(spark, sf)))
 
 
 def farm_settings(spark, sf):
@@ -24,7 +24,7 @@ def unique_frame(spark, sf):
 
 
 def grid_frame(spark, sf):
-    raw = readings(spark, sf)
+    raw = stamps(spark, sf)
     return C.to_regular_grid(
         C.clip_readings(unique_frame(spark, sf)).drop("reading_no"),
         DERIVED, C.time_bounds(raw, DERIVED), raw.select("turbine_id").distinct(),
@@ -99,7 +99,7 @@ def d8(spark, sf):
 SELECT turbine_id, is_simulated, min(cutoff) AS cutoff, count(*) AS n_rows FROM t_clean,
   (SELECT least(TIMESTAMP '2024-01-29', max(ts)) AS cutoff FROM t_raw) GROUP BY ALL""")
 def d9(spark, sf):
-    cutoff = C.evaluation_cutoff(readings(spark, sf), DERIVED).scalar()
+    cutoff = C.evaluation_cutoff(stamps(spark, sf), DERIVED).scalar()
     return (
         clean_frame(spark, sf).groupBy("turbine_id", "is_simulated")
         .agg(F.count("*").alias("n_rows")).withColumn("cutoff", cutoff)
@@ -108,4 +108,4 @@ def d9(spark, sf):
 
 @query("d10_clean_chain", "SELECT * FROM t_clean")
 def d10(spark, sf):
-    return C.clean(readings(spark, sf), DERIVED)
+    return C.clean(readings(spark, sf), DERIVED, stamps=stamps(spark, sf))

@@ -12,13 +12,13 @@ from gustline.plans.q_clean import clean_frame, farm_settings
 from gustline.plans.registry import query
 from gustline.plans.stages import stage
 from gustline.settings import HORIZONS, SENSORS
-from gustline.sources.derived import DERIVED, readings
+from gustline.sources.derived import DERIVED, PLACES, readings, stamps, with_farm
 
 MAIN = ("power", "wind_speed", "temperature")
 
 
 def bounds(spark, sf):
-    return C.time_bounds(readings(spark, sf), DERIVED)
+    return C.time_bounds(stamps(spark, sf), DERIVED)
 
 
 def _over(names, spec):
@@ -155,16 +155,16 @@ def e10(spark, sf):
 
 
 @query("e10_farm_scope", """
-SELECT ts, turbine_id || '_' || name AS name, value FROM (
-  SELECT turbine_id, ts, lag(power) OVER (PARTITION BY turbine_id ORDER BY ts) AS power_lag1,
+SELECT farm_no, ts, place || '_' || name AS name, value FROM (
+  SELECT (CAST(substr(turbine_id, 3) AS BIGINT) - 1) // 12 AS farm_no, ts,
+    'TB' || lpad(CAST((CAST(substr(turbine_id, 3) AS BIGINT) - 1) % 12 + 1 AS VARCHAR), 2, '0') AS place,
+    lag(power) OVER (PARTITION BY turbine_id ORDER BY ts) AS power_lag1,
     max(power) OVER (PARTITION BY turbine_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS power_roll6_max FROM t_clean)
 UNPIVOT (value FOR name IN (power_lag1, power_roll6_max)) WHERE value IS NOT NULL""")
 def e10_farm(spark, sf):
-    df = clean_frame(spark, sf)
-    turbines = [r.turbine_id for r in df.select("turbine_id").distinct().orderBy("turbine_id").collect()]
-    wide = E.farm_scope_matrix(df, turbines, DERIVED)
-    names = [f"{t}_{c}" for t in turbines for c in ("power_lag1", "power_roll6_max")]
-    return wide.unpivot(["ts"], names, "name", "value").where(F.col("value").isNotNull())
+    wide = E.farm_scope_matrix(with_farm(clean_frame(spark, sf)), PLACES, DERIVED)
+    names = [f"{t}_{c}" for t in PLACES for c in ("power_lag1", "power_roll6_max")]
+    return wide.unpivot(["farm_no", "ts"], names, "name", "value").where(F.col("value").isNotNull())
 
 
 @query("e11_feature_columns")
@@ -300,7 +300,7 @@ def f5(spark, sf):
 
 
 @query("f6_walk_forward", """
-SELECT series_id, fold, part, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, sum(power) AS power FROM (
+SELECT series_id, CAST(fold AS INTEGER) AS fold, part, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, sum(power) AS power FROM (
   SELECT s.*, fold, CASE WHEN pos < greatest(floor(n * (0.25::DOUBLE + (fold - 1) * 0.12::DOUBLE)), 100) THEN 'train'
     WHEN pos < floor(n * (0.25::DOUBLE + fold * 0.12::DOUBLE)) THEN 'validation'
     WHEN pos < floor(n * (0.25::DOUBLE + (fold + 1) * 0.12::DOUBLE)) THEN 'test' END AS part
@@ -314,7 +314,7 @@ def f6(spark, sf):
 
 
 @query("f7_cv_folds", """
-SELECT series_id, fold, part, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts FROM (
+SELECT series_id, CAST(fold AS INTEGER) AS fold, part, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts FROM (
   SELECT s.*, fold, CASE WHEN pos < n - (n // 4) * (4 - fold) THEN 'train'
     WHEN pos < n - (n // 4) * (3 - fold) THEN 'test' END AS part
   FROM t_split s CROSS JOIN (SELECT unnest(range(1, 4)) AS fold))

@@ -18,11 +18,12 @@ from gustline.plans.q_clean import clean_frame, farm_settings, unique_frame
 from gustline.plans.q_features import series_targets, weather_rows
 from gustline.plans.q_scores import forecasts, metrics, official, predictions, rounded
 from gustline.plans.registry import query
+from gustline.plans.sqlbase import cte
 from gustline.session import shared_dir
 from gustline.settings import HORIZONS, SENSORS
 from gustline.sources import headers as B
 from gustline.sources import readers as A
-from gustline.sources.derived import DERIVED, readings
+from gustline.sources.derived import DERIVED, PLACES, readings, with_farm
 
 
 def scratch(spark, name):
@@ -193,46 +194,57 @@ def a11(spark, sf):
 
 # ---- schema mapping
 
-def raw_wide(spark, sf):
-    """All turbines side by side under raw headers, with a stale duplicate of one sensor per turbine."""
-    names = {"wind_speed": "Ambient WindSpeed Avg. (13)", "temperature": "Ambient Temp. Avg. (2)",
+RAW_NAMES = {"wind_speed": "Ambient WindSpeed Avg. (13)", "temperature": "Ambient Temp. Avg. (2)",
              "power": "Grid Production Power Avg. (3)", "frequency": "Grid Production Frequency Avg. (4)"}
-    rows = clean_frame(spark, sf)
-    turbines = [r.turbine_id for r in rows.select("turbine_id").distinct().orderBy("turbine_id").collect()]
-    wide = B.long_to_wide(rows.select("turbine_id", "ts", *SENSORS), turbines)
-    cells = [F.col("timestamp").alias(B.TIMESTAMP_HEADER)]
-    for t in turbines:
+
+cte("t_place", """
+SELECT *, (CAST(substr(turbine_id, 3) AS BIGINT) - 1) // 12 AS farm_no,
+  'TB' || lpad(CAST((CAST(substr(turbine_id, 3) AS BIGINT) - 1) % 12 + 1 AS VARCHAR), 2, '0') AS place FROM t_clean
+""")
+cte("t_places", """
+SELECT 'TB' || lpad(CAST(i AS VARCHAR), 2, '0') AS place, s AS sensor, h, u, coalesce(n, 0) AS n, r FROM (SELECT unnest(range(1, 13)) AS i)
+CROSS JOIN (VALUES ('wind_speed', 'Ambient WindSpeed Avg. (13)', 'm/s'), ('temperature', 'Ambient Temp. Avg. (2)', '°C'),
+  ('power', 'Grid Production Power Avg. (3)', 'kW'), ('frequency', 'Grid Production Frequency Avg. (4)', 'Hz')) v(s, h, u)
+CROSS JOIN (SELECT count(*) AS r FROM (SELECT DISTINCT farm_no, ts FROM t_place))
+LEFT JOIN (UNPIVOT (SELECT place AS p, count(wind_speed) AS wind_speed, count(temperature) AS temperature, count(power) AS power,
+    count(frequency) AS frequency FROM t_place GROUP BY 1) ON wind_speed, temperature, power, frequency INTO NAME q VALUE n) c
+  ON c.p = 'TB' || lpad(CAST(i AS VARCHAR), 2, '0') AND c.q = s
+""")
+
+
+def raw_wide(spark, sf):
+    """The turbines of each farm side by side under raw headers, with a stale duplicate of one sensor per turbine."""
+    rows = with_farm(clean_frame(spark, sf)).select("farm_no", "place", "ts", *SENSORS)
+    wide = B.long_to_wide(rows, PLACES, by=["farm_no"], column="place")
+    cells = ["farm_no", F.col("timestamp").alias(B.TIMESTAMP_HEADER)]
+    for t in PLACES:
         cells.append(F.lit(-1.0).alias(f"{t}_Ambient WindSpeed Avg. (1)"))
-        cells += [F.col(f"{t}_{s}").alias(f"{t}_{text}") for s, text in names.items()]
+        cells += [F.col(f"{t}_{s}").alias(f"{t}_{text}") for s, text in RAW_NAMES.items()]
     return wide.select(*cells)
 
 
-@query("b1_standard_headers", """
-SELECT turbine_id || '_' || s AS name, CASE s WHEN 'power' THEN p WHEN 'wind_speed' THEN w WHEN 'temperature' THEN t ELSE f END AS n
-FROM (SELECT turbine_id, count(power) AS p, count(wind_speed) AS w, count(temperature) AS t, count(frequency) AS f FROM t_clean GROUP BY 1)
-CROSS JOIN (VALUES ('power'), ('wind_speed'), ('temperature'), ('frequency')) v(s)""")
+@query("b1_standard_headers", "SELECT place || '_' || sensor AS name, n FROM t_places")
 def b1(spark, sf):
     df = B.standardise(raw_wide(spark, sf))
-    names = [c for c in df.columns if c != "timestamp"]
+    names = [c for c in df.columns if c not in ("timestamp", "farm_no")]
     counts = df.agg(F.lit(1).alias("_k"), *[F.count(c).alias(c) for c in names])
     return counts.unpivot(["_k"], names, "name", "n").drop("_k")
 
 
-@query("b2_wide_to_long", "SELECT turbine_id, ts, wind_speed, temperature, power, frequency FROM t_clean")
+@query("b2_wide_to_long", """
+SELECT farm_no, place AS turbine_id, ts, wind_speed, temperature, power, frequency FROM t_place
+WHERE coalesce(wind_speed, temperature, power, frequency) IS NOT NULL""")
 def b2(spark, sf):
-    return B.wide_to_long(B.standardise(raw_wide(spark, sf)))
+    long = B.wide_to_long(B.standardise(raw_wide(spark, sf)), keep=["farm_no"])
+    return long.where(F.coalesce(*SENSORS).isNotNull())
 
 
 @query("b4_data_dictionary", """
-SELECT turbine_id || '_' || h AS original_column, turbine_id || '_' || m AS standardized_name, turbine_id, m AS measurement_type,
-  u AS unit, 'double' AS data_type, n AS null_count, n * 100 / r AS null_pct,
-  CASE m WHEN 'power' THEN 'target' WHEN 'frequency' THEN 'auxiliary' ELSE 'feature' END AS role
-FROM (SELECT g.*, h, m, u, CASE m WHEN 'power' THEN p WHEN 'wind_speed' THEN w WHEN 'temperature' THEN t ELSE f END AS n
-  FROM (SELECT turbine_id, count(*) AS r, count(*) - count(power) AS p, count(*) - count(wind_speed) AS w,
-    count(*) - count(temperature) AS t, count(*) - count(frequency) AS f FROM t_clean GROUP BY 1) g
-  CROSS JOIN (VALUES ('Ambient WindSpeed Avg. (13)', 'wind_speed', 'm/s'), ('Ambient Temp. Avg. (2)', 'temperature', '°C'),
-    ('Grid Production Power Avg. (3)', 'power', 'kW'), ('Grid Production Frequency Avg. (4)', 'frequency', 'Hz')) v(h, m, u))
-UNION ALL SELECT 'PCTimeStamp', 'timestamp', '', 'unknown', 'unknown', 'timestamp_ntz', 0, 0, 'auxiliary'""")
+SELECT place || '_' || h AS original_column, place || '_' || sensor AS standardized_name, place AS turbine_id,
+  sensor AS measurement_type, u AS unit, 'double' AS data_type, r - n AS null_count, (r - n) * 100 / r AS null_pct,
+  CASE sensor WHEN 'power' THEN 'target' WHEN 'frequency' THEN 'auxiliary' ELSE 'feature' END AS role FROM t_places
+UNION ALL SELECT 'PCTimeStamp', 'timestamp', '', 'unknown', 'unknown', 'timestamp_ntz', 0, 0, 'auxiliary'
+UNION ALL SELECT 'farm_no', 'farm_no', '', 'unknown', 'unknown', 'bigint', 0, 0, 'auxiliary'""")
 def b4(spark, sf):
     return B.data_dictionary(raw_wide(spark, sf))
 

@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.functions.timeline import slot_of, slot_start
 from gustline.settings import FarmSettings
 
+# The twelve places of a farm.
+PLACES = [f"TB{i:02d}" for i in range(1, 13)]
+
 # Report date that falls inside the span of the given tables.
 DERIVED = FarmSettings(report_date="2024-01-29")
 
@@ -26,6 +29,23 @@ def settings_for(spark: SparkSession, sf_dir: str) -> FarmSettings:
     return replace(DERIVED, n_turbines=n)
 
 
+def turbine_name() -> Column:
+    return F.concat(F.lit("TB"), F.lpad(F.expr("user_id div 30 + 1").cast("string"), 5, "0"))
+
+
+def stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turbine and slot time of every event, ungrouped: enough for bounds and the turbine list."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select(turbine_name().alias("turbine_id"), slot_start(slot_of(F.col("ts"), 10), 10).alias("ts"))
+
+
+def with_farm(df: DataFrame) -> DataFrame:
+    """Twelve turbines make one farm: add its number and the turbine's place in it (`TB01` to `TB12`)."""
+    number = F.substring("turbine_id", 3, 5).cast("long") - 1
+    place = F.concat(F.lit("TB"), F.lpad((number % 12 + 1).cast("string"), 2, "0"))
+    return df.withColumns({"farm_no": F.floor(number / F.lit(12)), "place": place})
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(turbine_id, ts, reading_no, wind_speed, temperature, power, frequency), with duplicates."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -37,9 +57,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     def mean_of(step: int, *kinds: str):
         return F.floor(F.sum(of(*kinds)) / (F.count(of(*kinds)) * step)).cast("double")
 
-    number = F.expr("user_id div 30 + 1").cast("string")
     return events.groupBy(
-        F.concat(F.lit("TB"), F.lpad(number, 5, "0")).alias("turbine_id"),
+        turbine_name().alias("turbine_id"),
         slot_start(slot_of(F.col("ts"), 10), 10).alias("ts"),
         (F.col("event_id") % 2).alias("reading_no"),
     ).agg(

@@ -54,7 +54,7 @@ def turbines_of(columns: Sequence[str]) -> list[str]:
     return sorted(found)
 
 
-def wide_to_long(df: DataFrame, ts: str = "timestamp") -> DataFrame:
+def wide_to_long(df: DataFrame, ts: str = "timestamp", keep: Sequence[str] = ()) -> DataFrame:
     """One row per turbine and slot from `TBnn_<sensor>` columns, by exploding one array per row."""
     def cell(turbine: str) -> Column:
         values = [
@@ -63,13 +63,14 @@ def wide_to_long(df: DataFrame, ts: str = "timestamp") -> DataFrame:
         return F.struct(F.lit(turbine).alias("turbine_id"), *values)
 
     cells = F.array(*[cell(t) for t in turbines_of(df.columns)])
-    return df.select(F.col(ts).alias("ts"), F.explode(cells).alias("_c")).select("_c.turbine_id", "ts", *[
-        F.col(f"_c.{s}").alias(s) for s in SENSORS])
+    return df.select(*keep, F.col(ts).alias("ts"), F.explode(cells).alias("_c")).select(
+        *keep, "_c.turbine_id", "ts", *[F.col(f"_c.{s}").alias(s) for s in SENSORS])
 
 
-def long_to_wide(df: DataFrame, turbines: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Back to `TBnn_<sensor>` columns for the listed turbines."""
-    return df.groupBy(F.col(ts).alias("timestamp")).pivot("turbine_id", list(turbines)).agg(
+def long_to_wide(df: DataFrame, turbines: Sequence[str], ts: str = "ts", by: Sequence[str] = (),
+                 column: str = "turbine_id") -> DataFrame:
+    """Back to `TBnn_<sensor>` columns for the listed turbines, one row per slot (and `by`)."""
+    return df.groupBy(*by, F.col(ts).alias("timestamp")).pivot(column, list(turbines)).agg(
         *[F.first(s, ignorenulls=True).alias(s) for s in SENSORS])
 
 

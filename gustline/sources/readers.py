@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gustline.functions.timeline import slot_of
 from gustline.operators.cleaning import first_reading
 
 WEATHER_SCHEMA = T.StructType([
@@ -128,25 +129,33 @@ def file_coverage(spark: SparkSession, paths: Sequence[str], ts: str = "ts") ->
     return out
 
 
-def overlapping_windows(coverage: DataFrame, name: str = "file_name", start: str = "first_ts", end: str = "last_ts") -> DataFrame:
+def overlapping_windows(coverage: DataFrame, start: str = "first_ts", end: str = "last_ts") -> DataFrame:
     """How many other windows each window overlaps.
 
     Others that end before it starts or start after it ends are counted along the sorted boundaries, so
-    windows are never paired. The table holds one row per file.
+    windows are never paired. Boundaries are counted per moment, then per ten-minute slot; only the slot
+    totals, whose number follows the calendar, are added up in one order.
     """
     windows = coverage.where(F.col(start).isNotNull())
-    marks = windows.select(F.col(name), F.col(start).alias("_at"), F.lit(0).alias("_is_end")).union(
-        windows.select(F.col(name), F.col(end), F.lit(1)))
-    forward = Window.orderBy("_at", "_is_end").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    backward = Window.orderBy(F.desc("_at"), F.desc("_is_end")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = marks.withColumns({
-        "_ended": F.sum("_is_end").over(forward), "_started": F.sum(1 - F.col("_is_end")).over(backward)})
-    apart = counted.groupBy(name).agg(
-        F.max(F.when(F.col("_is_end") == 0, F.col("_ended"))).alias("_before"),
-        F.max(F.when(F.col("_is_end") == 1, F.col("_started"))).alias("_after"), )
+    marks = windows.select(F.col(start).alias("_at"), F.lit(1).alias("_s"), F.lit(0).alias("_e")).union(
+        windows.select(F.col(end), F.lit(0), F.lit(1)))
+    moments = marks.groupBy("_at").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")).withColumn(
+        "_slot", slot_of(F.col("_at"), 10))
+    slots = moments.groupBy("_slot").agg(F.sum("_s").alias("_ss"), F.sum("_e").alias("_se"))
+    along = Window.orderBy("_slot")
+    slots = slots.select(
+        "_slot", (F.sum("_se").over(along) - F.col("_se")).alias("_ended"),
+        (F.sum("_ss").over(along)).alias("_started"))
+    inside = Window.partitionBy("_slot").orderBy("_at")
     total = windows.agg(F.count("*")).scalar()
-    return coverage.join(apart, name, "left").withColumn(
-        "overlapping_files", (total - 1 - F.col("_before") - F.col("_after")).cast("long")).drop("_before", "_after")
+    slot_sum = F.sum("_s").over(Window.partitionBy("_slot"))
+    placed = moments.join(slots, "_slot").select(
+        "_at", (F.col("_ended") + F.sum("_e").over(inside) - F.col("_e")).alias("_before"),
+        (total - (F.col("_started") - slot_sum + F.sum("_s").over(inside))).alias("_after"))
+    left = placed.select(F.col("_at").alias(start), "_before")
+    right = placed.select(F.col("_at").alias(end), "_after")
+    return coverage.join(left, start, "left").join(right, end, "left").select(
+        *coverage.columns, (total - 1 - F.col("_before") - F.col("_after")).cast("long").alias("overlapping_files"))
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 100) -> DataFrame:
