@@ -11,13 +11,17 @@ from gustline.functions.timeline import over_slots, regular_slots, slot_of
 from gustline.settings import CLIP_LIMITS, DEFAULTS, FARM_SERIES, SENSORS, FarmSettings
 
 
-def first_reading(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_reading(df: DataFrame, keys: Sequence[str], order: Sequence[str], unique: bool = False) -> DataFrame:
     """Keep the earliest row per key.
 
     `min_by` combines before the shuffle, so a key repeated in a large share of the rows costs one
-    row per task rather than one huge window partition.
+    row per task rather than one huge window partition. When the single order column is known to be
+    `unique` within a key, columns are picked one by one, which stays in a hash aggregate.
     """
     rest = [c for c in df.columns if c not in keys]
+    if unique and len(order) == 1:
+        return df.groupBy(*keys).agg(*[
+            (F.min(c) if c == order[0] else F.min_by(c, order[0])).alias(c) for c in rest])
     return df.groupBy(*keys).agg(
         F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
     ).select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
@@ -64,22 +68,28 @@ def any_power_missing(df: DataFrame) -> DataFrame:
     return df.groupBy("ts").agg(F.max(F.col("power").isNull().cast("int")).alias("any_power_missing"))
 
 
+def fill_stage(settings: FarmSettings = DEFAULTS, sensors: Sequence[str] = SENSORS):
+    """The fill as a stage for `over_slots`, so that later stages of the same pass see filled values.
+
+    Such a pass must reach `max_fill_slots` further back than its own windows do.
+    """
+    def stage(window):
+        reach = window.rowsBetween(-settings.max_fill_slots, 0)
+        filled = {s: F.last(s, ignorenulls=True).over(reach) for s in sensors}
+        flag = F.lit(False)
+        for s in sensors:
+            flag = flag | (F.col(s).isNull() & filled[s].isNotNull())
+        return {**filled, "is_imputed": flag.cast("int")}
+
+    return stage
+
+
 def fill_forward(
     df: DataFrame, settings: FarmSettings = DEFAULTS, span: int | None = None
 ) -> DataFrame:
     """Carry the last value at most `max_fill_slots` slots and flag the rows that changed."""
-    k = settings.max_fill_slots
-
-    def columns(window):
-        reach = window.rowsBetween(-k, 0)
-        filled = {s: F.last(s, ignorenulls=True).over(reach) for s in SENSORS}
-        changed = [F.col(s).isNull() & filled[s].isNotNull() for s in SENSORS]
-        flag = changed[0]
-        for c in changed[1:]:
-            flag = flag | c
-        return {**filled, "is_imputed": flag.cast("int")}
-
-    return over_slots(df, ["turbine_id"], settings.interval_minutes, k, 0, columns, span=span)
+    return over_slots(
+        df, ["turbine_id"], settings.interval_minutes, settings.max_fill_slots, 0, fill_stage(settings), span=span)
 
 
 def row_imputed(df: DataFrame) -> DataFrame:
@@ -146,21 +156,27 @@ def series_frame(df: DataFrame, farm_flags: str = "any") -> DataFrame:
 
 
 def clean(df: DataFrame, settings: FarmSettings = DEFAULTS, order: Sequence[str] = ("reading_no",),
-          stamps: DataFrame | None = None) -> DataFrame:
+          stamps: DataFrame | None = None, unique: bool = False) -> DataFrame:
     """The fixed cleaning order: dedupe, clip, grid, flags, fill, status, cutoff.
 
     Bounds, turbines and cutoff are read from `stamps` (turbine_id, ts) where given, a leaner scan than
     the readings themselves.
     """
-    stamps = df if stamps is None else stamps
-    bounds = time_bounds(stamps, settings)
-    turbines = stamps.select("turbine_id").distinct()
-    cutoff = evaluation_cutoff(stamps, settings).scalar()
-    unique = first_reading(df.select("turbine_id", "ts", *order, *SENSORS), ["turbine_id", "ts"], order)
-    grid = to_regular_grid(clip_readings(unique.drop(*order)), settings, bounds, turbines)
+    grid, cutoff = cleaned_grid(df, settings, order, stamps, unique)
     return (
-        grid.transform(missing_flags)
-        .transform(fill_forward, settings)
+        grid.transform(fill_forward, settings)
         .transform(with_status)
         .transform(flag_simulated, cutoff)
     )
+
+
+def cleaned_grid(df: DataFrame, settings: FarmSettings = DEFAULTS, order: Sequence[str] = ("reading_no",),
+                 stamps: DataFrame | None = None, unique: bool = False) -> tuple[DataFrame, Column]:
+    """The steps before the fill, and the cutoff: for passes that fill and add features together."""
+    stamps = df if stamps is None else stamps
+    bounds = time_bounds(stamps, settings)
+    turbines = stamps.select("turbine_id").distinct()
+    cutoff = evaluation_cutoff(stamps, settings).scalar()
+    single = first_reading(df.select("turbine_id", "ts", *order, *SENSORS), ["turbine_id", "ts"], order, unique)
+    grid = to_regular_grid(clip_readings(single.drop(*order)), settings, bounds, turbines)
+    return missing_flags(grid), cutoff

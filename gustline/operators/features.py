@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from gustline.functions.timeline import over_slots
-from gustline.settings import DEFAULTS, HORIZONS, FarmSettings
+from gustline.operators.cleaning import fill_stage
+from gustline.settings import DEFAULTS, HORIZONS, SENSORS, FarmSettings
 
 # Substrings of names that must not be features, and row descriptions.
 MARKERS = ("_target_", "_missing", "_status", "_is_anomaly", "_anomaly_score", "_is_stopped", "_failure_event")
@@ -105,15 +106,20 @@ def rolling_stages(names: Sequence[str], windows: Sequence[int]) -> list:
             return out
         return stage
 
-    stages, previous = [], None
+    def together(*parts_):
+        def stage(window):
+            return {name: c for part in parts_ for name, c in part(window).items()}
+        return stage
+
+    # What a window publishes and what the next one looks up need only the sums so far: one step.
+    stages, previous, pending = [], None, []
     for w in sizes:
         if previous and w % previous == 0:
-            stages += [shifted(previous, w), *merged(previous, w)]
+            stages += [together(*pending, shifted(previous, w)), *merged(previous, w)]
         else:
-            stages.append(direct(w))
-        stages.append(finished(w))
-        previous = w
-    return stages
+            stages.append(together(*pending, direct(w)))
+        pending, previous = [finished(w)], w
+    return [*stages, together(*pending)]
 
 
 def change_columns(w: WindowSpec, names: Sequence[str]) -> dict[str, Column]:
@@ -189,8 +195,12 @@ def window_features(
     horizons: dict[str, int] | None = None,
     series: str = "turbine_id",
     span: int | None = None,
+    fill: bool = False,
 ) -> DataFrame:
-    """Every windowed feature and target in one pass: one shuffle, one sort."""
+    """Every windowed feature and target in one pass: one shuffle, one sort.
+
+    With `fill` the frame is an unfilled grid and the bounded fill happens in the same pass.
+    """
     horizons = HORIZONS if horizons is None else horizons
     sensors = [s for s in sensors if s in df.columns]
 
@@ -203,9 +213,10 @@ def window_features(
         }
 
     back = max([*settings.lags, *settings.windows, 6])
+    first = [fill_stage(settings, [s for s in SENSORS if s in df.columns])] if fill else []
     return over_slots(
-        df, [series], settings.interval_minutes, back, max(horizons.values(), default=0),
-        [simple, *rolling_stages(sensors, settings.windows)], span=span,
+        df, [series], settings.interval_minutes, back + (settings.max_fill_slots if fill else 0),
+        max(horizons.values(), default=0), [*first, simple, *rolling_stages(sensors, settings.windows)], span=span,
     )
 
 

@@ -16,13 +16,17 @@ SELECT series_id, round(sqrt(avg((power - y_true) ** 2)), 4) AS rmse, round(avg(
 FROM t_target WHERE horizon = '10min' AND split = 'test' AND is_observed = 1 AND is_imputed = 0 AND is_simulated = 0
   AND power IS NOT NULL AND y_true IS NOT NULL AND series_id <> 'farm_total_power' GROUP BY series_id""")
 def persistence_rmse(spark, sf):
-    """Dedupe, clip, grid, fill, one-step target, split, official mask and metrics, all in one plan."""
-    raw = readings(spark, sf)
-    clean = C.clean(raw, DERIVED, stamps=stamps(spark, sf)).select(
-        F.col("turbine_id").alias("series_id"), "ts", "power", "is_observed", "is_imputed", "is_simulated")
+    """Dedupe, clip, grid, fill, one-step target, split, official mask and metrics, all in one plan.
+
+    The fill and the target share one pass over the grid.
+    """
+    seen = stamps(spark, sf)
+    grid, cutoff = C.cleaned_grid(readings(spark, sf), DERIVED, stamps=seen, unique=True)
     rows = over_slots(
-        clean, ["series_id"], DERIVED.interval_minutes, 0, 1, lambda w: {"y_true": F.lead("power", 1).over(w)})
-    split = S.split_by_time(rows, C.time_bounds(stamps(spark, sf), DERIVED), DERIVED).withColumns(
+        grid.withColumnRenamed("turbine_id", "series_id"), ["series_id"], DERIVED.interval_minutes,
+        DERIVED.max_fill_slots, 1, [C.fill_stage(DERIVED), lambda w: {"y_true": F.lead("power", 1).over(w)}])
+    flagged = C.flag_simulated(rows, cutoff)
+    split = S.split_by_time(flagged, C.time_bounds(seen, DERIVED), DERIVED).withColumns(
         {"y_pred": F.col("power"), "rated": F.lit(DERIVED.rated_kw)})
     scored = I.metrics(I.official_rows(split), ["series_id"])
     return scored.select("series_id", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), "n_samples")

@@ -12,7 +12,7 @@ from gustline.sources.derived import DERIVED, readings, settings_for, stamps
 
 
 def clean_frame(spark, sf):
-    return stage(spark, sf, "clean", lambda: C.clean(readings(spark, sf), DERIVED, stamps=stamps(spark, sf)))
+    return stage(spark, sf, "clean", lambda: C.clean(readings(spark, sf), DERIVED, stamps=stamps(spark, sf), unique=True))
 
 
 def farm_settings(spark, sf):
@@ -20,7 +20,7 @@ def farm_settings(spark, sf):
 
 
 def unique_frame(spark, sf):
-    return C.first_reading(readings(spark, sf), ["turbine_id", "ts"], ["reading_no"])
+    return C.first_reading(readings(spark, sf), ["turbine_id", "ts"], ["reading_no"], unique=True)
 
 
 def grid_frame(spark, sf):
@@ -108,4 +108,4 @@ def d9(spark, sf):
 
 @query("d10_clean_chain", "SELECT * FROM t_clean")
 def d10(spark, sf):
-    return C.clean(readings(spark, sf), DERIVED, stamps=stamps(spark, sf))
+    return C.clean(readings(spark, sf), DERIVED, stamps=stamps(spark, sf), unique=True)

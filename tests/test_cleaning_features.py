@@ -109,6 +109,22 @@ def test_rolling_equals_pandas(spark):
             np.testing.assert_allclose(got[f"power_roll{w}_{name}"].to_numpy(dtype=float), want, rtol=1e-9, atol=1e-7)
 
 
+def test_fill_and_features_in_one_pass_equal_two(scada):
+    import random
+
+    rng = random.Random(9)
+
+    def draw():
+        return [None if rng.random() < 0.6 else float(rng.randrange(0, 2000)) for _ in range(900)]
+
+    grid = C.to_regular_grid(scada(power=draw(), wind_speed=draw(), temperature=draw(), frequency=draw()))
+    apart = E.window_features(C.fill_forward(grid), span=700)
+    together = E.window_features(grid, fill=True, span=450)
+    columns = [c for c in apart.columns if not c.endswith(("_std", "_mean"))]
+    assert apart.count() == 900
+    assert apart.select(columns).exceptAll(together.select(columns)).count() == 0
+
+
 def test_growth_from_zero(scada):
     df = over_slots(scada(power=[0.0, 5.0, 10.0, 0.0, 0.0]), ["turbine_id"], 10, 6, 0,
                     lambda w: E.change_columns(w, ["power"]))
