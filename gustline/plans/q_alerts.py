@@ -227,7 +227,23 @@ def j14(spark, sf):
     return rounded(J.anomaly_accuracy(clean_frame(spark, sf), DERIVED), 6)
 
 
-@query("j15_frozen_runs")
+@query("j15_frozen_runs", """
+WITH RECURSIVE v AS (SELECT turbine_id, power, row_number() OVER (PARTITION BY turbine_id ORDER BY ts) - 1 AS pos,
+    count(*) OVER (PARTITION BY turbine_id) AS n FROM t_clean),
+scan AS (
+  SELECT turbine_id, pos, n, power AS anchor, CASE WHEN power IS NULL THEN 0 ELSE 1 END AS len, pos AS first, 0 AS blocks, 0 AS samples
+  FROM v WHERE pos = 0
+  UNION ALL
+  SELECT v.turbine_id, v.pos, v.n, CASE WHEN coalesce(abs(v.power - anchor) < 1, false) THEN anchor ELSE v.power END,
+    CASE WHEN coalesce(abs(v.power - anchor) < 1, false) THEN len + 1 WHEN v.power IS NULL THEN 0 ELSE 1 END,
+    CASE WHEN coalesce(abs(v.power - anchor) < 1, false) THEN first ELSE v.pos END,
+    blocks + CASE WHEN NOT coalesce(abs(v.power - anchor) < 1, false) AND len >= 5 AND first < v.n - 5 THEN 1 ELSE 0 END,
+    samples + CASE WHEN NOT coalesce(abs(v.power - anchor) < 1, false) AND len >= 5 AND first < v.n - 5 THEN len ELSE 0 END
+  FROM scan s JOIN v ON v.turbine_id = s.turbine_id AND v.pos = s.pos + 1)
+SELECT turbine_id, CAST(blocks + CASE WHEN len >= 5 AND first < n - 5 THEN 1 ELSE 0 END AS BIGINT) AS frozen_blocks,
+  CAST(samples + CASE WHEN len >= 5 AND first < n - 5 THEN len ELSE 0 END AS BIGINT) AS frozen_samples, n AS n_rows,
+  CAST(samples + CASE WHEN len >= 5 AND first < n - 5 THEN len ELSE 0 END AS DOUBLE) / n AS frozen_ratio
+FROM scan WHERE pos = n - 1""")
 def j15(spark, sf):
     return D.frozen_runs(clean_frame(spark, sf), settings=DERIVED)
 

@@ -87,7 +87,7 @@ def _stored_model(spark, sf):
     return rows, model, folder
 
 
-@query("g11_save_and_load")
+@query("g11_save_and_load", "SELECT count(DISTINCT ts) AS n_rows, 0.0::DOUBLE AS largest_change FROM t_clean")
 def g11(spark, sf):
     rows, model, folder = _stored_model(spark, sf)
     loaded, features = G.load_model(spark, folder, "farm_1hour_forest")
@@ -127,6 +127,14 @@ def _features(df):
 
 
 @query("g14_fair_experiment")
+def g14_four(spark, sf):
+    rows = farm_rows(spark, sf)
+    best = E.top_features(rows.where("split = 'train'"), TREE_FEATURES, "y_true", 6)
+    presets = {name: replace(preset, trees=3) for name, preset in BOOSTED.items()}
+    return G.fair_experiment(rows, {"all": TREE_FEATURES, "top_6": best}, presets)
+
+
+@query("g14_feature_count")
 def g14(spark, sf):
     rows = turbine_rows(spark, sf)
     every = _features(rows)

@@ -24,6 +24,8 @@ def with_ctes(body: str) -> str:
     visit(body)
     parts = [f"{n} AS (\n{CTES[n]}\n)" for n in CTES if n in needed]
     body = body.strip()
+    if body.startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join([*parts, body[15:]])
     if parts and body.startswith("WITH "):
         return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body

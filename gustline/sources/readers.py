@@ -56,23 +56,25 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 def read_all(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], ts: str = "ts") -> DataFrame:
     """Union of the inputs, one row per key: that of the first input in name order.
 
-    One read per format; the inputs' order is a small rank looked up from the row's file path.
+    One read per format. A row's input is the part of its file path right below the input's folder, so
+    the work does not depend on how many inputs there are.
     """
     by_kind: dict[str, list[str]] = {}
     for path in paths:
         by_kind.setdefault(extension(path), []).append(path)
-    ranks = {p: i for i, p in enumerate(sorted(paths, key=lambda p: p.rstrip("/").rsplit("/", 1)[-1]))}
+    folders = sorted({p.rstrip("/").rsplit("/", 1)[0] for p in paths})
+    below = F.col("_metadata.file_path")
+    name = F.lit("")
+    for folder in folders:
+        rest = F.substring_index(below, f"{folder}/", -1)
+        name = F.when(below.contains(f"{folder}/"), F.substring_index(rest, "/", 1)).otherwise(name)
     out = None
     for kind, group in by_kind.items():
-        df = _read(spark, kind, group, None)
-        rank = F.lit(None).cast("int")
-        for path in group:
-            rank = F.when(F.col("_metadata.file_path").contains(path), F.lit(ranks[path])).otherwise(rank)
-        df = df.withColumn("_rank", rank)
+        df = _read(spark, kind, group, None).withColumn("_input", name)
         df = df.withColumn(ts, as_timestamp(F.col(ts), dict(df.dtypes)[ts])).dropna(subset=[ts])
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    rest = [c for c in out.columns if c not in (*keys, "_rank")]
-    return first_reading(out, keys, ["_rank", *rest]).drop("_rank")
+    rest = [c for c in out.columns if c not in (*keys, "_input")]
+    return first_reading(out, keys, ["_input", *rest]).drop("_input")
 
 
 def load_weather(spark: SparkSession, path: str) -> DataFrame:
