@@ -14,7 +14,9 @@ from gustline.operators import models as G
 from gustline.operators import splits as S
 from gustline.plans.q_clean import clean_frame, farm_settings
 from gustline.plans.q_features import bounds, series_targets, weather_rows
+from gustline.plans.q_scores import rounded
 from gustline.plans.registry import query
+from gustline.plans.sqlbase import cte
 from gustline.plans.stages import stage
 from gustline.session import shared_dir
 from gustline.settings import FARM_SERIES
@@ -148,6 +150,29 @@ def g15(spark, sf):
     return G.compare_linear(rows, G.ablation_blocks(_features(rows)), 1.0, farm_settings(spark, sf))
 
 
+cte("t_nwp", """
+SELECT t.*, CASE horizon WHEN '1hour' THEN w6 ELSE w36 END AS nwp FROM t_target t
+JOIN (SELECT ts, lead(farm_avg_wind, 6) OVER (ORDER BY ts) AS w6, lead(farm_avg_wind, 36) OVER (ORDER BY ts) AS w36 FROM t_farm) f
+  ON f.ts = t.ts
+WHERE horizon IN ('1hour', '6hour') AND power IS NOT NULL AND y_true IS NOT NULL
+  AND CASE horizon WHEN '1hour' THEN w6 ELSE w36 END IS NOT NULL
+""")
+cte("t_ablation", """
+SELECT r.series_id, r.horizon, feature_set, avg(abs(p - y_true)) AS mae, sqrt(avg((p - y_true) ** 2)) AS rmse,
+  1 - sum((p - y_true) ** 2) / (var_pop(y_true) * count(*)) AS r2, count(*) AS n_samples
+FROM (SELECT t.series_id, t.horizon, y_true, feature_set, CASE feature_set
+      WHEN 'scada_only' THEN ym + n * cpy / ps / (n + 1.0::DOUBLE) / ps * (power - pm)
+      ELSE ym + (b1 * d - b2 * c12) / (d * d - c12 * c12) / ps * (power - pm) + (b2 * d - b1 * c12) / (d * d - c12 * c12) / ws * (nwp - wm)
+    END AS p
+  FROM t_nwp t JOIN (SELECT *, 1 + 1.0::DOUBLE / n AS d, cpw / ps / ws AS c12, cpy / ps AS b1, cwy / ws AS b2 FROM (
+      SELECT series_id, horizon, count(*) AS n, avg(power) AS pm, avg(nwp) AS wm, avg(y_true) AS ym, stddev_pop(power) AS ps,
+        stddev_pop(nwp) AS ws, covar_pop(power, nwp) AS cpw, covar_pop(power, y_true) AS cpy, covar_pop(nwp, y_true) AS cwy
+      FROM t_nwp WHERE split = 'train' GROUP BY ALL)) f ON f.series_id = t.series_id AND f.horizon = t.horizon
+  CROSS JOIN (VALUES ('scada_only'), ('scada_plus_nwp')) v(feature_set) WHERE split = 'test') r
+GROUP BY ALL
+""")
+
+
 def weather_ablation(spark, sf):
     rows = series_targets(spark, sf)
     weather = weather_rows(spark, sf)
@@ -155,15 +180,24 @@ def weather_ablation(spark, sf):
     for horizon, lead in (("1hour", 60), ("6hour", 360)):
         part = E.add_weather(rows.where(F.col("horizon") == horizon), weather, lead)
         both = part if both is None else both.unionByName(part)
-    blocks = {"scada_only": ["power", "wind_speed", "roll6"], "scada_plus_nwp": ["power", "wind_speed", "roll6", "nwp_wind_speed"]}
+    blocks = {"scada_only": ["power"], "scada_plus_nwp": ["power", "nwp_wind_speed"]}
     return G.compare_linear(both, blocks, 1.0, farm_settings(spark, sf))
 
 
-@query("g16_weather_ablation")
+@query("g16_weather_ablation", """
+SELECT series_id, horizon, feature_set, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(r2, 4) AS r2, n_samples,
+  round(mae / CASE WHEN series_id = 'farm_total_power' THEN farm_rated ELSE 2200.0::DOUBLE END * 100, 4) AS nmae_pct
+FROM t_ablation, t_rated""")
 def g16(spark, sf):
-    return weather_ablation(spark, sf)
+    return rounded(weather_ablation(spark, sf))
 
 
-@query("i33_ablation_side_by_side")
+@query("i33_ablation_side_by_side", """
+SELECT series_id, horizon, round(max(rmse) FILTER (feature_set = 'scada_only'), 4) AS rmse_scada_only,
+  round(max(r2) FILTER (feature_set = 'scada_only'), 4) AS r2_scada_only,
+  round(max(rmse) FILTER (feature_set = 'scada_plus_nwp'), 4) AS rmse_scada_plus_nwp,
+  round(max(r2) FILTER (feature_set = 'scada_plus_nwp'), 4) AS r2_scada_plus_nwp,
+  round(max(rmse) FILTER (feature_set = 'scada_plus_nwp') - max(rmse) FILTER (feature_set = 'scada_only'), 4) AS rmse_change
+FROM t_ablation GROUP BY series_id, horizon""")
 def i33(spark, sf):
-    return B.ablation_side_by_side(weather_ablation(spark, sf), ("scada_only", "scada_plus_nwp"))
+    return rounded(B.ablation_side_by_side(weather_ablation(spark, sf), ("scada_only", "scada_plus_nwp")))

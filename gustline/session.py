@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_OWN: dict[str, str] = {}
 
 
 def build_session(app: str = "gustline", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,11 +28,13 @@ def build_session(app: str = "gustline", master: str | None = None, **conf: str)
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach; a local one is made only when the cluster names none."""
-    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if not named:
-        named = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set(CHECKPOINT_KEY, named)
-    return named
+    named = spark.conf.get(CHECKPOINT_KEY, "") or spark.sparkContext.getConf().get(CHECKPOINT_KEY, "")
+    if named:
+        return named
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="spark-")
+    return _OWN[app]
 
 
 def write_stage(df: DataFrame, label: str) -> str:
