@@ -167,7 +167,34 @@ def e10_farm(spark, sf):
     return wide.unpivot(["farm_no", "ts"], names, "name", "value").where(F.col("value").isNotNull())
 
 
-@query("e11_feature_columns")
+def _feature_sql():
+    """Every feature of the matrix as SQL, named as the matrix names it."""
+    w = "OVER (PARTITION BY turbine_id ORDER BY c.ts)"
+    cols = {c: c for c in SENSORS}
+    cols |= {f"{c}_lag{k}": f"lag({c}, {k}) {w}" for c in MAIN for k in DERIVED.lags}
+    for c in MAIN:
+        for k in DERIVED.windows:
+            over = f"OVER (PARTITION BY turbine_id ORDER BY c.ts ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
+            cols |= {f"{c}_roll{k}_{n}": f"{fn}({c}) {over}"
+                     for n, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))}
+    cols |= {f"power_diff{k}": f"power - lag(power, {k}) {w}" for k in (1, 3, 6)}
+    cols["power_pctchange1"] = (
+        f"CASE WHEN lag(power) {w} = 0 AND power <> 0 THEN 0 WHEN lag(power) {w} <> 0 THEN power / lag(power) {w} - 1 END")
+    cols |= {"power_ramp": f"power - lag(power) {w}", "power_ramp_abs": f"power - lag(power) {w}",
+             "power_per_wind": "power / nullif(wind_speed, 0)"}
+    always = ["power_ramp_up", "power_ramp_down", *[
+        "hour_of_day", "day_of_week", "month", "day_of_year", "is_weekend", "hour_sin", "hour_cos", "month_sin", "month_cos",
+        "dow_sin", "dow_cos", "season"]]
+    cols |= {n: "1" for n in always}
+    cols |= {"farm_avg_power": "farm_avg_power", "farm_avg_wind": "farm_avg_wind"}
+    inner = ", ".join(f"{e} AS f_{n}" for n, e in cols.items())
+    counts = ", ".join(f"count(f_{n}) AS {n}" for n in cols)
+    return f"""
+SELECT feature, n_present, n_rows FROM (UNPIVOT (SELECT count(*) AS n_rows, {counts} FROM (
+  SELECT {inner} FROM t_clean c JOIN t_farm f ON f.ts = c.ts)) ON {", ".join(cols)} INTO NAME feature VALUE n_present)"""
+
+
+@query("e11_feature_columns", _feature_sql())
 def e11(spark, sf):
     df = clean_frame(spark, sf)
     matrix = E.feature_matrix(df, C.farm_frame(df), DERIVED)
