@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gustline.functions.joins import attach
-from gustline.operators.features import filled_features, training_frame
+from gustline.operators.features import filled_features, top_features, training_frame
 from gustline.session import write_stage
 from gustline.settings import DEFAULTS, FARM_SERIES, FarmSettings
 
@@ -134,15 +134,28 @@ def fit_linear(train: DataFrame, features: Sequence[str], alpha: float = 0.0,
     return solve_linear(products(rows, features, keys, target), features, alpha, keys)
 
 
+LONG_DOT = 30
+
+
+def dot(coefs: str, features: Sequence[str]) -> Column:
+    """Sum of coefficient times feature.
+
+    A long sum would outgrow what the JVM compiles, so beyond a few terms the features go into an array.
+    """
+    values = [F.col(f).cast("double") for f in features]
+    if len(features) <= LONG_DOT:
+        return sum((F.col(coefs)[i] * v for i, v in enumerate(values)), F.lit(0.0))
+    terms = F.zip_with(F.col(coefs), F.array(*values), lambda a, b: a * b)
+    return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+
+
 def predict_linear(df: DataFrame, fits: DataFrame, features: Sequence[str], name: str,
                    keys: Sequence[str] = TARGET_KEYS, fill: bool = False) -> DataFrame:
     """Add the dot product with the fitted coefficients; `fill` counts a missing feature as 0."""
     source = filled_features(df, features) if fill else df
-    dot = F.col("_intercept")
-    for i, feature in enumerate(features):
-        dot = dot + F.col("_coefs")[i] * F.col(feature)
+    guess = F.col("_intercept") + dot("_coefs", features)
     picked = fits.select(*keys, F.col("intercept").alias("_intercept"), F.col("coefs").alias("_coefs"))
-    return attach(source, picked, keys).select(*df.columns, dot.alias(name))
+    return attach(source, picked, keys).select(*df.columns, guess.alias(name))
 
 
 # ---- the long prediction table
@@ -239,21 +252,25 @@ def fit_scores(scored: DataFrame, truth: str = "y_true", guess: str = "predictio
 
 
 def train_all(frame: DataFrame, targets: dict[str, str], features: Sequence[str],
-              presets: dict[str, TreePreset] = PRESETS, seed: int = 42, parallel: int = 4):
+              presets: dict[str, TreePreset] = PRESETS, settings: FarmSettings = DEFAULTS, parallel: int = 4):
     """Fit every (target, learner), score on validation, mark the best by validation RMSE.
 
-    `targets` maps a target's name to its label column. Fits are submitted from a small thread pool so
+    `targets` maps a target's name to its label column. A longer feature list is first cut to the
+    `settings.top_features` best by univariate score on the training rows. Fits are submitted from a small thread pool so
     that their stages overlap; each result row holds four numbers. Fails if any cell is missing.
     """
     spark = frame.sparkSession
     train = frame.where(F.col("split") == "train").persist()
     validation = frame.where(F.col("split") == "validation").persist()
+    many = len(features) > settings.top_features
+    chosen = {t: top_features(train, features, label, settings.top_features) if many else list(features)
+              for t, label in targets.items()}
     cells = [(t, label, name, preset) for t, label in targets.items() for name, preset in presets.items()]
 
     def run(cell):
         target, label, name, preset = cell
-        model = fit_tree(train, features, preset, label, seed)
-        score = fit_scores(predict_tree(model, validation, features), label).first()
+        model = fit_tree(train, chosen[target], preset, label, settings.seed)
+        score = fit_scores(predict_tree(model, validation, chosen[target]), label).first()
         return (target, name), model, (target, name, score.mae, score.rmse, score.r2, score.n_samples)
 
     try:
@@ -376,12 +393,9 @@ def compare_linear(rows: DataFrame, blocks: dict[str, Sequence[str]], alpha: flo
             *TARGET_KEYS, F.col("intercept").alias(f"i_{name}"), F.col("coefs").alias(f"c_{name}"))
         fits = part if fits is None else fits.join(part, list(TARGET_KEYS))
     test = attach(complete.where("split = 'test'"), fits, TARGET_KEYS)
-    guesses = []
-    for name, features in blocks.items():
-        # A plain dot product over two arrays; a sum of a hundred terms would outgrow compiled methods.
-        terms = F.zip_with(F.col(f"c_{name}"), F.array(*[F.col(f).cast("double") for f in features]), lambda a, b: a * b)
-        total = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
-        guesses.append(F.struct(F.lit(name).alias("feature_set"), (F.col(f"i_{name}") + total).alias("y_pred")))
+    guesses = [
+        F.struct(F.lit(name).alias("feature_set"), (F.col(f"i_{name}") + dot(f"c_{name}", features)).alias("y_pred"))
+        for name, features in blocks.items()]
     long = test.select(*TARGET_KEYS, "y_true", F.explode(F.array(*guesses)).alias("_g")).select(
         *TARGET_KEYS, "y_true", "_g.*")
     e = F.col("y_pred") - F.col("y_true")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gustline.functions.joins import attach
 from gustline.functions.quantiles import exact_quantiles
-from gustline.functions.timeline import slot_of
 from gustline.settings import FARM_SERIES
 
 GROUP = ["series_id", "horizon", "model"]

@@ -13,7 +13,7 @@ from gustline.plans.q_scores import predictions, rounded
 from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
 from gustline.settings import SENSORS
-from gustline.sources.derived import DERIVED
+from gustline.sources.derived import DERIVED, PLACES, with_farm
 
 SCREEN = "'heuristic_screening' AS method, false AS confirmed, 'SCREENING_ONLY' AS verification_status"
 
@@ -118,7 +118,10 @@ def j6(spark, sf):
 
 @query("j7_isolation_forest")
 def j7(spark, sf):
-    return D.isolation_scores(clean_frame(spark, sf), ["wind_speed", "power", "temperature"], ["turbine_id", "ts"])
+    """On the wind readings of the first three turbines of each farm, side by side."""
+    first = PLACES[:3]
+    wide = with_farm(clean_frame(spark, sf)).groupBy("farm_no", "ts").pivot("place", first).agg(F.first("wind_speed"))
+    return D.isolation_scores(wide, first, ["farm_no", "ts"])
 
 
 @query("j8_anomaly_counts", """

@@ -50,8 +50,7 @@ def g1(spark, sf):
 
 
 @query("g2_ridge", """
-SELECT series_id, horizon, n,
-  round((c11 * c22 - c12 * c12), 4) AS det, round(wp / ps, 6) AS power_coef, round(ww / ws, 6) AS wind_coef,
+SELECT series_id, horizon, n, round(wp / ps, 6) AS power_coef, round(ww / ws, 6) AS wind_coef,
   round(ym - wp / ps * pm - ww / ws * wm, 4) AS intercept
 FROM (SELECT *, (b1 * c22 - b2 * c12) / (c11 * c22 - c12 * c12) AS wp, (b2 * c11 - b1 * c12) / (c11 * c22 - c12 * c12) AS ww
   FROM (SELECT *, 1 + 1.0::DOUBLE / n AS c11, 1 + 1.0::DOUBLE / n AS c22, cpw / ps / ws AS c12, cpy / ps AS b1, cwy / ws AS b2
@@ -59,7 +58,7 @@ FROM (SELECT *, (b1 * c22 - b2 * c12) / (c11 * c22 - c12 * c12) AS wp, (b2 * c11
       stddev_pop(power) AS ps, stddev_pop(wind_speed) AS ws, covar_pop(power, wind_speed) AS cpw,
       covar_pop(power, y_true) AS cpy, covar_pop(wind_speed, y_true) AS cwy
       FROM t_target WHERE split = 'train' AND power IS NOT NULL AND wind_speed IS NOT NULL AND y_true IS NOT NULL
-      GROUP BY ALL)))""".replace("round((c11 * c22 - c12 * c12), 4) AS det, ", ""))
+      GROUP BY ALL)))""")
 def g2(spark, sf):
     train = series_targets(spark, sf).where("split = 'train'")
     fits = G.fit_linear(train, ["power", "wind_speed"], alpha=1.0)
