@@ -56,16 +56,15 @@ def rolling_stages(names: Sequence[str], windows: Sequence[int]) -> list:
         return stage
 
     def shifted(small: int, w: int):
+        # One look-up per shift brings the parts of every column.
         def stage(window):
-            return {
-                f"{name}_{k}": F.lag(name, k * small).over(window)
-                for c in names for name in parts(c, small) for k in range(1, w // small)
-            }
+            packed = F.struct(*[F.col(name) for c in names for name in parts(c, small)])
+            return {f"_{small}_{k}": F.lag(packed, k * small).over(window) for k in range(1, w // small)}
         return stage
 
     def merged(small: int, w: int):
         def copies(name):
-            return [F.col(name)] + [F.col(f"{name}_{k}") for k in range(1, w // small)]
+            return [F.col(name)] + [F.col(f"_{small}_{k}").getField(name) for k in range(1, w // small)]
 
         def sums(_):
             out = {}
