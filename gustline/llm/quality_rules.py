@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.llm.text import (
@@ -121,12 +121,17 @@ def choose(counts: pd.DataFrame, level: float, risk: float = RISK, price: float
     return passed
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """(stratum, one cutoff per rule) from all labelled rows; a null cutoff rejects nothing."""
-    spark = docs.sparkSession
-    plain = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("stratum"), F.col("text").cast("string").alias("text"))
-    marks = labels.select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("good")).where("good is not null")
-    marked = with_features(plain.join(marks, "id"), ["id", "stratum", "good"]).where(f"not ({failed()})")
+def measured(docs: DataFrame) -> DataFrame:
+    """id, stratum and features of every row of docs, stored: the texts themselves are never shuffled."""
+    plain = docs.select(F.col("doc_id").alias("id"), stratum().alias("stratum"), F.col("text").cast("string").alias("text"))
+    return docs.sparkSession.read.parquet(write_stage(with_features(plain, ["id", "stratum"]), "features"))
+
+
+def thresholds(rows: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
+    """(stratum, one cutoff per rule) from all labelled rows of measured(); a null cutoff rejects nothing."""
+    spark = rows.sparkSession
+    marks = labels.select(F.col("doc_id").alias("of"), (F.col("quality") == 1).alias("good")).where("good is not null")
+    marked = rows.join(marks, F.col("id") == F.col("of")).where(f"not ({failed()})")
     bins = F.array(*[F.struct(F.lit(r).alias("rule"), F.least(F.floor(F.expr(e)), F.lit(BINS)).cast("int").alias("bin")) for r, e in RULES.items()])
     counted = (marked.select("stratum", "good", (F.crc32(F.col("id").cast("string")) % 4 != 0).alias("hold"), F.explode(bins).alias("f"))
                .groupBy("stratum", "good", "hold", "f.rule", "f.bin").agg(F.count("*").alias("n")))
@@ -141,15 +146,17 @@ def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: fl
     return spark.read.parquet(write_stage(counted.groupBy("stratum").applyInPandas(pick, schema), "cutoffs"))
 
 
+def stratum() -> Column:
+    return F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
+
+
 def failed() -> str:
     return f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {REPEAT_PERCENT} * n_words"
 
 
-def judged(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns `keep`, the features, base_failed and kept."""
-    cuts = thresholds(docs, labels)
-    rows = with_features(docs.withColumn("lang_", F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))), [*keep, "lang_"])
-    rows = rows.join(cuts.withColumnRenamed("stratum", "lang_"), "lang_", "left")
+def judged(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """rows (stratum and features) with base_failed and kept."""
+    rows = rows.join(cuts.withColumnRenamed("stratum", "of"), F.col("stratum") == F.col("of"), "left")
     broken = [F.coalesce(F.floor(F.expr(e)) >= F.col(f"cut_{r}"), F.lit(False)) for r, e in RULES.items()]
     any_broken = F.array_contains(F.array(*broken), True)
     return rows.withColumn("base_failed", F.expr(failed())).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(any_broken, F.lit(False)))
@@ -158,16 +165,17 @@ def judged(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of docs that the rules keep, with all their columns."""
     names = docs.columns
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}_") for i, c in enumerate(names)],
-                        *[F.col(c).alias(c) for c in ("doc_id", "lang")], F.col("text").cast("string").alias("text"))
-    kept = judged(inner, labels, [f"c{i}_" for i in range(len(names))]).where("kept")
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}_") for i, c in enumerate(names)], stratum().alias("stratum"),
+                        F.col("text").cast("string").alias("text"))
+    rows = with_features(inner, [*[f"c{i}_" for i in range(len(names))], "stratum"])
+    kept = judged(rows, thresholds(measured(docs), labels)).where("kept")
     return kept.select(*[F.col(f"c{i}_").alias(c) for i, c in enumerate(names)])
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    rows = judged(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ["doc_id"])
-    return rows.select("doc_id", *BASE, "base_failed", "kept")
+    rows = measured(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    cuts = thresholds(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged(rows, cuts).select(F.col("id").alias("doc_id"), *BASE, "base_failed", "kept")
 
 
 QUERIES = {"op7_quality_rules": op7_quality_rules}
