@@ -84,7 +84,8 @@ class Mix:
         spread = used.withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
         begin = F.greatest(F.col("start"), F.col("block") * block)
         end = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("words"))
-        self.taken = (spread.join(self.slots, ["s_", "block"]).where(begin < end)
+        # sizes after an explode are not known to the planner: a merge join, never a broadcast of slots
+        self.taken = (spread.hint("merge").join(self.slots.hint("merge"), ["s_", "block"]).where(begin < end)
                       .select(*keys, "s_", "start", "pass", "shard", (begin - F.col("start")).alias("first"), (end - begin).alias("words")))
 
     def draws(self) -> DataFrame:
@@ -123,7 +124,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = Mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), ["doc_id"])
     got = mix.taken.groupBy(F.col("s_").alias("t_"), F.col("start").alias("at_")).agg(F.sum("words").alias("taken"))
     rows = mix.placed.join(mix.sources.select(F.col("s_").alias("own_"), "source_size", "target"), F.col("s_") == F.col("own_"))
-    rows = rows.join(got, (F.col("s_") == F.col("t_")) & (F.col("start") == F.col("at_")) & (F.col("size") > 0), "left")
+    rows = rows.join(got.hint("merge"), (F.col("s_") == F.col("t_")) & (F.col("start") == F.col("at_")) & (F.col("size") > 0), "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
