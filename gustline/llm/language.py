@@ -107,7 +107,7 @@ def fit(docs: DataFrame, rows: int = ROWS) -> Classifier:
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(rows_, pa.binary())], ["lang", "bits"])
 
     found = sorted((r["lang"], bytes(r["bits"])) for r in drawn.select("text", "lang").mapInArrow(run, "lang string, bits binary").collect())
-    x = np.array([np.unpackbits(np.frombuffer(b, np.uint8)) for _, b in found], np.float32).reshape(len(found), -1)
+    x = np.array([np.unpackbits(np.frombuffer(b, np.uint8)) for _, b in found], np.float32).reshape(len(found), 1 << BITS)
     return Classifier(x, [lang for lang, _ in found])
 
 
