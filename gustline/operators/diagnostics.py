@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gustline.session import write_stage
 from gustline.functions.measures import correlation
 from gustline.functions.timeline import over_slots, run_positions, slot_of
 from gustline.settings import DEFAULTS, SENSORS, FarmSettings
@@ -106,22 +107,28 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[list[floa
     return nodes
 
 
+def isolation_sample(filled: DataFrame, columns: Sequence[str], keys: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
+    """min(sample, n) rows for each tree, by a hash of key and tree."""
+    total = filled.agg(F.count("*").alias("n")).first().n
+    rate = min(1.0, (2.0 * sample + 64.0) / max(total, 1))
+    draw = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.xxhash64(*keys, F.lit(seed), t).alias("_h"))),
+        lambda d: F.pmod(d["_h"], F.lit(1_000_000_007)) < rate * 1_000_000_007)
+    per_tree = filled.select(*columns, F.explode(draw).alias("_d")).select(*columns, "_d.tree", "_d._h")
+    order = Window.partitionBy("tree").orderBy(F.pmod("_h", F.lit(1_000_000_007)), "_h")
+    return per_tree.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample)
+
+
 def isolation_scores(df: DataFrame, columns: Sequence[str], keys: Sequence[str], trees: int = 100,
                      sample: int = 256, contamination: float = 0.05, seed: int = 42) -> DataFrame:
     """Isolation-forest score per row and a flag for the share with the highest scores.
 
-    Each tree is grown in its own group from `sample` rows, as the method prescribes: the smallest
-    values of a seeded hash per tree, so a lost task regrows the same tree. The forest is at most
-    trees x 2 x sample nodes; every row is scored against it where it lies.
+    Each tree is grown in its own group from min(`sample`, n) rows: those with the smallest values of a hash of key and
+    tree, so a lost task regrows the same tree. A row goes to a tree's group only if its hash is under a bound that
+    a few times `sample` rows pass, whatever n is. The forest is at most trees x 2 x sample nodes.
     """
     filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in columns})
-    total = filled.agg(F.count("*").alias("n")).first().n
-    rate = min(1.0, 2.0 * sample * trees / max(total, 1) + 64.0 * trees / max(total, 1))
-    draws = filled.select(*columns, F.xxhash64(*keys, F.lit(seed)).alias("_h")).where(
-        (F.pmod("_h", F.lit(1_000_000_007)) / 1_000_000_007.0) < rate)
-    per_tree = draws.withColumn("tree", F.pmod(F.shiftright("_h", 20), F.lit(trees)).cast("int"))
-    order = Window.partitionBy("tree").orderBy("_h")
-    chosen = per_tree.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample)
+    chosen = isolation_sample(filled, columns, keys, trees, sample, seed)
     names = list(columns)
 
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -158,8 +165,7 @@ def isolation_scores(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
 
     types = {f.name: f for f in df.schema.fields}
     schema = ", ".join(f"`{k}` {types[k].dataType.simpleString()}" for k in keys) + ", isolation_score double"
-    scored = filled.select(*keys, *columns).mapInPandas(score, schema)
-    # The cut needs the scores a second time; trees are fixed, so both passes agree.
+    scored = df.sparkSession.read.parquet(write_stage(filled.select(*keys, *columns).mapInPandas(score, schema), "isolation"))
     cut = scored.agg(F.percentile_approx("isolation_score", 1 - contamination, 100_000)).scalar()
     return scored.withColumn("isolation_anomaly", (F.col("isolation_score") > cut).cast("int"))
 

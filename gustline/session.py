@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,13 +29,17 @@ def build_session(app: str = "gustline", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach; a local one is made only when the cluster names none."""
+    """Folder every executor can reach. One of its own is made only in local mode, where none need be named."""
     named = spark.conf.get(CHECKPOINT_KEY, "") or spark.sparkContext.getConf().get(CHECKPOINT_KEY, "")
     if named:
         return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, _OWN[app], True)
     return _OWN[app]
 
 

@@ -174,3 +174,10 @@ def test_contract_fails_closed(spark):
     for tables, required in (({"m": bad}, {"m": ["rmse"]}), ({"m": good}, {"m": ["mae"]}), ({"m": good}, {"x": ["rmse"]})):
         with pytest.raises(ValueError):
             Q.require_pass(Q.check_contract(tables, required))
+
+
+@pytest.mark.parametrize("n", [300, 4320])
+def test_isolation_trees_have_full_samples(spark, n):
+    df = spark.range(n).selectExpr("id", "cast(id % 97 as double) a", "cast(id % 31 as double) b")
+    rows = D.isolation_sample(df, ["a", "b"], ["id"], 100, 256, 42).groupBy("tree").count().collect()
+    assert len(rows) == 100 and {r["count"] for r in rows} == {min(256, n)}
