@@ -13,7 +13,7 @@ from gustline.session import build_session
 HEADLINE = [
     "m0_persistence_rmse", "a2_read_all_first_wins", "c1_check_timestamps", "c7_coverage_audit", "c9_quality_report",
     "d10_clean_chain", "e1_lags", "e2_rolling", "e9_targets", "e10_feature_matrix", "f2_split_statistics",
-    "f6_walk_forward", "g1_persistence", "g2_ridge", "g4_random_forest", "g5_boosting_a", "g9_walk_forward",
+    "f6_walk_forward", "g1_persistence", "g2_ridge", "g4_random_forest", "g9_walk_forward",
     "g15_block_ablation", "g17_champion_scores", "h3_symmetric_intervals", "h5_daily_power", "i7_evaluate_all",
     "i10_farm_metrics", "i15_coverage", "i16_split_conformal", "i25_residual_histogram", "j2_anomaly_alerts",
     "j4_failure_risk", "j6_residual_anomalies", "j7_isolation_forest", "j13_ramp_accuracy", "j15_frozen_runs",

@@ -134,17 +134,12 @@ def fit_linear(train: DataFrame, features: Sequence[str], alpha: float = 0.0,
     return solve_linear(products(rows, features, keys, target), features, alpha, keys)
 
 
-LONG_DOT = 30
-
-
 def dot(coefs: str, features: Sequence[str]) -> Column:
     """Sum of coefficient times feature.
 
-    A long sum would outgrow what the JVM compiles, so beyond a few terms the features go into an array.
+    The terms go through an array: a long written-out sum would outgrow what the JVM compiles.
     """
     values = [F.col(f).cast("double") for f in features]
-    if len(features) <= LONG_DOT:
-        return sum((F.col(coefs)[i] * v for i, v in enumerate(values)), F.lit(0.0))
     terms = F.zip_with(F.col(coefs), F.array(*values), lambda a, b: a * b)
     return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
 
@@ -252,7 +247,7 @@ def fit_scores(scored: DataFrame, truth: str = "y_true", guess: str = "predictio
 
 
 def train_all(frame: DataFrame, targets: dict[str, str], features: Sequence[str],
-              presets: dict[str, TreePreset] = PRESETS, settings: FarmSettings = DEFAULTS, parallel: int = 4):
+              presets: dict[str, TreePreset] = PRESETS, settings: FarmSettings = DEFAULTS, parallel: int = 8):
     """Fit every (target, learner), score on validation, mark the best by validation RMSE.
 
     `targets` maps a target's name to its label column. A longer feature list is first cut to the
@@ -292,7 +287,7 @@ def train_all(frame: DataFrame, targets: dict[str, str], features: Sequence[str]
 
 
 def grid_search(folds: DataFrame, features: Sequence[str], grid: Sequence[TreePreset], label: str = "y_true",
-                seed: int = 42, parallel: int = 4) -> DataFrame:
+                seed: int = 42, parallel: int = 8) -> DataFrame:
     """Mean RMSE over time-ordered folds for each preset; `folds` has (fold, part) columns."""
     spark = folds.sparkSession
     rows = folds.persist()
@@ -350,7 +345,7 @@ def walk_forward_summary(scores: DataFrame) -> DataFrame:
 
 
 def walk_forward_trees(folds: DataFrame, features: Sequence[str], presets: dict[str, TreePreset],
-                       label: str = "y_true", seed: int = 42, parallel: int = 4) -> DataFrame:
+                       label: str = "y_true", seed: int = 42, parallel: int = 8) -> DataFrame:
     """Tree learners on the validation part of each fold of one target."""
     spark = folds.sparkSession
     rows = folds.persist()
@@ -407,7 +402,7 @@ def compare_linear(rows: DataFrame, blocks: dict[str, Sequence[str]], alpha: flo
 
 
 def fair_experiment(rows: DataFrame, blocks: dict[str, Sequence[str]], presets: dict[str, TreePreset],
-                    base: str = "power", seed: int = 42, parallel: int = 4) -> DataFrame:
+                    base: str = "power", seed: int = 42, parallel: int = 8) -> DataFrame:
     """Persistence, ridge and the tree learners of one target on each feature list.
 
     Every cell is trained and scored on the rows complete in all lists together.

@@ -240,9 +240,9 @@ def e14(spark, sf):
 
 
 def weather_rows(spark, sf):
-    """Weather forecasts read off the farm's own later readings at two leads, with repeats."""
+    """Weather forecasts read off the farm's own later readings at three leads, with repeats."""
     farm = C.farm_frame(clean_frame(spark, sf)).where(F.col("farm_avg_wind_speed").isNotNull())
-    leads = farm.select("*", F.explode(F.array(F.lit(60), F.lit(360))).alias("lead_minutes"))
+    leads = farm.select("*", F.explode(F.array(F.lit(60), F.lit(360), F.lit(1440))).alias("lead_minutes"))
     return leads.select(
         (F.col("ts") - F.make_dt_interval(mins=F.col("lead_minutes"))).alias("timestamp"), "lead_minutes",
         F.col("farm_avg_wind_speed").alias("wind_speed"),

@@ -19,11 +19,11 @@ from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
 from gustline.plans.stages import stage
 from gustline.session import shared_dir
-from gustline.settings import FARM_SERIES
+from gustline.settings import FARM_SERIES, HORIZONS
 from gustline.sources.derived import DERIVED
 
-# Boosting adds trees one after the other; these runs grow fewer of them than the presets do.
-BOOSTED = {name: replace(G.PRESETS[name], trees=8) for name in ("gbt_a", "gbt_b")}
+# The grid searched for a boosted learner.
+GRID_TREES, GRID_DEPTHS, GRID_RATES = (100, 150, 200), (4, 6), (0.05, 0.1)
 TREE_FEATURES = ["power", "wind_speed", "power_lag1", "power_lag6", "power_lag144", "power_roll6_mean",
                  "power_roll36_std", "power_diff1", "wind_speed_lag1", "wind_speed_roll6_mean", "hour_sin", "hour_cos"]
 
@@ -52,38 +52,39 @@ def g4(spark, sf):
 
 @query("g5_boosting_a")
 def g5(spark, sf):
-    return scored_by(spark, sf, BOOSTED["gbt_a"])
+    return scored_by(spark, sf, G.PRESETS["gbt_a"])
 
 
 @query("g6_boosting_b")
 def g6(spark, sf):
-    return scored_by(spark, sf, BOOSTED["gbt_b"])
+    return scored_by(spark, sf, G.PRESETS["gbt_b"])
 
 
 @query("g7_train_all")
 def g7(spark, sf):
-    targets = {"1hour": "power_target_1hour", "6hour": "power_target_6hour"}
-    presets = {"forest": replace(G.PRESETS["random_forest"], trees=10, depth=5), "gbt_a": replace(BOOSTED["gbt_a"], trees=4)}
-    return G.train_all(farm_rows(spark, sf), targets, TREE_FEATURES, presets)[1]
+    rows = farm_rows(spark, sf)
+    targets = {h: f"power_target_{h}" for h in HORIZONS}
+    return G.train_all(rows, targets, _features(rows), G.PRESETS, farm_settings(spark, sf))[1]
 
 
 @query("g8_grid_search")
 def g8(spark, sf):
     rows = farm_rows(spark, sf).where("split <> 'test'")
-    grid = [G.TreePreset("boosted", trees, depth, {"stepSize": 0.1}) for trees in (2, 4) for depth in (3, 5)]
+    base = G.PRESETS["gbt_a"]
+    grid = [replace(base, trees=trees, depth=depth, options={**base.options, "stepSize": rate})
+            for trees in GRID_TREES for depth in GRID_DEPTHS for rate in GRID_RATES]
     return G.grid_search(S.cv_folds(rows, bounds(spark, sf), 3, DERIVED), TREE_FEATURES, grid)
 
 
 @query("g10_walk_forward_trees")
 def g10(spark, sf):
     folds = S.walk_forward(farm_rows(spark, sf), bounds(spark, sf), DERIVED, n_folds=3)
-    return G.walk_forward_trees(folds, TREE_FEATURES, {"gbt_a": replace(BOOSTED["gbt_a"], trees=4)})
+    return G.walk_forward_trees(folds, TREE_FEATURES, G.PRESETS)
 
 
 def _stored_model(spark, sf):
     rows = farm_rows(spark, sf)
-    preset = replace(G.PRESETS["random_forest"], trees=10, depth=5)
-    model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, preset)
+    model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, G.PRESETS["random_forest"])
     folder = f"{shared_dir(spark)}/models-{uuid.uuid4().hex}"
     G.save_model(spark, model, folder, "farm_1hour_forest", TREE_FEATURES, {"seed": "42", "feature_version": "v5"})
     return rows, model, folder
@@ -103,8 +104,7 @@ def g11(spark, sf):
 def g12(spark, sf):
     rows = farm_rows(spark, sf)
     out = None
-    for name, preset in {"forest": replace(G.PRESETS["random_forest"], trees=10, depth=5),
-                         "gbt_a": replace(BOOSTED["gbt_a"], trees=4)}.items():
+    for name, preset in G.PRESETS.items():
         model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, preset)
         scored = G.predict_tree(model, rows.where("split = 'test'"), TREE_FEATURES)
         part = G.as_model(scored, name, "prediction").select("series_id", "ts", "model", "y_pred", "y_true")
@@ -131,9 +131,9 @@ def _features(df):
 @query("g14_fair_experiment")
 def g14_four(spark, sf):
     rows = farm_rows(spark, sf)
-    best = E.top_features(rows.where("split = 'train'"), TREE_FEATURES, "y_true", 6)
-    presets = {name: replace(preset, trees=3) for name, preset in BOOSTED.items()}
-    return G.fair_experiment(rows, {"all": TREE_FEATURES, "top_6": best}, presets)
+    every = _features(rows)
+    best = E.top_features(rows.where("split = 'train'"), every, "y_true", 30)
+    return G.fair_experiment(rows, {"all": every, "top_30": best}, {name: G.PRESETS[name] for name in ("gbt_a", "gbt_b")})
 
 
 @query("g14_feature_count")
@@ -151,11 +151,11 @@ def g15(spark, sf):
 
 
 cte("t_nwp", """
-SELECT t.*, CASE horizon WHEN '1hour' THEN w6 ELSE w36 END AS nwp FROM t_target t
-JOIN (SELECT ts, lead(farm_avg_wind, 6) OVER (ORDER BY ts) AS w6, lead(farm_avg_wind, 36) OVER (ORDER BY ts) AS w36 FROM t_farm) f
+SELECT t.*, CASE horizon WHEN '6hour' THEN w36 ELSE w144 END AS nwp FROM t_target t
+JOIN (SELECT ts, lead(farm_avg_wind, 36) OVER (ORDER BY ts) AS w36, lead(farm_avg_wind, 144) OVER (ORDER BY ts) AS w144 FROM t_farm) f
   ON f.ts = t.ts
-WHERE horizon IN ('1hour', '6hour') AND power IS NOT NULL AND y_true IS NOT NULL
-  AND CASE horizon WHEN '1hour' THEN w6 ELSE w36 END IS NOT NULL
+WHERE horizon IN ('6hour', '24hour') AND power IS NOT NULL AND y_true IS NOT NULL
+  AND CASE horizon WHEN '6hour' THEN w36 ELSE w144 END IS NOT NULL
 """)
 cte("t_ablation", """
 SELECT r.series_id, r.horizon, feature_set, avg(abs(p - y_true)) AS mae, sqrt(avg((p - y_true) ** 2)) AS rmse,
@@ -177,7 +177,7 @@ def weather_ablation(spark, sf):
     rows = series_targets(spark, sf)
     weather = weather_rows(spark, sf)
     both = None
-    for horizon, lead in (("1hour", 60), ("6hour", 360)):
+    for horizon, lead in (("6hour", 360), ("24hour", 1440)):
         part = E.add_weather(rows.where(F.col("horizon") == horizon), weather, lead)
         both = part if both is None else both.unionByName(part)
     blocks = {"scada_only": ["power"], "scada_plus_nwp": ["power", "nwp_wind_speed"]}

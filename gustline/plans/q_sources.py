@@ -77,7 +77,7 @@ def a2(spark, sf):
 @query("a3_load_weather", """
 SELECT ts - lead * INTERVAL '1 minute' AS timestamp, CAST(lead AS BIGINT) AS lead_minutes, farm_avg_wind AS wind_speed,
   CAST(CAST(floor(farm_avg_wind * 16) AS BIGINT) % 360 AS DOUBLE) AS wind_direction, 10.0::DOUBLE AS temperature
-FROM t_farm CROSS JOIN (VALUES (60), (360)) l(lead) WHERE farm_avg_wind IS NOT NULL""")
+FROM t_farm CROSS JOIN (VALUES (60), (360), (1440)) l(lead) WHERE farm_avg_wind IS NOT NULL""")
 def a3(spark, sf):
     path = scratch(spark, "weather.csv")
     weather_rows(spark, sf).write.option("header", True).csv(path)

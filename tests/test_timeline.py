@@ -79,3 +79,20 @@ def test_exact_quantiles_equal_numpy(spark):
     pooled = np.concatenate(list(groups.values()))
     for r in exact_quantiles(df, [], "v", probs).collect():
         assert r.quantile == pytest.approx(np.quantile(pooled, r.prob), abs=1e-9)
+
+
+def test_exact_quantiles_of_small_values_in_one_hot_group(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    groups = {"hot": rng.uniform(-0.0099, 0.0099, 9000), "other": rng.uniform(0, 1e-6, 1000)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = exact_quantiles(df, ["k"], "v", [0.0, 0.05, 0.5, 0.95, 1.0]).collect()
+    assert len(got) == 10
+    for r in got:
+        assert r.quantile == pytest.approx(np.quantile(groups[r.k], r.prob), abs=1e-15)
+
+
+def test_exact_quantiles_of_nothing(spark):
+    empty = spark.createDataFrame([("a", None)], "k string, v double")
+    assert exact_quantiles(empty, ["k"], "v", [0.5]).collect() == []
