@@ -172,11 +172,14 @@ def isolation_scores(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
 
 # ---- turbine diagnostic
 
-def turbine_profile(df: DataFrame, turbine_id: str, settings: FarmSettings = DEFAULTS) -> DataFrame:
-    """Missing and stopped rates, power level and frozen share of one turbine per split."""
-    own = df.where(F.col("turbine_id") == turbine_id)
+PROFILE_KEYS = ("turbine_id", "split")
+
+
+def turbine_profile(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame:
+    """Missing and stopped rates, power level and frozen share of every turbine per split."""
+    keys = list(PROFILE_KEYS)
     p = F.col("power")
-    rates = own.groupBy("split").agg(
+    rates = df.groupBy(*keys).agg(
         F.count("*").alias("n_rows"),
         *[(F.avg(F.col(s).isNull().cast("int")) * 100).alias(f"missing_rate_{s}") for s in SENSORS],
         (F.count_if(p < 5) * 100 / F.count("*")).alias("stopped_rate_pct"),
@@ -186,30 +189,40 @@ def turbine_profile(df: DataFrame, turbine_id: str, settings: FarmSettings = DEF
         correlation("power", "wind_speed").alias("wind_power_corr"),
         F.avg("wind_speed").alias("mean_wind_speed"),
     )
-    frozen = frozen_runs(own, ["split"], settings).select("split", "frozen_blocks", (F.col("frozen_ratio") * 100).alias("frozen_ratio_pct"))
-    return rates.join(frozen, "split")
+    frozen = frozen_runs(df, keys, settings).select(*keys, "frozen_blocks", (F.col("frozen_ratio") * 100).alias("frozen_ratio_pct"))
+    return rates.join(frozen, keys)
+
+
+def effective_samples(rows: DataFrame) -> DataFrame:
+    """Rows with and without a target per series, split and horizon."""
+    return rows.groupBy("series_id", "split", "horizon").agg(
+        F.count("y_true").alias("effective_samples"), F.count_if(F.col("y_true").isNull()).alias("invalid_targets"))
 
 
-def neighbour_correlations(df: DataFrame, turbine_id: str) -> DataFrame:
-    """Power and wind correlation of one turbine with every other one on shared slots.
+def neighbour_correlations(df: DataFrame) -> DataFrame:
+    """Power and wind correlation of every turbine with each other one of its farm, per split, on shared slots.
 
-    The turbine's own series is joined to the others by slot, so the work is one pass over the rows.
+    `df` has farm_no. A slot of a farm holds at most one row per turbine, so each row meets as many others as a farm has
+    places, however many farms there are. Wind is compared where the turbine's own power is known too.
     """
-    own = df.where(F.col("turbine_id") == turbine_id).select(
-        "ts", F.col("power").alias("_p"), F.col("wind_speed").alias("_w"))
-    others = df.where(F.col("turbine_id") != turbine_id)
-    both = others.join(own, "ts")
-    shared = F.when(F.col("power").isNotNull() & F.col("_p").isNotNull(), F.lit(1))
-    out = both.groupBy("turbine_id").agg(
-        F.count(shared).alias("n_shared"), correlation("_p", "power").alias("power_corr"),
-        correlation("_w", "wind_speed").alias("wind_corr"), F.avg("power").alias("mean_power"))
+    names = ("turbine_id", "power", "wind_speed")
+    own = df.select("farm_no", "ts", "split", *names)
+    other = df.select("farm_no", "ts", *[F.col(c).alias(f"_{c}") for c in names])
+    both = own.join(other, ["farm_no", "ts"]).where(F.col("turbine_id") != F.col("_turbine_id"))
+    shared = F.when(F.col("power").isNotNull() & F.col("_power").isNotNull(), F.lit(1))
+    known = both.withColumn("_own_wind", F.when(F.col("power").isNotNull(), F.col("wind_speed")))
+    out = known.groupBy(*PROFILE_KEYS, F.col("_turbine_id").alias("other_id")).agg(
+        F.count(shared).alias("n_shared"), correlation("power", "_power").alias("power_corr"),
+        correlation("_own_wind", "_wind_speed").alias("wind_corr"), F.avg("_power").alias("mean_power"))
     return out.where(F.col("n_shared") > 10)
 
 
-def turbine_findings(profile: DataFrame, correlations: DataFrame) -> DataFrame:
-    """Findings per split by six thresholds."""
-    mean_corr = correlations.agg(F.avg("power_corr")).scalar()
-    rows = profile.withColumn("mean_neighbour_corr", mean_corr)
+def turbine_findings(profile: DataFrame, correlations: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Findings per turbine and split by six thresholds, with the turbine's mean R2 over models and horizons."""
+    keys = list(PROFILE_KEYS)
+    near = correlations.groupBy(*keys).agg(F.avg("power_corr").alias("mean_neighbour_corr"))
+    fit = metrics.groupBy(F.col("series_id").alias("turbine_id")).agg(F.avg("r2").alias("mean_r2"))
+    rows = profile.join(near, keys, "left").join(fit, "turbine_id", "left")
     findings = F.array_compact(F.array(
         F.when(F.col("missing_rate_power") > 20, "HIGH_MISSING"),
         F.when(F.col("frozen_ratio_pct") > 10, "FROZEN_SIGNAL"),

@@ -226,3 +226,11 @@ def metric_grid(metrics: DataFrame, series: DataFrame, horizons: Sequence[str],
     keys = ["series_id", "horizon", "model"]
     complete = metrics.where(F.col("rmse").isNotNull() & F.col("mae").isNotNull() & F.col("r2").isNotNull())
     return grid.join(complete.select(*keys), keys, "left_anti")
+
+
+def target_horizons(metrics: DataFrame) -> DataFrame:
+    """One row per target: how many horizons its rows name (one is right) and whether its own name ends with it."""
+    named = F.bool_and(F.endswith("target", F.concat(F.lit("_target_"), "horizon")))
+    facts = metrics.groupBy("target").agg(F.countDistinct("horizon").alias("n_horizons"), named.alias("named_by_horizon"))
+    ok = (F.col("n_horizons") == 1) & F.col("named_by_horizon")
+    return facts.withColumn("status", F.when(ok, "PASS").otherwise("FAIL"))

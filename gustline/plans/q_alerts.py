@@ -8,8 +8,8 @@ from gustline.operators import alerts as J
 from gustline.operators import diagnostics as D
 from gustline.operators import splits as S
 from gustline.plans.q_clean import clean_frame
-from gustline.plans.q_features import bounds
-from gustline.plans.q_scores import predictions, rounded
+from gustline.plans.q_features import bounds, series_targets
+from gustline.plans.q_scores import metrics, predictions, rounded
 from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
 from gustline.settings import SENSORS
@@ -230,58 +230,96 @@ def j14(spark, sf):
     return rounded(J.anomaly_accuracy(clean_frame(spark, sf), DERIVED), 6)
 
 
-@query("j15_frozen_runs", """
-WITH RECURSIVE v AS (SELECT turbine_id, power, row_number() OVER (PARTITION BY turbine_id ORDER BY ts) - 1 AS pos,
-    count(*) OVER (PARTITION BY turbine_id) AS n FROM t_clean),
+def frozen_sql(source, keys):
+    """Recursive scan (scan) and its result (frozen) of frozen runs within the given keys."""
+    names, same = ", ".join(keys), " AND ".join(f"v.{k} = s.{k}" for k in keys)
+    row = ", ".join(f"v.{k}" for k in keys)
+    stays = "coalesce(abs(v.power - anchor) < 1, false)"
+    ends, last = f"NOT {stays} AND len >= 5 AND first < v.n - 5", "len >= 5 AND first < n - 5"
+    return f"""
+v AS (SELECT {names}, power, row_number() OVER (PARTITION BY {names} ORDER BY ts) - 1 AS pos,
+    count(*) OVER (PARTITION BY {names}) AS n FROM {source}),
 scan AS (
-  SELECT turbine_id, pos, n, power AS anchor, CASE WHEN power IS NULL THEN 0 ELSE 1 END AS len, pos AS first, 0 AS blocks, 0 AS samples
+  SELECT {names}, pos, n, power AS anchor, CASE WHEN power IS NULL THEN 0 ELSE 1 END AS len, pos AS first, 0 AS blocks, 0 AS samples
   FROM v WHERE pos = 0
   UNION ALL
-  SELECT v.turbine_id, v.pos, v.n, CASE WHEN coalesce(abs(v.power - anchor) < 1, false) THEN anchor ELSE v.power END,
-    CASE WHEN coalesce(abs(v.power - anchor) < 1, false) THEN len + 1 WHEN v.power IS NULL THEN 0 ELSE 1 END,
-    CASE WHEN coalesce(abs(v.power - anchor) < 1, false) THEN first ELSE v.pos END,
-    blocks + CASE WHEN NOT coalesce(abs(v.power - anchor) < 1, false) AND len >= 5 AND first < v.n - 5 THEN 1 ELSE 0 END,
-    samples + CASE WHEN NOT coalesce(abs(v.power - anchor) < 1, false) AND len >= 5 AND first < v.n - 5 THEN len ELSE 0 END
-  FROM scan s JOIN v ON v.turbine_id = s.turbine_id AND v.pos = s.pos + 1)
-SELECT turbine_id, CAST(blocks + CASE WHEN len >= 5 AND first < n - 5 THEN 1 ELSE 0 END AS BIGINT) AS frozen_blocks,
-  CAST(samples + CASE WHEN len >= 5 AND first < n - 5 THEN len ELSE 0 END AS BIGINT) AS frozen_samples, n AS n_rows,
-  CAST(samples + CASE WHEN len >= 5 AND first < n - 5 THEN len ELSE 0 END AS DOUBLE) / n AS frozen_ratio
-FROM scan WHERE pos = n - 1""")
+  SELECT {row}, v.pos, v.n, CASE WHEN {stays} THEN anchor ELSE v.power END,
+    CASE WHEN {stays} THEN len + 1 WHEN v.power IS NULL THEN 0 ELSE 1 END, CASE WHEN {stays} THEN first ELSE v.pos END,
+    blocks + CASE WHEN {ends} THEN 1 ELSE 0 END, samples + CASE WHEN {ends} THEN len ELSE 0 END
+  FROM scan s JOIN v ON {same} AND v.pos = s.pos + 1),
+frozen AS (SELECT {names}, CAST(blocks + CASE WHEN {last} THEN 1 ELSE 0 END AS BIGINT) AS frozen_blocks,
+  CAST(samples + CASE WHEN {last} THEN len ELSE 0 END AS BIGINT) AS frozen_samples, n AS n_rows,
+  CAST(samples + CASE WHEN {last} THEN len ELSE 0 END AS DOUBLE) / n AS frozen_ratio FROM scan WHERE pos = n - 1)"""
+
+
+@query("j15_frozen_runs", f"WITH RECURSIVE {frozen_sql('t_clean', ['turbine_id'])} SELECT * FROM frozen")
 def j15(spark, sf):
     return D.frozen_runs(clean_frame(spark, sf), settings=DERIVED)
 
 
 def split_frame(spark, sf):
-    return S.split_by_time(clean_frame(spark, sf), bounds(spark, sf), DERIVED)
+    return S.split_by_time(with_farm(clean_frame(spark, sf)), bounds(spark, sf), DERIVED)
 
 
-@query("j16_turbine_profile", """
-SELECT split, count(*) AS n_rows, """ + ", ".join(
-    f"round(avg(CAST({s} IS NULL AS INTEGER)) * 100, 6) AS missing_rate_{s}" for s in SENSORS) + """,
-  round(count(*) FILTER (power < 5) * 100 / count(*), 6) AS stopped_rate_pct, round(avg(power), 6) AS mean_power_kw,
-  round(stddev_pop(power) FILTER (power > 5), 6) AS std_power_operating, round(avg(power) FILTER (power > 5), 6) AS mean_power_operating,
-  round(corr(power, wind_speed), 6) AS wind_power_corr, round(avg(wind_speed), 6) AS mean_wind_speed
-FROM (SELECT c.*, s.split FROM t_clean c JOIN t_split s ON s.series_id = c.turbine_id AND s.ts = c.ts) WHERE turbine_id = 'TB00002'
-GROUP BY split""")
+cte("t_parts", """
+SELECT c.*, s.split, (CAST(substr(turbine_id, 3) AS BIGINT) - 1) // 12 AS farm_no
+FROM t_clean c JOIN t_split s ON s.series_id = c.turbine_id AND s.ts = c.ts
+""")
+cte("t_near", """
+SELECT a.turbine_id, a.split, b.turbine_id AS other_id, count(*) FILTER (a.power IS NOT NULL AND b.power IS NOT NULL) AS n_shared,
+  corr(a.power, b.power) AS power_corr, corr(CASE WHEN a.power IS NOT NULL THEN a.wind_speed END, b.wind_speed) AS wind_corr,
+  avg(b.power) AS mean_power
+FROM t_parts a JOIN t_parts b ON b.farm_no = a.farm_no AND b.ts = a.ts AND b.turbine_id <> a.turbine_id
+GROUP BY a.turbine_id, a.split, b.turbine_id HAVING count(*) FILTER (a.power IS NOT NULL AND b.power IS NOT NULL) > 10
+""")
+PROFILE_SQL = f"""WITH RECURSIVE {frozen_sql('t_parts', ['turbine_id', 'split'])},
+profile AS (SELECT turbine_id, split, count(*) AS n_rows, """ + ", ".join(
+    f"avg(CAST({s} IS NULL AS INTEGER)) * 100 AS missing_rate_{s}" for s in SENSORS) + """,
+  count(*) FILTER (power < 5) * 100 / count(*) AS stopped_rate_pct, avg(power) AS mean_power_kw,
+  stddev_pop(power) FILTER (power > 5) AS std_power_operating, avg(power) FILTER (power > 5) AS mean_power_operating,
+  corr(power, wind_speed) AS wind_power_corr, avg(wind_speed) AS mean_wind_speed
+FROM t_parts GROUP BY turbine_id, split)"""
+PROFILE_COLUMNS = [*[f"missing_rate_{s}" for s in SENSORS], "stopped_rate_pct", "mean_power_kw", "std_power_operating",
+                   "mean_power_operating", "wind_power_corr", "mean_wind_speed"]
+
+
+@query("j16_turbine_profile", PROFILE_SQL + f"""
+SELECT p.turbine_id, p.split, p.n_rows, {", ".join(f"round({c}, 6) AS {c}" for c in PROFILE_COLUMNS)},
+  frozen_blocks, round(frozen_ratio * 100, 6) AS frozen_ratio_pct
+FROM profile p JOIN frozen f ON f.turbine_id = p.turbine_id AND f.split = p.split""")
 def j16(spark, sf):
-    out = D.turbine_profile(split_frame(spark, sf), "TB00002", DERIVED)
-    return rounded(out.drop("frozen_blocks", "frozen_ratio_pct"), 6)
+    return rounded(D.turbine_profile(split_frame(spark, sf), DERIVED), 6)
 
 
-@query("j16_neighbour_correlations", """
-SELECT o.turbine_id, count(*) FILTER (o.power IS NOT NULL AND c.power IS NOT NULL) AS n_shared,
-  round(corr(c.power, o.power), 6) AS power_corr, round(corr(c.wind_speed, o.wind_speed), 6) AS wind_corr,
-  round(avg(o.power), 6) AS mean_power
-FROM t_clean o JOIN t_clean c ON c.ts = o.ts AND c.turbine_id = 'TB00002' WHERE o.turbine_id <> 'TB00002'
-GROUP BY o.turbine_id HAVING count(*) FILTER (o.power IS NOT NULL AND c.power IS NOT NULL) > 10""")
-def j16_neighbours(spark, sf):
-    return rounded(D.neighbour_correlations(clean_frame(spark, sf), "TB00002"), 6)
+@query("j16_effective_samples", """
+SELECT series_id, split, horizon, count(y_true) AS effective_samples, count(*) - count(y_true) AS invalid_targets
+FROM t_target GROUP BY ALL""")
+def j16_samples(spark, sf):
+    return D.effective_samples(series_targets(spark, sf))
 
 
-@query("j16_findings")
+@query("j16_neighbour_correlations", """
+SELECT turbine_id, split, other_id, n_shared, round(power_corr, 6) AS power_corr, round(wind_corr, 6) AS wind_corr,
+  round(mean_power, 6) AS mean_power FROM t_near""")
+def j16_neighbours(spark, sf):
+    return rounded(D.neighbour_correlations(split_frame(spark, sf)), 6)
+
+
+@query("j16_findings", PROFILE_SQL + """,
+found AS (SELECT p.turbine_id, p.split, (SELECT avg(power_corr) FROM t_near n WHERE n.turbine_id = p.turbine_id AND n.split = p.split) AS near,
+    missing_rate_power, frozen_ratio, wind_power_corr, stopped_rate_pct, mean_power_kw
+  FROM profile p JOIN frozen f ON f.turbine_id = p.turbine_id AND f.split = p.split)
+SELECT f.turbine_id, split, round(near, 6) AS mean_neighbour_corr, round(mean_r2, 4) AS mean_r2,
+  coalesce(nullif(concat_ws('; ', CASE WHEN missing_rate_power > 20 THEN 'HIGH_MISSING' END,
+    CASE WHEN frozen_ratio * 100 > 10 THEN 'FROZEN_SIGNAL' END, CASE WHEN wind_power_corr < 0.5 THEN 'LOW_WS_POWER_CORR' END,
+    CASE WHEN near < 0.4 THEN 'LOW_NEIGHBOR_CORR' END, CASE WHEN stopped_rate_pct > 30 THEN 'HIGH_STOPPED' END,
+    CASE WHEN mean_power_kw < 200 THEN 'LOW_MEAN_POWER' END), ''), 'NO_ANOMALY_DETECTED') AS findings
+FROM found f LEFT JOIN (SELECT series_id, avg(r2) AS mean_r2 FROM t_metrics GROUP BY series_id) m ON m.series_id = f.turbine_id""")
 def j16_findings(spark, sf):
-    profile = D.turbine_profile(split_frame(spark, sf), "TB00002", DERIVED)
-    return D.turbine_findings(profile, D.neighbour_correlations(clean_frame(spark, sf), "TB00002"))
+    rows = split_frame(spark, sf)
+    out = D.turbine_findings(D.turbine_profile(rows, DERIVED), D.neighbour_correlations(rows), metrics(spark, sf))
+    return out.select("turbine_id", "split", F.round("mean_neighbour_corr", 6).alias("mean_neighbour_corr"),
+                      F.round("mean_r2", 4).alias("mean_r2"), "findings")
 
 
 @query("j17_risk_matrix", """
