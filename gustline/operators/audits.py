@@ -63,21 +63,22 @@ def leakage_assertions(predictions: DataFrame, series: DataFrame, registry: Data
     return out.withColumn("status", F.when(ok, "PASS").otherwise("FAIL"))
 
 
-def frame_audit(frame: DataFrame, features: Sequence[str], target: str, issue: str, due: str, model_key: str) -> DataFrame:
-    """Names, matching row counts, target after issue and repeated rows of one training frame.
+def frame_audit(frame: DataFrame, features: Sequence[str], target: str, issue: str, due: str,
+                keys: Sequence[str], model: str) -> DataFrame:
+    """Names, matching row counts, target after issue and repeated rows of one model's training frame of every key.
 
     Repeats are counted by grouping on the whole row, which combines copies before the shuffle.
     """
     target_in = any("target" in f.lower() for f in features)
     later_in = any(m in f.lower() for f in features for m in LATER_NAMES)
     groups = frame.groupBy(*[c for c in frame.columns]).agg(F.count("*").alias("_c"))
-    facts = groups.agg(
+    facts = groups.groupBy(*keys).agg(
         F.sum("_c").alias("n_rows"), F.sum(F.col("_c") - 1).alias("n_duplicate_rows"),
         F.coalesce(F.sum(F.when(F.col(target).isNull(), F.col("_c"))), F.lit(0)).alias("n_without_target"),
         F.bool_and(F.col(due) > F.col(issue)).alias("target_after_issue"))
     ok = (F.col("n_duplicate_rows") == 0) & (F.col("n_without_target") == 0) & F.col("target_after_issue")
     return facts.select(
-        F.lit(model_key).alias("model_key"), "n_rows", "n_duplicate_rows", "n_without_target", "target_after_issue",
+        F.lit(model).alias("model"), *keys, "n_rows", "n_duplicate_rows", "n_without_target", "target_after_issue",
         F.lit(not target_in).alias("target_not_in_features"), F.lit(not later_in).alias("no_later_names"),
         F.when(ok & F.lit(not target_in and not later_in), "PASS").otherwise("FAIL").alias("status"))
 

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from gustline.functions.joins import attach
 from gustline.functions.timeline import over_slots
 from gustline.operators.cleaning import fill_stage
 from gustline.settings import DEFAULTS, HORIZONS, SENSORS, FarmSettings
@@ -202,13 +203,14 @@ def window_features(
     """
     horizons = HORIZONS if horizons is None else horizons
     sensors = [s for s in sensors if s in df.columns]
+    power = [s for s in ("power",) if s in df.columns]
 
     def simple(w):
         return {
             **lag_columns(w, sensors, settings.lags),
-            **change_columns(w, ["power"]),
-            **ramp_columns(w, ["power"], settings),
-            **target_columns(w, "power", horizons),
+            **change_columns(w, power),
+            **ramp_columns(w, power, settings),
+            **(target_columns(w, "power", horizons) if power else {}),
         }
 
     back = max([*settings.lags, *settings.windows, 6])
@@ -227,18 +229,24 @@ def feature_matrix(df: DataFrame, farm: DataFrame, settings: FarmSettings = DEFA
     return with_interactions(windowed.withColumns(calendar_columns()), farm)
 
 
+OTHER_PLACES = 3
+
+
 def farm_scope_matrix(df: DataFrame, places: Sequence[str], settings: FarmSettings = DEFAULTS) -> DataFrame:
-    """One row per farm and slot with the power features of its turbines side by side.
+    """One row per farm and slot: power features of all its turbines side by side, wind and temperature of the first three.
 
     `df` has farm_no and place; the listed places become columns, so the width is that of one farm.
     """
-    per_turbine = window_features(
-        df.select("farm_no", "place", "turbine_id", "ts", "power"), settings, ["power"], {})
-    names = [c for c in per_turbine.columns if c not in ("farm_no", "place", "turbine_id", "ts")]
-    wide = per_turbine.groupBy("farm_no", "ts").pivot("place", list(places)).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in names]
-    )
-    return wide.withColumns(calendar_columns())
+    def wide(sensors: Sequence[str], among: Sequence[str]) -> DataFrame:
+        rows = df.where(F.col("place").isin(*among)).select("farm_no", "place", "turbine_id", "ts", *sensors)
+        per_turbine = window_features(rows, settings, sensors, {})
+        names = [c for c in per_turbine.columns if c not in ("farm_no", "place", "turbine_id", "ts")
+                 and c.startswith(tuple(sensors))]
+        return per_turbine.groupBy("farm_no", "ts").pivot("place", list(among)).agg(
+            *[F.first(c, ignorenulls=True).alias(c) for c in names])
+
+    power, other = wide(["power"], list(places)), wide(["wind_speed", "temperature"], list(places)[:OTHER_PLACES])
+    return power.join(other, ["farm_no", "ts"], "left").withColumns(calendar_columns())
 
 
 def is_feature_column(name: str) -> bool:
@@ -260,40 +268,52 @@ def filled_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({f: F.coalesce(F.col(f), F.lit(0.0)) for f in features})
 
 
-def univariate_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """(feature, n, r, f_score) of a one-feature linear regression, in one pass over the rows.
+def column_means(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Mean of every column over all rows, 0 for a column without values; one row of doubles comes to the driver."""
+    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    means = np.array([0.0 if v is None else v for v in row], dtype=float)
+    return np.where(np.isfinite(means), means, 0.0)
+
+
+def univariate_scores(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, feature, n, r, f_score) of a one-feature linear regression, per key.
 
-    Each task reduces its rows to five sums per feature, so hundreds of features cost no wide aggregate.
+    Each task reduces its rows to five sums per key and feature, taken around the overall means, so hundreds of features
+    cost no wide aggregate and a small spread around a large mean is kept. A feature constant within a key has null scores.
     """
-    names = list(features)
-    rows = training_frame(df, names, target).select(*[F.col(c).cast("double").alias(c) for c in (*names, target)])
+    names, by = list(features), list(keys)
+    rows = training_frame(df, names, target).select(*by, *[F.col(c).cast("double").alias(c) for c in (*names, target)])
+    middle = column_means(rows, [*names, target])
+    parts_of = ["n", "x", "xx", "xy", "y", "yy"]
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((len(names), 6))
         for batch in batches:
-            x, y = batch[names].to_numpy(), batch[target].to_numpy()
-            sums[:, 0] += len(y)
-            sums[:, 1] += x.sum(axis=0)
-            sums[:, 2] += (x * x).sum(axis=0)
-            sums[:, 3] += x.T @ y
-            sums[:, 4] += y.sum()
-            sums[:, 5] += y @ y
-        yield pd.DataFrame(sums, columns=["n", "x", "xx", "xy", "y", "yy"]).assign(feature=names)
-
-    parts = rows.mapInPandas(partial, "n double, x double, xx double, xy double, y double, yy double, feature string")
-    total = parts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "xy", "y", "yy")])
-    n, x, xx, xy, y, yy = (F.col(c) for c in ("n", "x", "xx", "xy", "y", "yy"))
+            out = []
+            for key, part in batch.groupby(by, sort=False, dropna=False) if by else [((), batch)]:
+                values = part[[*names, target]].to_numpy() - middle
+                x, y = values[:, :-1], values[:, -1]
+                sums = np.column_stack([
+                    np.full(len(names), float(len(y))), x.sum(axis=0), (x * x).sum(axis=0), x.T @ y,
+                    np.full(len(names), y.sum()), np.full(len(names), y @ y)])
+                out.append(pd.DataFrame(sums, columns=parts_of).assign(
+                    feature=names, **dict(zip(by, key, strict=True)))[[*by, *parts_of, "feature"]])
+            if out:
+                yield pd.concat(out)
+
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in by], *[f"{c} double" for c in parts_of], "feature string"])
+    total = rows.mapInPandas(partial, schema).groupBy(*by, "feature").agg(*[F.sum(c).alias(c) for c in parts_of])
+    n, x, xx, xy, y, yy = (F.col(c) for c in parts_of)
     x_var, y_var = xx - x * x / n, yy - y * y / n
-    # A feature whose spread is lost in rounding counts as constant.
     r = F.when((x_var > xx * 1e-12) & (y_var > yy * 1e-12), (xy - x * y / n) / F.sqrt(x_var * y_var))
-    scored = total.where(n > 2).select("feature", n.cast("long").alias("n"), r.alias("r")).where(F.col("r").isNotNull())
+    scored = total.where(n > 2).select(*by, "feature", n.cast("long").alias("n"), r.alias("r"))
     return scored.withColumn(
         "f_score", F.try_divide(F.col("r") * F.col("r"), 1 - F.col("r") * F.col("r")) * (F.col("n") - 2))
 
 
 def top_features(df: DataFrame, features: Sequence[str], target: str, k: int) -> list[str]:
     """Names of the k best features; the list, not the data, comes to the driver."""
-    best = univariate_scores(df, features, target).orderBy(F.desc("f_score"), "feature").limit(k)
+    best = univariate_scores(df, features, target).orderBy(F.desc_nulls_last("f_score"), "feature").limit(k)
     return [row.feature for row in best.collect()]
 
 
@@ -307,20 +327,18 @@ def scale_parameters(df: DataFrame, features: Sequence[str]) -> DataFrame:
     ])).alias("p")).select("p.*")
 
 
-def scale(df: DataFrame, train: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Standardise with statistics of `train`; a constant feature keeps scale 1.
+def scale(df: DataFrame, train: DataFrame, features: Sequence[str],
+          keys: Sequence[str] = ("series_id",)) -> DataFrame:
+    """Standardise with statistics of `train` per key; a constant feature keeps scale 1.
 
-    The statistics are one row of doubles, read as a scalar so that no join is planned.
+    A key absent from `train` has null features.
     """
-    stats = train.agg(F.struct(
-        *[F.avg(f).alias(f"{f}_m") for f in features], *[F.stddev_pop(f).alias(f"{f}_s") for f in features]
-    )).scalar()
-    scaled = df.withColumn("_stats", stats)
-    return scaled.withColumns({
-        f: (F.col(f) - F.col(f"_stats.{f}_m"))
-        / F.when(F.col(f"_stats.{f}_s") > 0, F.col(f"_stats.{f}_s")).otherwise(F.lit(1.0))
-        for f in features
-    }).drop("_stats")
+    stats = train.groupBy(*keys).agg(
+        *[F.avg(f).alias(f"_{f}_m") for f in features], *[F.stddev_pop(f).alias(f"_{f}_s") for f in features])
+    joined = attach(df, stats, keys, "left")
+    return joined.select(*[
+        ((F.col(c) - F.col(f"_{c}_m")) / F.when(F.col(f"_{c}_s") > 0, F.col(f"_{c}_s")).otherwise(F.lit(1.0))).alias(c)
+        if c in features else F.col(c) for c in df.columns])
 
 
 def add_weather(df: DataFrame, weather: DataFrame, lead_minutes: int) -> DataFrame:

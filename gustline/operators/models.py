@@ -6,9 +6,11 @@ rows with no per-target loop. Tree ensembles use Spark ML, one fit per target.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gustline.functions.joins import attach
-from gustline.operators.features import filled_features, top_features, training_frame
+from gustline.operators.features import column_means, filled_features, top_features, training_frame
 from gustline.session import write_stage
 from gustline.settings import DEFAULTS, FARM_SERIES, FarmSettings
 
@@ -46,84 +48,116 @@ def fit_one_feature(train: DataFrame, feature: str, alpha: float = 0.0, prefix:
 
 # ---- many features: sums of products per key, solved per key
 
-OPEN_KEYS = 128
+MATRIX_BYTES = 64 * 2 ** 20
 
 
 def products(train: DataFrame, features: Sequence[str], keys: Sequence[str] = TARGET_KEYS,
-             target: str = "y_true") -> DataFrame:
-    """(keys, cell, total): sums of products of (1, features, target), upper triangle row by row.
+             target: str = "y_true", targets: dict[str, str] | None = None) -> DataFrame:
+    """(keys, cell, total, centre): sums of products of (1, features, target), upper triangle row by row.
 
-    Each task adds up its own rows first and holds at most OPEN_KEYS matrices before it passes them on.
+    With `targets` (horizon -> label column) a row serves every horizon it has a label for, and `horizon` joins the keys.
+    Columns are taken from their overall means, kept in `centre` of cell 0, so a small spread around a large mean is not
+    lost. Each task adds up its own rows first and holds at most MATRIX_BYTES of sums before it passes them on.
     """
-    columns = [*features, target]
-    upper = np.triu_indices(len(columns) + 1)
+    labels = targets or {"": target}
+    picked = list(features)
+    columns = [*picked, *labels.values()]
+    middle = column_means(train, columns)
     names = list(keys)
+    out_names = [*names, "horizon"] if targets else names
+    upper = np.triu_indices(len(picked) + 2)
+    open_keys = max(1, MATRIX_BYTES // (8 * (len(picked) + 2) ** 2))
 
     def rows_of(sums: dict) -> pd.DataFrame:
-        out = pd.DataFrame(list(sums), columns=names)
+        out = pd.DataFrame(list(sums), columns=out_names)
         out["totals"] = [m[upper].tolist() for m in sums.values()]
         return out
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict = {}
         for batch in batches:
-            for key, part in batch.groupby(names, sort=False):
-                z = np.column_stack([np.ones(len(part)), part[columns].to_numpy(dtype=float)])
-                sums[key] = sums[key] + z.T @ z if key in sums else z.T @ z
-                if len(sums) >= OPEN_KEYS:
-                    yield rows_of(sums)
-                    sums = {}
+            for key, part in batch.groupby(names, sort=False, dropna=False):
+                values = part[columns].to_numpy(dtype=float) - middle
+                x = np.column_stack([np.ones(len(part)), values[:, :len(picked)]])
+                for i, horizon in enumerate(labels):
+                    y = values[:, len(picked) + i]
+                    known = ~np.isnan(y)
+                    z = np.column_stack([x[known], y[known]])
+                    at = (*key, horizon) if targets else key
+                    sums[at] = sums[at] + z.T @ z if at in sums else z.T @ z
+                    if len(sums) >= open_keys:
+                        yield rows_of(sums)
+                        sums = {}
         if sums:
             yield rows_of(sums)
 
-    types = {f.name: f.dataType for f in train.schema.fields}
+    types = {f.name: f.dataType for f in train.schema.fields} | ({"horizon": T.StringType()} if targets else {})
     schema = T.StructType([
-        *[T.StructField(k, types[k]) for k in names], T.StructField("totals", T.ArrayType(T.DoubleType()))])
+        *[T.StructField(k, types[k]) for k in out_names], T.StructField("totals", T.ArrayType(T.DoubleType()))])
     cells = train.select(*names, *[F.col(c).cast("double").alias(c) for c in columns])
-    parts = cells.mapInPandas(partial, schema).select(*names, F.posexplode("totals").alias("cell", "part"))
-    return parts.groupBy(*names, "cell").agg(F.sum("part").alias("total"))
+    parts = cells.mapInPandas(partial, schema).select(*out_names, F.posexplode("totals").alias("cell", "part"))
+    total = parts.groupBy(*out_names, "cell").agg(F.sum("part").alias("total"))
+    centre = F.lit(None).cast("array<double>")
+    for i, horizon in enumerate(labels):
+        own = F.array(*[F.lit(float(middle[j])) for j in (*range(len(picked)), len(picked) + i)])
+        centre = F.when(F.col("horizon") == horizon, own).otherwise(centre) if targets else own
+    return total.withColumn("centre", F.when(F.col("cell") == 0, centre))
 
 
-def solve_linear(sums: DataFrame, features: Sequence[str], alpha: float = 0.0, keys: Sequence[str] = TARGET_KEYS,
-                 among: Sequence[str] | None = None) -> DataFrame:
-    """(keys, n, intercept, coefs) from sums of products: ridge on population-standardised features, given
-    back in raw units.
-
-    `features` is the order the sums were taken in; `among` picks some of them. Each solve reads
-    (features + 2)^2 / 2 numbers however many rows there are.
-    """
-    size = len(features)
+def _solve(cells: pd.DataFrame, size: int, choices: Sequence[Sequence[int]], alpha: float) -> list[tuple]:
+    """(n, intercept, coefs) for each choice of feature positions, in raw units."""
     upper = np.triu_indices(size + 2)
-    picked = [list(features).index(f) for f in (among or features)]
-    names = list(keys)
-
-    def solve(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        flat = np.zeros(len(upper[0]))
-        flat[cells.cell] = cells.total
-        gram = np.zeros((size + 2, size + 2))
-        gram[upper] = flat
-        gram += np.triu(gram, 1).T
-        n, y_sum = gram[0, 0], gram[0, -1]
+    flat = np.zeros(len(upper[0]))
+    flat[cells.cell] = cells.total
+    gram = np.zeros((size + 2, size + 2))
+    gram[upper] = flat
+    gram += np.triu(gram, 1).T
+    centre = np.asarray(cells.centre[cells.cell == 0].iloc[0], dtype=float)
+    n, y_sum = gram[0, 0], gram[0, -1]
+    out = []
+    for picked in choices:
         at = np.array(picked) + 1
         mean = gram[0, at] / n
+        raw = mean + centre[picked]
         cross = gram[np.ix_(at, at)] - n * np.outer(mean, mean)
         to_y = gram[at, -1] - mean * y_sum
         scale = np.sqrt(np.maximum(np.diag(cross) / n, 0.0))
-        scale[scale < 1e-9 * np.maximum(1.0, np.abs(mean))] = 1.0
+        scale[scale < 1e-9 * np.maximum(1.0, np.abs(raw))] = 1.0
         system = cross / np.outer(scale, scale) + alpha * np.eye(len(at))
         right = to_y / scale
         weight = np.linalg.solve(system, right) if alpha else np.linalg.lstsq(system, right, rcond=None)[0]
         coefs = weight / scale
-        return pd.DataFrame({
-            **{k: [v] for k, v in zip(names, key, strict=True)},
-            "n": [int(n)], "intercept": [float(y_sum / n - coefs @ mean)], "coefs": [coefs.tolist()],
-        })
+        out.append((int(n), float(y_sum / n + centre[-1] - coefs @ raw), coefs))
+    return out
+
+
+def solve_blocks(sums: DataFrame, features: Sequence[str], blocks: dict[str, Sequence[str] | dict[str, Sequence[str]]],
+                 alpha: float = 0.0, keys: Sequence[str] = TARGET_KEYS) -> DataFrame:
+    """(keys, feature_set, n, intercept, coefs) of every block from one set of sums of products.
+
+    Ridge on population-standardised features, given back in raw units. `features` is the order the sums were taken
+    in and the order of `coefs`, with 0 for features outside the block. A block may name its features per horizon. Each
+    solve reads (features + 2)^2 / 2 numbers however many rows there are.
+    """
+    names, order = list(keys), list(features)
+
+    def solve(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        own = dict(zip(names, key, strict=True))
+        choices = {name: [order.index(f) for f in (block[own["horizon"]] if isinstance(block, dict) else block)]
+                   for name, block in blocks.items()}
+        rows = []
+        for (name, picked), (n, intercept, coefs) in zip(
+                choices.items(), _solve(cells, len(order), list(choices.values()), alpha), strict=True):
+            padded = np.zeros(len(order))
+            padded[picked] = coefs
+            rows.append({**own, "feature_set": name, "n": n, "intercept": intercept, "coefs": padded.tolist()})
+        return pd.DataFrame(rows)
 
     types = {f.name: f.dataType for f in sums.schema.fields}
     schema = T.StructType([
-        *[T.StructField(k, types[k]) for k in names], T.StructField("n", T.LongType()),
-        T.StructField("intercept", T.DoubleType()), T.StructField("coefs", T.ArrayType(T.DoubleType())),
-    ])
+        *[T.StructField(k, types[k]) for k in names], T.StructField("feature_set", T.StringType()),
+        T.StructField("n", T.LongType()), T.StructField("intercept", T.DoubleType()),
+        T.StructField("coefs", T.ArrayType(T.DoubleType()))])
     return sums.groupBy(*names).applyInPandas(solve, schema)
 
 
@@ -131,7 +165,8 @@ def fit_linear(train: DataFrame, features: Sequence[str], alpha: float = 0.0,
                keys: Sequence[str] = TARGET_KEYS, target: str = "y_true") -> DataFrame:
     """Ridge (or least squares at `alpha = 0`) on the complete rows of every key."""
     rows = training_frame(train, features, target)
-    return solve_linear(products(rows, features, keys, target), features, alpha, keys)
+    sums = products(rows, features, keys, target)
+    return solve_blocks(sums, features, {"all": features}, alpha, keys).drop("feature_set")
 
 
 def dot(coefs: str, features: Sequence[str]) -> Column:
@@ -155,7 +190,10 @@ def predict_linear(df: DataFrame, fits: DataFrame, features: Sequence[str], name
 
 # ---- the long prediction table
 
-BASE_MODELS = ("persistence", "ridge", "linear_wind", "linear_roll")
+# What each closed-form model reads; fits, scores and the registry all use this table.
+BASE_FEATURES = {"persistence": "power", "ridge": "power", "linear_wind": "wind_speed", "linear_roll": "roll6"}
+BASE_ALPHAS = {"ridge": 1.0, "linear_wind": 0.0, "linear_roll": 0.0}
+BASE_MODELS = tuple(BASE_FEATURES)
 
 
 def rated_power(series: Column, settings: FarmSettings = DEFAULTS) -> Column:
@@ -168,26 +206,31 @@ def base_predictions(rows: DataFrame, settings: FarmSettings = DEFAULTS) -> Data
     `rows` is (series_id, ts, split, horizon, power, wind_speed, roll6, y_true, flags). All models share
     the complete rows; one grouped pass fits them and one join scores them.
     """
-    complete = training_frame(rows.where(F.col("split") == "train"), ["power", "wind_speed", "roll6"], "y_true")
-    fits = complete.groupBy(*TARGET_KEYS).agg(
-        *fit_one_feature(complete, "power", 1.0, "r_"),
-        *fit_one_feature(complete, "wind_speed", 0.0, "w_"),
-        *fit_one_feature(complete, "roll6", 0.0, "l_"),
-    )
-    models = F.array(
-        F.struct(F.lit("persistence").alias("model"), F.col("power").alias("y_pred")),
-        F.struct(F.lit("ridge").alias("model"), (F.col("r_intercept") + F.col("r_slope") * F.col("power")).alias("y_pred")),
-        F.struct(F.lit("linear_wind").alias("model"),
-                 (F.col("w_intercept") + F.col("w_slope") * F.col("wind_speed")).alias("y_pred")),
-        F.struct(F.lit("linear_roll").alias("model"),
-                 (F.col("l_intercept") + F.col("l_slope") * F.col("roll6")).alias("y_pred")),
-    )
+    used = list(dict.fromkeys(BASE_FEATURES.values()))
+    complete = training_frame(rows.where(F.col("split") == "train"), used, "y_true")
+    fits = complete.groupBy(*TARGET_KEYS).agg(*[
+        c for model, alpha in BASE_ALPHAS.items()
+        for c in fit_one_feature(complete, BASE_FEATURES[model], alpha, f"{model}_")])
+
+    def guess(model: str) -> Column:
+        x = F.col(BASE_FEATURES[model])
+        return F.col(f"{model}_intercept") + F.col(f"{model}_slope") * x if model in BASE_ALPHAS else x
+
+    models = F.array(*[F.struct(F.lit(m).alias("model"), guess(m).alias("y_pred")) for m in BASE_FEATURES])
     joined = attach(rows, fits, TARGET_KEYS)
     return joined.select(
         *rows.columns, rated_power(F.col("series_id"), settings).alias("rated"), F.explode(models).alias("_m")
     ).select(*rows.columns, "rated", "_m.model", "_m.y_pred")
 
 
+def base_registry(predictions: DataFrame) -> DataFrame:
+    """One row per fitted closed-form model: its target, the features its fit reads and how many forecasts it gave."""
+    features = F.element_at(F.create_map(*[
+        c for m, f in BASE_FEATURES.items() for c in (F.lit(m), F.array(F.lit(f)))]), F.col("model"))
+    rows = predictions.groupBy(*TARGET_KEYS, "model").agg(F.count("y_pred").alias("n_scored"))
+    return rows.withColumns({"target": F.concat("series_id", F.lit("_target_"), "horizon"), "features": features})
+
+
 def as_model(df: DataFrame, name: str, prediction: str) -> DataFrame:
     """Append one more model's column as rows of the long table's shape."""
     return df.withColumn("model", F.lit(name)).withColumnRenamed(prediction, "y_pred")
@@ -288,7 +331,7 @@ def train_all(frame: DataFrame, targets: dict[str, str], features: Sequence[str]
 
 def grid_search(folds: DataFrame, features: Sequence[str], grid: Sequence[TreePreset], label: str = "y_true",
                 seed: int = 42, parallel: int = 8) -> DataFrame:
-    """Mean RMSE over time-ordered folds for each preset; `folds` has (fold, part) columns."""
+    """One record per preset and time-ordered fold; `folds` has (fold, part) columns."""
     spark = folds.sparkSession
     rows = folds.persist()
     ids = [r.fold for r in rows.select("fold").distinct().collect()]
@@ -299,17 +342,31 @@ def grid_search(folds: DataFrame, features: Sequence[str], grid: Sequence[TreePr
         own = rows.where(F.col("fold") == fold)
         model = fit_tree(own.where("part = 'train'"), features, preset, label, seed)
         score = fit_scores(predict_tree(model, own.where("part = 'test'"), features), label).first()
-        return i, preset.kind, preset.trees, preset.depth, float(preset.options.get("stepSize", 0.0)), fold, score.rmse
+        return (i, preset.kind, preset.trees, preset.depth, float(preset.options.get("stepSize", 0.0)), fold,
+                score.rmse, score.n_samples)
 
     try:
         with ThreadPoolExecutor(parallel) as pool:
             done = list(pool.map(run, cells))
     finally:
         rows.unpersist()
-    table = spark.createDataFrame(
-        done, "candidate int, kind string, trees int, depth int, step double, fold int, rmse double")
-    return table.groupBy("candidate", "kind", "trees", "depth", "step").agg(
+    return spark.createDataFrame(
+        done, "candidate int, kind string, trees int, depth int, step double, fold int, rmse double, n_samples long")
+
+
+def grid_summary(records: DataFrame) -> DataFrame:
+    """Mean RMSE per preset; the least mean is best, the earlier preset on ties."""
+    means = records.groupBy("candidate", "kind", "trees", "depth", "step").agg(
         F.avg("rmse").alias("mean_rmse"), F.count("rmse").alias("n_folds"))
+    best = means.agg(F.min_by("candidate", F.struct("mean_rmse", "candidate"))).scalar()
+    return means.withColumn("is_best", F.col("candidate") == best)
+
+
+def refit_best(rows: DataFrame, features: Sequence[str], grid: Sequence[TreePreset], summary: DataFrame,
+               label: str = "y_true", seed: int = 42) -> PipelineModel:
+    """The best preset fitted on training and validation rows together."""
+    best = summary.where("is_best").select("candidate").first().candidate
+    return fit_tree(rows.where("split in ('train', 'validation')"), features, grid[best], label, seed)
 
 
 # ---- walk-forward
@@ -370,30 +427,30 @@ def walk_forward_trees(folds: DataFrame, features: Sequence[str], presets: dict[
 
 # ---- experiments
 
-def compare_linear(rows: DataFrame, blocks: dict[str, Sequence[str]], alpha: float = 1.0,
-                   settings: FarmSettings = DEFAULTS) -> DataFrame:
+def compare_linear(rows: DataFrame, blocks: dict[str, Sequence[str] | dict[str, Sequence[str]]], alpha: float = 1.0,
+                   settings: FarmSettings = DEFAULTS, targets: dict[str, str] | None = None) -> DataFrame:
     """Ridge per feature block, all blocks trained and scored on the same complete rows.
 
-    The sums of products are taken once for all features; a block solves its part of them. Every block's
-    forecast is then added to the test rows, and one pass scores them all.
+    The sums of products are taken once for all features; a block solves its part of them, and one pass over the test
+    rows scores every block. `rows` has one row per horizon, or with `targets` (horizon -> label column) one row for all.
     """
-    everything = list(dict.fromkeys(f for block in blocks.values() for f in block))
-    complete = training_frame(rows, everything, "y_true")
+    lists = [f for b in blocks.values() for f in (b.values() if isinstance(b, dict) else [b])]
+    everything = list(dict.fromkeys(f for names in lists for f in names))
     spark = rows.sparkSession
-    sums = products(complete.where("split = 'train'"), everything)
+    complete = rows.dropna(subset=everything if targets else [*everything, "y_true"])
+    keys = [k for k in TARGET_KEYS if not targets or k != "horizon"]
+    sums = products(complete.where("split = 'train'"), everything, keys, targets=targets)
     sums = spark.read.schema(sums.schema).parquet(write_stage(sums, "products"))
-    fits = None
-    for name, features in blocks.items():
-        part = solve_linear(sums, everything, alpha, among=features).select(
-            *TARGET_KEYS, F.col("intercept").alias(f"i_{name}"), F.col("coefs").alias(f"c_{name}"))
-        fits = part if fits is None else fits.join(part, list(TARGET_KEYS))
-    test = attach(complete.where("split = 'test'"), fits, TARGET_KEYS)
-    guesses = [
-        F.struct(F.lit(name).alias("feature_set"), (F.col(f"i_{name}") + dot(f"c_{name}", features)).alias("y_pred"))
-        for name, features in blocks.items()]
-    long = test.select(*TARGET_KEYS, "y_true", F.explode(F.array(*guesses)).alias("_g")).select(
-        *TARGET_KEYS, "y_true", "_g.*")
-    e = F.col("y_pred") - F.col("y_true")
+    fits = solve_blocks(sums, everything, blocks, alpha).select(*TARGET_KEYS, "feature_set", "intercept", "coefs")
+    test = complete.where("split = 'test'")
+    if targets:
+        cells = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(c).alias("y_true")) for h, c in targets.items()])
+        test = test.select("series_id", *everything, F.explode(cells).alias("_t")).select("series_id", *everything, "_t.*")
+    known = test.select(*TARGET_KEYS, *everything, "y_true").where(F.col("y_true").isNotNull())
+    guess = F.col("intercept") + dot("coefs", everything)
+    e = guess - F.col("y_true")
+    long = attach(known, fits, TARGET_KEYS).select(*TARGET_KEYS, "feature_set", "y_true", e.alias("e"))
+    e = F.col("e")
     return long.groupBy(*TARGET_KEYS, "feature_set").agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
         (1 - F.try_divide(F.sum(e * e), F.var_pop("y_true") * F.count("*"))).alias("r2"),
@@ -450,6 +507,18 @@ def ablation_blocks(features: Sequence[str]) -> dict[str, list[str]]:
 
 # ---- storage and batch scoring
 
+def config_hash(settings: FarmSettings) -> str:
+    """First 16 hexadecimal digits of the SHA-256 of the settings as sorted JSON."""
+    return hashlib.sha256(json.dumps(asdict(settings), sort_keys=True).encode()).hexdigest()[:16]
+
+
+def data_hash(df: DataFrame) -> str:
+    """16 hexadecimal digits that depend on the rows, not on their order or files."""
+    wide = F.xxhash64(*df.columns).cast("decimal(38,0)")
+    row = df.agg(F.count("*").alias("n"), F.sum(wide).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), *df.columns)).alias("x")).first()
+    return hashlib.sha256(f"{row.n},{row.s},{row.x}".encode()).hexdigest()[:16]
+
+
 def save_model(spark: SparkSession, model: PipelineModel, folder: str, key: str, features: Sequence[str],
                meta: dict[str, str]) -> None:
     """Model files plus one registry row (features, seed, hashes and so on)."""
@@ -467,6 +536,10 @@ def load_model(spark: SparkSession, folder: str, key: str) -> tuple[PipelineMode
     return PipelineModel.load(row.path), list(row.features)
 
 
+def load_meta(spark: SparkSession, folder: str, key: str) -> dict[str, str]:
+    return dict(spark.read.parquet(f"{folder}/registry").where(F.col("model_key") == key).first().meta)
+
+
 def champion_scores(requests: DataFrame, predictions: DataFrame, champions: DataFrame,
                     quantiles: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame:
     """Forecasts of the champion for the requested (series_id, ts, horizon).

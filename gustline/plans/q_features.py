@@ -159,11 +159,13 @@ SELECT farm_no, ts, place || '_' || name AS name, value FROM (
   SELECT (CAST(substr(turbine_id, 3) AS BIGINT) - 1) // 12 AS farm_no, ts,
     'TB' || lpad(CAST((CAST(substr(turbine_id, 3) AS BIGINT) - 1) % 12 + 1 AS VARCHAR), 2, '0') AS place,
     lag(power) OVER (PARTITION BY turbine_id ORDER BY ts) AS power_lag1,
-    max(power) OVER (PARTITION BY turbine_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS power_roll6_max FROM t_clean)
-UNPIVOT (value FOR name IN (power_lag1, power_roll6_max)) WHERE value IS NOT NULL""")
+    max(power) OVER (PARTITION BY turbine_id ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS power_roll6_max,
+    lag(wind_speed, 2) OVER (PARTITION BY turbine_id ORDER BY ts) AS wind_speed_lag2, temperature FROM t_clean)
+UNPIVOT (value FOR name IN (power_lag1, power_roll6_max, wind_speed_lag2, temperature))
+WHERE value IS NOT NULL AND (name LIKE 'power%' OR place IN ('TB01', 'TB02', 'TB03'))""")
 def e10_farm(spark, sf):
     wide = E.farm_scope_matrix(with_farm(clean_frame(spark, sf)), PLACES, DERIVED)
-    names = [f"{t}_{c}" for t in PLACES for c in ("power_lag1", "power_roll6_max")]
+    names = [c for c in wide.columns if c.endswith(("power_lag1", "power_roll6_max", "wind_speed_lag2", "_temperature"))]
     return wide.unpivot(["farm_no", "ts"], names, "name", "value").where(F.col("value").isNotNull())
 
 
@@ -218,21 +220,21 @@ def e12(spark, sf):
 
 
 @query("e13_feature_scores", """
-SELECT feature, n, round(r, 6) AS r, round(r * r / (1 - r * r) * (n - 2), 3) AS f_score FROM (
-  UNPIVOT (SELECT count(*) AS n, corr(power, y_true) AS power, corr(wind_speed, y_true) AS wind_speed,
-    corr(roll6, y_true) AS roll6 FROM t_target WHERE horizon = '1hour' AND split = 'train' AND power IS NOT NULL
-    AND wind_speed IS NOT NULL AND roll6 IS NOT NULL AND y_true IS NOT NULL)
+SELECT series_id, horizon, feature, n, round(r, 6) AS r, round(r * r / (1 - r * r) * (n - 2), 3) AS f_score FROM (
+  UNPIVOT (SELECT series_id, horizon, count(*) AS n, corr(power, y_true) AS power, corr(wind_speed, y_true) AS wind_speed,
+    corr(roll6, y_true) AS roll6 FROM t_target WHERE split = 'train' AND power IS NOT NULL
+    AND wind_speed IS NOT NULL AND roll6 IS NOT NULL AND y_true IS NOT NULL GROUP BY series_id, horizon)
   ON power, wind_speed, roll6 INTO NAME feature VALUE r)""")
 def e13(spark, sf):
-    rows = series_targets(spark, sf).where("horizon = '1hour' and split = 'train'")
-    out = E.univariate_scores(rows, ["power", "wind_speed", "roll6"], "y_true")
+    rows = series_targets(spark, sf).where("split = 'train'")
+    out = E.univariate_scores(rows, ["power", "wind_speed", "roll6"], "y_true", ["series_id", "horizon"])
     return out.withColumns({"r": F.round("r", 6), "f_score": F.round("f_score", 3)})
 
 
 @query("e14_scale", """
 SELECT s.series_id, s.ts, round((power - pm) / ps, 6) AS power, round((wind_speed - wm) / ws, 6) AS wind_speed
-FROM t_split s, (SELECT avg(power) AS pm, stddev_pop(power) AS ps, avg(wind_speed) AS wm, stddev_pop(wind_speed) AS ws
-  FROM t_split WHERE split = 'train')""")
+FROM t_split s LEFT JOIN (SELECT series_id, avg(power) AS pm, stddev_pop(power) AS ps, avg(wind_speed) AS wm,
+  stddev_pop(wind_speed) AS ws FROM t_split WHERE split = 'train' GROUP BY series_id) p ON p.series_id = s.series_id""")
 def e14(spark, sf):
     series = S.split_by_time(C.series_frame(clean_frame(spark, sf), "all"), bounds(spark, sf), DERIVED)
     out = E.scale(series, series.where("split = 'train'"), ["power", "wind_speed"])

@@ -17,7 +17,7 @@ from gustline.plans.q_features import bounds, series_targets, weather_rows
 from gustline.plans.q_scores import rounded
 from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
-from gustline.plans.stages import stage
+from gustline.plans.stages import stage, value
 from gustline.session import shared_dir
 from gustline.settings import FARM_SERIES, HORIZONS
 from gustline.sources.derived import DERIVED
@@ -73,7 +73,11 @@ def g8(spark, sf):
     base = G.PRESETS["gbt_a"]
     grid = [replace(base, trees=trees, depth=depth, options={**base.options, "stepSize": rate})
             for trees in GRID_TREES for depth in GRID_DEPTHS for rate in GRID_RATES]
-    return G.grid_search(S.cv_folds(rows, bounds(spark, sf), 3, DERIVED), TREE_FEATURES, grid)
+    summary = G.grid_summary(G.grid_search(S.cv_folds(rows, bounds(spark, sf), 3, DERIVED), TREE_FEATURES, grid))
+    model = G.refit_best(rows, TREE_FEATURES, grid, summary)
+    test = farm_rows(spark, sf).where("split = 'test'")
+    score = G.fit_scores(G.predict_tree(model, test, TREE_FEATURES)).select("rmse").scalar()
+    return summary.withColumn("test_rmse", F.when(F.col("is_best"), score))
 
 
 @query("g10_walk_forward_trees")
@@ -82,22 +86,45 @@ def g10(spark, sf):
     return G.walk_forward_trees(folds, TREE_FEATURES, G.PRESETS)
 
 
-def _stored_model(spark, sf):
-    rows = farm_rows(spark, sf)
-    model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, G.PRESETS["random_forest"])
-    folder = f"{shared_dir(spark)}/models-{uuid.uuid4().hex}"
-    G.save_model(spark, model, folder, "farm_1hour_forest", TREE_FEATURES, {"seed": "42", "feature_version": "v5"})
-    return rows, model, folder
+FOREST_KEY = "farm_1hour_forest"
+
+
+def stored_forest(spark, sf):
+    """Folder of the saved forest and its registry, fitted once per input."""
+    def build():
+        rows = farm_rows(spark, sf)
+        model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, G.PRESETS["random_forest"])
+        folder = f"{shared_dir(spark)}/models-{uuid.uuid4().hex}"
+        G.save_model(spark, model, folder, FOREST_KEY, TREE_FEATURES, {
+            "seed": "42", "config_hash": G.config_hash(DERIVED), "data_hash": G.data_hash(rows)})
+        return model, folder
+
+    return value(spark, sf, "forest", build)
+
+
+def forest_registry(spark, sf):
+    """The saved forest as a row of the model registry: features as stored, forecasts it gives for test rows."""
+    folder = stored_forest(spark, sf)[1]
+    model, features = G.load_model(spark, folder, FOREST_KEY)
+    scored = G.predict_tree(model, farm_rows(spark, sf).where("split = 'test'"), features)
+    return scored.groupBy("series_id").agg(F.count("prediction").alias("n_scored")).select(
+        "series_id", F.lit("1hour").alias("horizon"), F.lit("random_forest").alias("model"), "n_scored",
+        F.lit(f"{FARM_SERIES}_target_1hour").alias("target"), F.array(*[F.lit(f) for f in features]).alias("features"))
 
 
-@query("g11_save_and_load", "SELECT count(DISTINCT ts) AS n_rows, 0.0::DOUBLE AS largest_change FROM t_clean")
+@query("g11_save_and_load", """
+SELECT count(DISTINCT ts) AS n_rows, 0.0::DOUBLE AS largest_change, true AS same_config, true AS same_data FROM t_clean""")
 def g11(spark, sf):
-    rows, model, folder = _stored_model(spark, sf)
-    loaded, features = G.load_model(spark, folder, "farm_1hour_forest")
+    rows = farm_rows(spark, sf)
+    model, folder = stored_forest(spark, sf)
+    meta = G.load_meta(spark, folder, FOREST_KEY)
+    loaded, features = G.load_model(spark, folder, FOREST_KEY)
     before = G.predict_tree(model, rows, TREE_FEATURES).select("ts", F.col("prediction").alias("before"))
     after = G.predict_tree(loaded, rows, features).select("ts", F.col("prediction").alias("after"))
     return before.join(after, "ts").agg(
-        F.count("*").alias("n_rows"), F.max(F.abs(F.col("before") - F.col("after"))).alias("largest_change"))
+        F.count("*").alias("n_rows"), F.max(F.abs(F.col("before") - F.col("after"))).alias("largest_change"),
+        F.lit(meta["config_hash"] == G.config_hash(DERIVED)).alias("same_config"),
+        F.lit(meta["data_hash"] == G.data_hash(rows)).alias("same_data"))
 
 
 @query("g12_batch_predict")
@@ -112,14 +139,15 @@ def g12(spark, sf):
     return out
 
 
+TARGETS = {h: f"power_target_{h}" for h in HORIZONS}
+
+
 def turbine_rows(spark, sf):
-    """Per-turbine feature rows with long targets at one and six hours."""
+    """Per-turbine feature rows with the targets of all horizons side by side."""
     def build():
         df = clean_frame(spark, sf)
-        horizons = {"1hour": 6, "6hour": 36}
-        rows = E.feature_matrix(df, C.farm_frame(df), DERIVED, horizons=horizons)
-        split = S.split_by_time(rows.withColumnRenamed("turbine_id", "series_id"), bounds(spark, sf), DERIVED)
-        return S.long_targets(split, horizons)
+        rows = E.feature_matrix(df, C.farm_frame(df), DERIVED)
+        return S.split_by_time(rows.withColumnRenamed("turbine_id", "series_id"), bounds(spark, sf), DERIVED)
 
     return stage(spark, sf, "turbine_features", build)
 
@@ -128,6 +156,13 @@ def _features(df):
     return [f for f in E.select_feature_columns(df) if f not in ("y_true", "steps")]
 
 
+@query("g2_ridge_all_features")
+def g2_all(spark, sf):
+    rows = turbine_rows(spark, sf)
+    best = E.top_features(rows.where("split = 'train'"), _features(rows), TARGETS["1hour"], DERIVED.top_features)
+    return G.compare_linear(rows, {"ridge": best}, 1.0, farm_settings(spark, sf), TARGETS).drop("feature_set")
+
+
 @query("g14_fair_experiment")
 def g14_four(spark, sf):
     rows = farm_rows(spark, sf)
@@ -139,15 +174,15 @@ def g14_four(spark, sf):
 @query("g14_feature_count")
 def g14(spark, sf):
     rows = turbine_rows(spark, sf)
-    every = _features(rows)
-    best = E.top_features(rows.where("split = 'train' and horizon = '1hour'"), every, "y_true", 30)
-    return G.compare_linear(rows, {"all": every, "top_30": best}, 1.0, farm_settings(spark, sf))
+    every, train = _features(rows), rows.where("split = 'train'")
+    best = {h: E.top_features(train, every, label, 30) for h, label in TARGETS.items()}
+    return G.compare_linear(rows, {"all": every, "top_30": best}, 1.0, farm_settings(spark, sf), TARGETS)
 
 
 @query("g15_block_ablation")
 def g15(spark, sf):
     rows = turbine_rows(spark, sf)
-    return G.compare_linear(rows, G.ablation_blocks(_features(rows)), 1.0, farm_settings(spark, sf))
+    return G.compare_linear(rows, G.ablation_blocks(_features(rows)), 1.0, farm_settings(spark, sf), TARGETS)
 
 
 cte("t_nwp", """

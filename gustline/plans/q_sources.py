@@ -17,6 +17,7 @@ from gustline.operators import scoring as I
 from gustline.plans.q_alerts import j1, j2, j3, j4
 from gustline.plans.q_clean import clean_frame, farm_settings, unique_frame
 from gustline.plans.q_features import series_targets, weather_rows
+from gustline.plans.q_models import TREE_FEATURES, forest_registry
 from gustline.plans.q_scores import forecasts, metrics, official, predictions, rounded
 from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
@@ -419,28 +420,28 @@ def c12_horizons(spark, sf):
 
 # ---- audits
 
-FEATURES_OF = {"persistence": ["power"], "ridge": ["power"], "linear_wind": ["wind_speed"], "linear_roll": ["roll6"]}
 FEATURES_SQL = "CASE model WHEN 'linear_wind' THEN 'wind_speed' WHEN 'linear_roll' THEN 'roll6' ELSE 'power' END"
+FOREST_SQL = f"""SELECT series_id, '1hour' AS horizon, 'random_forest' AS model, count(*) AS n_scored
+FROM t_split WHERE series_id = 'farm_total_power' AND split = 'test' GROUP BY series_id"""
 
 
 def model_registry(spark, sf):
-    features = F.lit(None).cast("array<string>")
-    for model, names in FEATURES_OF.items():
-        features = F.when(F.col("model") == model, F.array(*[F.lit(n) for n in names])).otherwise(features)
-    rows = predictions(spark, sf).groupBy("series_id", "horizon", "model").agg(F.count("y_pred").alias("n_scored"))
-    return rows.withColumns({"target": F.concat("series_id", F.lit("_target_"), "horizon"), "features": features})
+    """Every closed-form model with the features its fit reads, and the saved forest with the features stored beside it."""
+    return G.base_registry(predictions(spark, sf)).unionByName(forest_registry(spark, sf))
 
 
 @query("k1_name_audit", f"""
 SELECT series_id, horizon, model, count(y_pred) AS n_scored, 1 AS n_features, '' AS leaky_features, 'PASS' AS status
-FROM t_pred GROUP BY ALL""")
+FROM t_pred GROUP BY ALL
+UNION ALL SELECT *, {len(TREE_FEATURES)}, '', 'PASS' FROM ({FOREST_SQL})""")
 def k1(spark, sf):
     return K.name_audit(model_registry(spark, sf)).drop("features", "target")
 
 
 @query("k2_feature_evidence", f"""
 SELECT series_id, horizon, model, count(y_pred) AS n_scored, series_id || '_target_' || horizon AS target, {FEATURES_SQL} AS feature_list,
-  false AS target_in_features, false AS any_future_target FROM t_pred GROUP BY ALL""")
+  false AS target_in_features, false AS any_future_target FROM t_pred GROUP BY ALL
+UNION ALL SELECT *, 'farm_total_power_target_1hour', '{", ".join(TREE_FEATURES)}', false, false FROM ({FOREST_SQL})""")
 def k2(spark, sf):
     return K.feature_evidence(model_registry(spark, sf)).drop("features")
 
@@ -451,17 +452,25 @@ SELECT series_id, horizon, model, count(*) AS n_rows, true AS target_time_ok, NO
 def k3(spark, sf):
     rows = predictions(spark, sf).where("split = 'test'")
     series = C.series_frame(clean_frame(spark, sf), "all")
-    return K.leakage_assertions(rows, series, model_registry(spark, sf), DERIVED)
+    return K.leakage_assertions(rows, series, G.base_registry(predictions(spark, sf)), DERIVED)
 
 
 @query("k4_frame_audit", """
-SELECT 'ridge_1hour' AS model_key, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_duplicate_rows, CAST(0 AS BIGINT) AS n_without_target,
+SELECT model, series_id, horizon, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_duplicate_rows, CAST(0 AS BIGINT) AS n_without_target,
   true AS target_after_issue, true AS target_not_in_features, true AS no_later_names, 'PASS' AS status
-FROM t_target WHERE horizon = '1hour' AND split = 'train' AND power IS NOT NULL AND y_true IS NOT NULL""")
+FROM t_target CROSS JOIN (VALUES ('ridge'), ('linear_wind'), ('linear_roll')) m(model)
+WHERE split = 'train' AND power IS NOT NULL AND wind_speed IS NOT NULL AND roll6 IS NOT NULL AND y_true IS NOT NULL GROUP BY ALL""")
 def k4(spark, sf):
-    rows = E.training_frame(series_targets(spark, sf).where("horizon = '1hour' and split = 'train'"), ["power"], "y_true")
-    due = F.col("ts") + F.make_dt_interval(mins=F.col("steps") * 10)
-    return K.frame_audit(rows.withColumn("due", due), ["power"], "y_true", "ts", "due", "ridge_1hour")
+    used = list(dict.fromkeys(G.BASE_FEATURES.values()))
+    rows = E.training_frame(series_targets(spark, sf).where("split = 'train'"), used, "y_true")
+    frame = rows.withColumn("due", F.col("ts") + F.make_dt_interval(mins=F.col("steps") * 10))
+    out = None
+    for model in G.BASE_ALPHAS:
+        feature = G.BASE_FEATURES[model]
+        own = frame.select("series_id", "horizon", "ts", "due", feature, "y_true")
+        part = K.frame_audit(own, [feature], "y_true", "ts", "due", ["series_id", "horizon"], model)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("k5_sample_trace", """

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from gustline.functions.timeline import slot_of
 from gustline.operators.cleaning import first_reading
+from gustline.settings import SENSORS
 
 WEATHER_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()), T.StructField("lead_minutes", T.LongType()),
@@ -28,19 +29,30 @@ def _read(spark: SparkSession, kind: str, paths: Sequence[str], schema: T.Struct
         raise ValueError(f"no reader for .{kind}")
     reader = spark.read.format(kind).options(**FORMATS[kind])
     reader = reader.schema(schema) if schema is not None else reader
-    if kind == "csv" and schema is None:
-        reader = reader.option("inferSchema", True).option("preferDate", False)
     return reader.load(list(paths))
 
 
+def with_sensor_types(df: DataFrame) -> DataFrame:
+    """Text columns named after a sensor (`power`, `TB01_power`) as doubles, null where they do not parse.
+
+    Types follow names, not data, so a CSV input is read once and all inputs agree.
+    """
+    named = [c for c, t in df.dtypes if t == "string" and any(c == s or c.endswith(f"_{s}") for s in SENSORS)]
+    return df.withColumns({c: F.expr(f"try_cast(`{c}` AS double)") for c in named})
+
+
 def as_timestamp(column: Column, kind: str) -> Column:
     """Text that does not parse becomes null; other types are cast."""
     return F.try_to_timestamp(column).cast("timestamp_ntz") if kind == "string" else column.cast("timestamp_ntz")
 
 
 def read_one(spark: SparkSession, path: str, ts: str = "ts", schema: T.StructType | None = None) -> DataFrame:
-    """One Parquet, CSV or JSON input; rows without a timestamp are dropped."""
-    df = _read(spark, extension(path), [path], schema)
+    """One Parquet, CSV or JSON input; rows without a timestamp are dropped.
+
+    A CSV input without a schema gives doubles for sensor columns and text for others; JSON is read once more to find
+    its fields unless a schema is given.
+    """
+    df = with_sensor_types(_read(spark, extension(path), [path], schema))
     return df.withColumn(ts, as_timestamp(F.col(ts), dict(df.dtypes)[ts])).dropna(subset=[ts])
 
 
@@ -56,6 +68,8 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 def read_all(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], ts: str = "ts") -> DataFrame:
     """Union of the inputs, one row per key: that of the first input in name order.
 
+    Inside an input the order is file, place in the file (row for Parquet, block for text), then readings before nulls
+    and smaller values first, since text has no row numbers.
     One read per format. A row's input is the part of its file path right below the input's folder, so
     the work does not depend on how many inputs there are.
     """
@@ -70,11 +84,15 @@ def read_all(spark: SparkSession, paths: Sequence[str], keys: Sequence[str], ts:
         name = F.when(below.contains(f"{folder}/"), F.substring_index(rest, "/", 1)).otherwise(name)
     out = None
     for kind, group in by_kind.items():
-        df = _read(spark, kind, group, None).withColumn("_input", name)
+        row = F.col("_metadata.row_index" if kind == "parquet" else "_metadata.file_block_start")
+        place = F.struct(name.alias("input"), below.alias("file"), row.alias("row"))
+        df = with_sensor_types(_read(spark, kind, group, None).withColumn("_place", place))
         df = df.withColumn(ts, as_timestamp(F.col(ts), dict(df.dtypes)[ts])).dropna(subset=[ts])
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    rest = [c for c in out.columns if c not in (*keys, "_input")]
-    return first_reading(out, keys, ["_input", *rest]).drop("_input")
+    rest = [c for c in out.columns if c not in (*keys, "_place")]
+    values = [e for c in rest for e in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    ordered = out.withColumn("_order", F.struct("_place", *values)).drop("_place")
+    return first_reading(ordered, keys, ["_order"]).drop("_order")
 
 
 def load_weather(spark: SparkSession, path: str) -> DataFrame:
@@ -125,8 +143,9 @@ def file_coverage(spark: SparkSession, paths: Sequence[str], ts: str = "ts") ->
     out = None
     for kind in sorted({extension(p) for p in paths}):
         df = _read(spark, kind, [p for p in paths if extension(p) == kind], None)
+        when = as_timestamp(F.col(ts), dict(df.dtypes)[ts])
         part = df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
-            F.count("*").alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+            F.count("*").alias("n_rows"), F.min(when).alias("first_ts"), F.max(when).alias("last_ts"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -8,7 +8,9 @@ from conftest import stamp
 from pyspark.sql import functions as F
 
 from gustline.operators import alerts as J
+from gustline.operators import audits as K
 from gustline.operators import diagnostics as D
+from gustline.operators import features as E
 from gustline.operators import models as G
 from gustline.operators import quality as Q
 from gustline.operators import scoring as I
@@ -92,9 +94,54 @@ def test_ridge_equals_the_closed_form(spark):
     w = np.linalg.solve(z.T @ z + 10 * np.eye(3), z.T @ (y - y.mean())) / x.std(0)
     np.testing.assert_allclose(fit.coefs, w, rtol=1e-8)
     assert fit.intercept == pytest.approx(y.mean() - w @ x.mean(0))
-    some = G.solve_linear(G.products(df, ["a", "b", "c"]), ["a", "b", "c"], 10.0, among=["c", "a"]).first()
+    some = G.solve_blocks(G.products(df, ["a", "b", "c"]), ["a", "b", "c"], {"two": {"h": ["c", "a"]}}, 10.0).first()
     own = G.fit_linear(df, ["c", "a"], alpha=10.0).first()
-    np.testing.assert_allclose(some.coefs, own.coefs, rtol=1e-8)
+    np.testing.assert_allclose(some.coefs, [own.coefs[1], 0.0, own.coefs[0]], rtol=1e-8)
+
+
+def test_small_spread_around_a_large_mean_is_kept(spark):
+    rng = np.random.default_rng(5)
+    x = 1e8 + rng.normal(size=500) * 0.5
+    y = 3.0 * (x - 1e8) + rng.normal(size=500) * 0.01
+    df = spark.createDataFrame([("s", "h", float(a), float(b)) for a, b in zip(x, y, strict=True)],
+                               "series_id string, horizon string, a double, y_true double").repartition(5)
+    assert G.fit_linear(df, ["a"]).first().coefs[0] == pytest.approx(np.polyfit(x - x.mean(), y, 1)[0], rel=1e-6)
+    assert E.univariate_scores(df, ["a"], "y_true", ["series_id"]).first().r == pytest.approx(np.corrcoef(x, y)[0, 1], rel=1e-6)
+
+
+def test_wide_targets_give_the_fits_of_long_ones(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"s{i % 2}", *map(float, rng.normal(size=4)), "train" if i % 3 else "test") for i in range(300)]
+    rows += [("s0", 1.0, 2.0, 3.0, None, "train"), ("s1", 1.0, None, 3.0, 4.0, "test")]
+    wide = spark.createDataFrame(rows, "series_id string, a double, b double, t1 double, t2 double, split string")
+    long = wide.selectExpr("series_id", "a", "b", "split", "stack(2, 'x', t1, 'y', t2) as (horizon, y_true)")
+    blocks = {"both": ["a", "b"], "own": {"x": ["a"], "y": ["b"]}}
+    got = G.compare_linear(wide, blocks, targets={"x": "t1", "y": "t2"}).toPandas()
+    want = G.compare_linear(long, blocks).toPandas()
+    order = ["series_id", "horizon", "feature_set"]
+    got, want = (d.sort_values(order).reset_index(drop=True) for d in (got, want))
+    assert len(got) == 8 and (got.n_samples == want.n_samples).all()
+    np.testing.assert_allclose(got[["mae", "rmse", "r2"]], want[["mae", "rmse", "r2"]], rtol=1e-8)
+
+
+def test_refit_uses_the_best_preset(spark):
+    records = spark.createDataFrame(
+        [(0, "b", 2, 1, 0.1, 1, 5.0, 9), (0, "b", 2, 1, 0.1, 2, 3.0, 9), (1, "b", 3, 1, 0.1, 1, 2.0, 9)],
+        "candidate int, kind string, trees int, depth int, step double, fold int, rmse double, n_samples long")
+    summary = G.grid_summary(records)
+    assert {r.candidate: (r.mean_rmse, r.is_best) for r in summary.collect()} == {0: (4.0, False), 1: (2.0, True)}
+    rows = spark.createDataFrame([(float(i), float(i), p) for i in range(30) for p in ("train", "validation", "test")],
+                                 "x double, y_true double, split string")
+    grid = [G.TreePreset("boosted", t, 1, {"stepSize": 0.1}) for t in (2, 3)]
+    assert G.refit_best(rows, ["x"], grid, summary).stages[-1].getNumTrees == 3
+
+
+def test_planted_target_fails_the_audits(spark):
+    rows = spark.createDataFrame([("s", "1hour", "m", "s_target_1hour", ["power", "s_target_1hour"])],
+                                 "series_id string, horizon string, model string, target string, features array<string>")
+    assert K.name_audit(rows).first().status == "FAIL"
+    found = K.feature_evidence(rows).first()
+    assert found.target_in_features and found.any_future_target
 
 
 def greedy_frozen(values, length=5):

@@ -92,3 +92,21 @@ def test_coverage_audit_counts_copies_once(spark, scada):
     df = scada(power=[1.0] * 6).select("ts")
     row = Q.coverage_audit(df.union(df.limit(2))).where("label = 'overall'").first()
     assert (row.n_rows, row.n_missing_timestamps, row.coverage_ratio) == (6, 0, 1.0)
+
+
+def test_first_copy_inside_a_file_wins(spark, tmp_path):
+    path = f"{tmp_path}/a.parquet"
+    rows = [(stamp(0), None), (stamp(0), 3.0), (stamp(1), 9.0), (stamp(1), 2.0), (stamp(1), None)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, power double").coalesce(1).write.parquet(path)
+    assert {r.ts: r.power for r in A.read_all(spark, [path], ["ts"]).collect()} == {stamp(0): None, stamp(1): 9.0}
+    text = f"{tmp_path}/b.csv"
+    (tmp_path / "b.csv").write_text("ts,power,note\n2024-01-01 00:00:00,,x\n2024-01-01 00:00:00,5,7\n2024-01-01 00:10:00,bad,1\n")
+    got = A.read_all(spark, [text], ["ts"])
+    assert dict(got.dtypes)["power"] == "double" and dict(got.dtypes)["note"] == "string"
+    assert {r.ts: r.power for r in got.collect()} == {stamp(0): 5.0, stamp(1): None}
+
+
+def test_targets_name_one_horizon(spark):
+    rows = spark.createDataFrame([("a_target_1hour", "1hour"), ("b_target_1hour", "1hour"), ("b_target_1hour", "6hour")],
+                                 "target string, horizon string")
+    assert {r.target: r.status for r in Q.target_horizons(rows).collect()} == {"a_target_1hour": "PASS", "b_target_1hour": "FAIL"}
