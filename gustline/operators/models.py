@@ -269,7 +269,11 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def fit_tree(train: DataFrame, features: Sequence[str], preset: TreePreset, label: str = "y_true",
              seed: int = 42) -> PipelineModel:
-    rows = assemble(training_frame(train, features, label), features)
+    """Assembler and fitted learner. Every tree level is a job over the training rows, so these are first laid out in
+    partitions of the advisory size: few for a small input, many for a large one.
+    """
+    used = training_frame(train, features, label).select(*features, label)
+    rows = assemble(used.hint("rebalance"), features)
     return PipelineModel([VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
                           preset.estimator(label, seed).fit(rows)])
 
