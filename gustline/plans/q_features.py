@@ -10,6 +10,7 @@ from gustline.operators import features as E
 from gustline.operators import splits as S
 from gustline.plans.q_clean import clean_frame, farm_settings
 from gustline.plans.registry import query
+from gustline.plans.sqlbase import cte
 from gustline.plans.stages import stage
 from gustline.settings import HORIZONS, SENSORS
 from gustline.sources.derived import DERIVED, PLACES, readings, stamps, with_farm
@@ -169,7 +170,7 @@ def e10_farm(spark, sf):
     return wide.unpivot(["farm_no", "ts"], names, "name", "value").where(F.col("value").isNotNull())
 
 
-def _feature_sql():
+def _feature_cells():
     """Every feature of the matrix as SQL, named as the matrix names it."""
     w = "OVER (PARTITION BY turbine_id ORDER BY c.ts)"
     cols = {c: c for c in SENSORS}
@@ -188,7 +189,11 @@ def _feature_sql():
         "hour_of_day", "day_of_week", "month", "day_of_year", "is_weekend", "hour_sin", "hour_cos", "month_sin", "month_cos",
         "dow_sin", "dow_cos", "season"]]
     cols |= {n: "1" for n in always}
-    cols |= {"farm_avg_power": "farm_avg_power", "farm_avg_wind": "farm_avg_wind"}
+    return cols | {"farm_avg_power": "farm_avg_power", "farm_avg_wind": "farm_avg_wind"}
+
+
+def _feature_sql():
+    cols = _feature_cells()
     inner = ", ".join(f"{e} AS f_{n}" for n, e in cols.items())
     counts = ", ".join(f"count(f_{n}) AS {n}" for n in cols)
     return f"""
@@ -196,6 +201,13 @@ SELECT feature, n_present, n_rows FROM (UNPIVOT (SELECT count(*) AS n_rows, {cou
   SELECT {inner} FROM t_clean c JOIN t_farm f ON f.ts = c.ts)) ON {", ".join(cols)} INTO NAME feature VALUE n_present)"""
 
 
+cte("t_complete", f"""
+SELECT turbine_id, ts FROM (SELECT turbine_id, c.ts, {", ".join(f"{e} AS f_{n}" for n, e in _feature_cells().items())}
+  FROM t_clean c JOIN t_farm f ON f.ts = c.ts)
+WHERE {" AND ".join(f"f_{n} IS NOT NULL" for n in _feature_cells())}
+""")
+
+
 @query("e11_feature_columns", _feature_sql())
 def e11(spark, sf):
     df = clean_frame(spark, sf)

@@ -28,6 +28,9 @@ TREE_FEATURES = ["power", "wind_speed", "power_lag1", "power_lag6", "power_lag14
                  "power_roll36_std", "power_diff1", "wind_speed_lag1", "wind_speed_roll6_mean", "hour_sin", "hour_cos"]
 
 
+TARGETS = {h: f"power_target_{h}" for h in HORIZONS}
+
+
 def farm_rows(spark, sf):
     """Farm total with its features and targets, one row per slot, in train, validation and test parts."""
     def build():
@@ -39,36 +42,87 @@ def farm_rows(spark, sf):
     return stage(spark, sf, "farm_features", build)
 
 
-def scored_by(spark, sf, preset):
-    rows = farm_rows(spark, sf)
-    model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, preset)
-    return G.fit_scores(G.predict_tree(model, rows.where("split = 'test'"), TREE_FEATURES))
+def scored_by(spark, sf, name):
+    def build():
+        rows = farm_rows(spark, sf)
+        model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, G.PRESETS[name])
+        return G.fit_scores(G.predict_tree(model, rows.where("split = 'test'"), TREE_FEATURES))
+
+    return stage(spark, sf, f"scores_{name}", build)
+
+
+# The scores of tree learners have no SQL; the facts queries check what SQL can tell of the same stored tables.
+FACTS_SQL = """SELECT count(*) AS n_samples, true AS errors_ordered FROM t_target
+WHERE series_id = 'farm_total_power' AND horizon = '1hour' AND split = 'test' AND y_true IS NOT NULL"""
+
+
+def score_facts(scores):
+    return scores.select("n_samples", (F.col("mae") <= F.col("rmse")).alias("errors_ordered"))
 
 
 @query("g4_random_forest")
 def g4(spark, sf):
-    return scored_by(spark, sf, G.PRESETS["random_forest"])
+    return scored_by(spark, sf, "random_forest")
+
+
+@query("g4_forest_facts", FACTS_SQL)
+def g4_facts(spark, sf):
+    return score_facts(scored_by(spark, sf, "random_forest"))
 
 
 @query("g5_boosting_a")
 def g5(spark, sf):
-    return scored_by(spark, sf, G.PRESETS["gbt_a"])
+    return scored_by(spark, sf, "gbt_a")
+
+
+@query("g5_boosting_a_facts", FACTS_SQL)
+def g5_facts(spark, sf):
+    return score_facts(scored_by(spark, sf, "gbt_a"))
 
 
 @query("g6_boosting_b")
 def g6(spark, sf):
-    return scored_by(spark, sf, G.PRESETS["gbt_b"])
+    return scored_by(spark, sf, "gbt_b")
+
+
+@query("g6_boosting_b_facts", FACTS_SQL)
+def g6_facts(spark, sf):
+    return score_facts(scored_by(spark, sf, "gbt_b"))
 
 
 @query("g7_train_all")
 def g7(spark, sf):
     rows = farm_rows(spark, sf)
-    targets = {h: f"power_target_{h}" for h in HORIZONS}
-    return G.train_all(rows, targets, _features(rows), G.PRESETS, farm_settings(spark, sf))[1]
+    return stage(spark, sf, "train_all", lambda: G.train_all(
+        rows, TARGETS, _features(rows), G.PRESETS, farm_settings(spark, sf))[1])
+
+
+@query("g7_train_all_facts", f"""
+SELECT horizon AS target, CAST({len(G.PRESETS)} AS BIGINT) AS n_models, CAST(1 AS BIGINT) AS n_best, true AS best_is_least, count(*) AS n_samples
+FROM t_target WHERE series_id = 'farm_total_power' AND split = 'validation' AND y_true IS NOT NULL GROUP BY horizon""")
+def g7_facts(spark, sf):
+    least = F.min("rmse") == F.min(F.when(F.col("is_best"), F.col("rmse")))
+    return g7(spark, sf).groupBy("target").agg(
+        F.count("*").alias("n_models"), F.count_if("is_best").alias("n_best"), least.alias("best_is_least"),
+        F.max("n_samples").alias("n_samples"))
 
 
 @query("g8_grid_search")
 def g8(spark, sf):
+    return stage(spark, sf, "grid_search", lambda: search(spark, sf))
+
+
+@query("g8_grid_facts", f"""
+SELECT trees, depth, step, CAST(3 AS BIGINT) AS n_folds, true AS best_is_refitted
+FROM (SELECT unnest({list(GRID_TREES)}) AS trees) CROSS JOIN (SELECT unnest({list(GRID_DEPTHS)}) AS depth)
+CROSS JOIN (SELECT unnest({list(GRID_RATES)})::DOUBLE AS step)""")
+def g8_facts(spark, sf):
+    return g8(spark, sf).select("trees", "depth", "step", "n_folds",
+                                (F.col("is_best") == F.col("test_rmse").isNotNull()).alias("best_is_refitted"))
+
+
+def search(spark, sf):
+    """The grid on three folds, and the best preset refitted on training and validation rows and scored on the test rows."""
     rows = farm_rows(spark, sf).where("split <> 'test'")
     base = G.PRESETS["gbt_a"]
     grid = [replace(base, trees=trees, depth=depth, options={**base.options, "stepSize": rate})
@@ -83,7 +137,18 @@ def g8(spark, sf):
 @query("g10_walk_forward_trees")
 def g10(spark, sf):
     folds = S.walk_forward(farm_rows(spark, sf), bounds(spark, sf), DERIVED, n_folds=3)
-    return G.walk_forward_trees(folds, TREE_FEATURES, G.PRESETS)
+    return stage(spark, sf, "walk_forward_trees", lambda: G.walk_forward_trees(folds, TREE_FEATURES, G.PRESETS))
+
+
+@query("g10_walk_forward_facts", f"""
+SELECT model, fold, count(*) AS n_samples FROM (
+  SELECT fold, pos >= greatest(floor(n * (0.25::DOUBLE + (fold - 1) * 0.12::DOUBLE)), 100)
+    AND pos < floor(n * (0.25::DOUBLE + fold * 0.12::DOUBLE)) AS held
+  FROM t_target CROSS JOIN (SELECT CAST(unnest(range(1, 4)) AS INTEGER) AS fold) CROSS JOIN t_bounds
+  WHERE series_id = 'farm_total_power' AND horizon = '1hour' AND y_true IS NOT NULL)
+CROSS JOIN (SELECT unnest({list(G.PRESETS)}) AS model) WHERE held GROUP BY ALL""")
+def g10_facts(spark, sf):
+    return g10(spark, sf).select("model", "fold", "n_samples")
 
 
 FOREST_KEY = "farm_1hour_forest"
@@ -129,17 +194,24 @@ def g11(spark, sf):
 
 @query("g12_batch_predict")
 def g12(spark, sf):
-    rows = farm_rows(spark, sf)
-    out = None
-    for name, preset in G.PRESETS.items():
-        model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, preset)
-        scored = G.predict_tree(model, rows.where("split = 'test'"), TREE_FEATURES)
-        part = G.as_model(scored, name, "prediction").select("series_id", "ts", "model", "y_pred", "y_true")
-        out = part if out is None else out.unionByName(part)
-    return out
+    def build():
+        rows = farm_rows(spark, sf)
+        out = None
+        for name, preset in G.PRESETS.items():
+            model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, preset)
+            scored = G.predict_tree(model, rows.where("split = 'test'"), TREE_FEATURES)
+            part = G.as_model(scored, name, "prediction").select("series_id", "ts", "model", "y_pred", "y_true")
+            out = part if out is None else out.unionByName(part)
+        return out
 
+    return stage(spark, sf, "batch_predictions", build)
 
-TARGETS = {h: f"power_target_{h}" for h in HORIZONS}
+
+@query("g12_batch_facts", f"""
+SELECT ts, CAST({len(G.PRESETS)} AS BIGINT) AS n_predictions, y_true FROM t_target
+WHERE series_id = 'farm_total_power' AND horizon = '1hour' AND split = 'test'""")
+def g12_facts(spark, sf):
+    return g12(spark, sf).groupBy("ts", "y_true").agg(F.count("y_pred").alias("n_predictions"))
 
 
 def turbine_rows(spark, sf):
@@ -156,11 +228,36 @@ def _features(df):
     return [f for f in E.select_feature_columns(df) if f not in ("y_true", "steps")]
 
 
+CELLS_SQL = """SELECT series_id, horizon, feature_set, count(*) AS n_samples FROM t_target t
+JOIN t_complete c ON c.turbine_id = t.series_id AND c.ts = t.ts CROSS JOIN (VALUES %s) v(feature_set)
+WHERE split = 'test' AND y_true IS NOT NULL GROUP BY ALL"""
+
+
+def cells_sql(*sets):
+    """Test rows of every series, horizon and feature set: those with all features and the target."""
+    return CELLS_SQL % ", ".join(f"('{name}')" for name in sets)
+
+
+def cells(scores):
+    return scores.select("series_id", "horizon", "feature_set", "n_samples")
+
+
+def best_of(rows, k):
+    """The k best features of each horizon on the training rows; all where there are no more."""
+    every, train = _features(rows), rows.where("split = 'train'")
+    return {h: E.top_features(train, every, label, k) if len(every) > k else every for h, label in TARGETS.items()}
+
+
 @query("g2_ridge_all_features")
 def g2_all(spark, sf):
     rows = turbine_rows(spark, sf)
-    best = E.top_features(rows.where("split = 'train'"), _features(rows), TARGETS["1hour"], DERIVED.top_features)
-    return G.compare_linear(rows, {"ridge": best}, 1.0, farm_settings(spark, sf), TARGETS).drop("feature_set")
+    return stage(spark, sf, "ridge_all", lambda: G.compare_linear(
+        rows, {"ridge": best_of(rows, DERIVED.top_features)}, 1.0, farm_settings(spark, sf), TARGETS))
+
+
+@query("g2_ridge_cells", cells_sql("ridge"))
+def g2_cells(spark, sf):
+    return cells(g2_all(spark, sf))
 
 
 @query("g14_fair_experiment")
@@ -174,15 +271,25 @@ def g14_four(spark, sf):
 @query("g14_feature_count")
 def g14(spark, sf):
     rows = turbine_rows(spark, sf)
-    every, train = _features(rows), rows.where("split = 'train'")
-    best = {h: E.top_features(train, every, label, 30) for h, label in TARGETS.items()}
-    return G.compare_linear(rows, {"all": every, "top_30": best}, 1.0, farm_settings(spark, sf), TARGETS)
+    return stage(spark, sf, "feature_count", lambda: G.compare_linear(
+        rows, {"all": _features(rows), "top_30": best_of(rows, 30)}, 1.0, farm_settings(spark, sf), TARGETS))
+
+
+@query("g14_feature_cells", cells_sql("all", "top_30"))
+def g14_cells(spark, sf):
+    return cells(g14(spark, sf))
 
 
 @query("g15_block_ablation")
 def g15(spark, sf):
     rows = turbine_rows(spark, sf)
-    return G.compare_linear(rows, G.ablation_blocks(_features(rows)), 1.0, farm_settings(spark, sf), TARGETS)
+    return stage(spark, sf, "ablation", lambda: G.compare_linear(
+        rows, G.ablation_blocks(_features(rows)), 1.0, farm_settings(spark, sf), TARGETS))
+
+
+@query("g15_block_cells", cells_sql("all", "without_lag", "without_rolling", "without_interaction", "without_weather"))
+def g15_cells(spark, sf):
+    return cells(g15(spark, sf))
 
 
 cte("t_nwp", """
