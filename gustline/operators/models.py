@@ -278,6 +278,14 @@ def fit_tree(train: DataFrame, features: Sequence[str], preset: TreePreset, labe
                           preset.estimator(label, seed).fit(rows)])
 
 
+def fit_presets(train: DataFrame, features: Sequence[str], presets: dict[str, TreePreset], label: str = "y_true",
+                seed: int = 42, parallel: int = 8) -> dict[str, PipelineModel]:
+    """One model per preset, fitted side by side."""
+    with ThreadPoolExecutor(parallel) as pool:
+        fitted = pool.map(lambda preset: fit_tree(train, features, preset, label, seed), presets.values())
+        return dict(zip(presets, fitted, strict=True))
+
+
 def predict_tree(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Scoring rows keep their place: a missing feature counts as 0."""
     return model.transform(filled_features(df, features)).drop("features")

@@ -197,8 +197,7 @@ def g12(spark, sf):
     def build():
         rows = farm_rows(spark, sf)
         out = None
-        for name, preset in G.PRESETS.items():
-            model = G.fit_tree(rows.where("split = 'train'"), TREE_FEATURES, preset)
+        for name, model in G.fit_presets(rows.where("split = 'train'"), TREE_FEATURES, G.PRESETS).items():
             scored = G.predict_tree(model, rows.where("split = 'test'"), TREE_FEATURES)
             part = G.as_model(scored, name, "prediction").select("series_id", "ts", "model", "y_pred", "y_true")
             out = part if out is None else out.unionByName(part)

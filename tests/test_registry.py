@@ -1,4 +1,4 @@
-"""A sample of registered queries against their SQL on the smallest tables."""
+"""Registered queries against their SQL on the smallest tables."""
 
 import glob
 import os
@@ -10,24 +10,36 @@ from check import compare
 from gustline.plans.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-SAMPLE = ["m0_persistence_rmse", "d10_clean_chain", "e9_targets", "f2_split_statistics", "g9_walk_forward",
-          "h3_symmetric_intervals", "i7_evaluate_all", "j3_temperature_warnings", "j4_failure_risk", "k3_leakage_assertions"]
+# Fits that take long however few rows there are; check.py runs these.
+SLOW = {"g5_boosting_a_facts", "g6_boosting_b_facts", "g7_train_all_facts", "g8_grid_facts", "g10_walk_forward_facts",
+        "g12_batch_facts", "g11_save_and_load", "g14_feature_cells"}
+# With the one turbine of the smallest tables farm and turbine are equal, and rounding alone ranks them: run on larger tables.
+LARGER, TIED = "/root/testdata/sf0.01", {"i18_r2_by_horizon", "i26_best_per_horizon"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="tables absent")
 
 
-@pytest.fixture(scope="module")
-def db():
+def connect(folder):
     con = duckdb.connect()
-    for path in glob.glob(f"{SF}/*.parquet"):
+    for path in glob.glob(f"{folder}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
     return con
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.fixture(scope="module")
+def db():
+    return connect(SF)
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW - TIED))
 def test_query_equals_its_sql(spark, db, name):
     assert compare(QUERIES[name](spark, SF).toPandas(), db.execute(ORACLE[name]).df()).startswith("ok")
 
 
+@pytest.mark.parametrize("name", sorted(TIED))
+def test_ranking_equals_its_sql(spark, name):
+    assert compare(QUERIES[name](spark, LARGER).toPandas(), connect(LARGER).execute(ORACLE[name]).df()).startswith("ok")
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
