@@ -10,7 +10,8 @@ pair by pair. Larger ones are united to clusters, cut into blocks, and each pair
 products: no pair leaves its task, only counts of links and a spanning forest.
 
 Defined results: null, empty and blank texts have no shingle, link to nothing and are a class of their own; repeated rows share a
-class; class_id is the smallest doc_id of a class; other columns are ignored. An empty table gives an empty result.
+class; class_id is the smallest doc_id of a class; other columns are ignored. An empty table gives an empty result. keep_one goes by
+texts, not by ids: different texts under one id or under none are different classes, and rows of blank text all stay.
 """
 
 from __future__ import annotations
@@ -86,8 +87,8 @@ def _sign(trees: int, depth: int, prefix: int):
                 for i, r in enumerate(has):
                     keys[r], labels[r] = fp[i].tobytes(), nodes[i].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index("doc_id")), pa.array(keys, pa.binary()),
-                     pa.array(labels, pa.list_(pa.int64()))], ["doc_id", "fp", "nodes"])
+                    [*(part.column(part.schema.get_field_index(c)) for c in ("doc_id", "row_")), pa.array(keys, pa.binary()),
+                     pa.array(labels, pa.list_(pa.int64()))], ["doc_id", "row_", "fp", "nodes"])
 
     return run
 
@@ -177,18 +178,18 @@ def components(edges: DataFrame) -> DataFrame:
     return spark.read.parquet(write_stage(roots.union(state.select("b", "b").distinct()), "cc"))
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
-                 recall: float = RECALL, few: int = FEW, block: int = BLOCK) -> DataFrame:
-    """One row per row of docs: doc_id, class_id, n_links (other texts at the threshold or above), n_copies (rows of this text)."""
-    spark = docs.sparkSession
+def _graph(texts: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
+           recall: float = RECALL, few: int = FEW, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row_, fp, nodes) of every row of texts (doc_id, text, row_), and (fp, doc_id, first, n_copies, root, n_links) of every
+    text that has shingles; first is (no id, doc_id, row_) of its row with the smallest id."""
+    spark = texts.sparkSession
     bounded_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     prefix = prefix_depth(threshold, trees, depth, recall)
     signed = spark.read.parquet(write_stage(
-        texts.mapInArrow(_sign(trees, depth, prefix), "doc_id long, fp binary, nodes array<long>"), "forest"))
+        texts.mapInArrow(_sign(trees, depth, prefix), "doc_id long, row_ long, fp binary, nodes array<long>"), "forest"))
     reps = spark.read.parquet(write_stage(
         signed.where("fp is not null").groupBy("fp").agg(
-            F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.first("nodes").alias("nodes")), "texts"))
+            F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_")).alias("first"), F.count("*").alias("n_copies"), F.first("nodes").alias("nodes")), "texts"))
     leaves = reps.select("fp", F.posexplode("nodes").alias("tree", "node"))
     shared = spark.read.parquet(write_stage(
         leaves.groupBy("tree", "node").agg(F.count("*").alias("n"), F.min("fp").alias("head")).where("n > 1"), "nodes"))
@@ -224,23 +225,33 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TRE
     roots = components(edges.toDF("a", "b"))
     counts = (links.select(F.col("a").alias("fp")).union(links.select("b")).groupBy("fp").agg(F.count("*").alias("n_links"))
               .union(compared.groupBy("fp").agg(F.sum("n_links"))).groupBy("fp").agg(F.sum("n_links").alias("n_links")))
-    nodes = reps.select("fp", "doc_id", "n_copies").join(roots.toDF("fp", "root"), "fp", "left").join(counts, "fp", "left")
-    nodes = nodes.select("fp", "doc_id", "n_copies", F.coalesce("root", "fp").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    nodes = spark.read.parquet(write_stage(nodes, "graph"))
+    nodes = reps.select("fp", "doc_id", "first", "n_copies").join(roots.toDF("fp", "root"), "fp", "left").join(counts, "fp", "left")
+    nodes = nodes.select("fp", "doc_id", "first", "n_copies", F.coalesce("root", "fp").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return signed, spark.read.parquet(write_stage(nodes, "graph"))
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
+                 recall: float = RECALL, few: int = FEW, block: int = BLOCK) -> DataFrame:
+    """One row per row of docs: doc_id, class_id, n_links (other texts at the threshold or above), n_copies (rows of this text)."""
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.lit(0).cast("long").alias("row_"))
+    signed, nodes = _graph(texts, threshold, trees, depth, recall, few, block)
     classes = nodes.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    nodes = spark.read.parquet(write_stage(nodes.join(classes, "root").select("fp", "class_id", "n_links", "n_copies"), "classes"))
+    nodes = nodes.join(classes, "root").select("fp", "class_id", "n_links", "n_copies")
+    nodes = docs.sparkSession.read.parquet(write_stage(nodes, "classes"))
     return signed.select("doc_id", "fp").join(nodes, "fp", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents with one row of each class: the row whose doc_id is the class id (the first copy where ids repeat)."""
-    kept = near_classes(docs).where("doc_id <=> class_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    """Documents with one row of each class of texts, that of the smallest doc_id, and every row of blank text."""
+    row = F.xxhash64(*docs.columns)
+    _, nodes = _graph(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), row.alias("row_")))
+    kept = nodes.groupBy("root").agg(F.min("first")["row_"].alias("kept_")).select("kept_")
     kept = docs.sparkSession.read.parquet(write_stage(kept, "kept"))
-    columns = docs.columns
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select(columns)
+    worded = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.where(worded).withColumn("row_", row).join(kept, F.col("row_") == F.col("kept_"), "left_semi")
+    return rows.dropDuplicates(["row_"]).select(docs.columns).union(docs.where(~worded))
 
 
 def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:

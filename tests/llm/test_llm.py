@@ -113,6 +113,16 @@ def test_near_join_matches_all_pairs(spark, docs, empty):
     assert near_join.prefix_depth(0.8, 24, 8, 0.99) == 7
 
 
+def test_keep_one_goes_by_text_not_by_id(spark):
+    rng = random.Random(8)
+    texts = [sentence(rng, 40, f"t{k}x") for k in range(6)]
+    near = " ".join([*texts[1].split()[:-1], "other"])
+    rows = [(None, texts[0]), (None, texts[1]), (5, near), (7, texts[2]), (7, texts[3]), (7, texts[3]), (8, texts[2]), (None, ""), (None, None), (9, " ")]
+    kept = near_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [rows[0], rows[2], rows[3], rows[4], *rows[7:]]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 def test_templates_find_reparameterised_items(spark, docs, empty):
     item = "A farmer called Alice buys 12 red apples and Alice sells 5 of them for 3 dollars each to the old man. How many are left?"
     rows = [(1, "Intro words here. " + item.replace("Alice", "Bob").replace("12", "40") + " More words follow."),
