@@ -1,22 +1,25 @@
 """Benchmark decontamination on templates (operator 1).
 
 A template replaces numbers, names and units by typed placeholders; all other words stay, in lower case, without punctuation.
-Windows of eight template words with at least five literal ones are looked up in a hash table of the benchmark's windows.
+Windows of eight template words with at least five literal ones are looked up in a hash table of the benchmark's windows; windows
+with fewer are looked up as they are, without placeholders.
 The hits of a document and an item on one alignment (position in the document minus position in the item) belong together:
 their slots must be consistent, so that each value of the item stands for one value of the document throughout. A
-re-parameterised question passes that test, text that only has the same shape doesn't. At least `hits` windows of the
-item (all, where it has fewer) must be found.
+re-parameterised question passes that test, text that only has the same shape doesn't. Where a value of the item meets several,
+it stands for its own value if that is among them, else for the one at most slots if that has two; the windows that disagree
+are not counted. At least `hits` windows of the item at different places (all, where it has fewer) must be left, of its template
+windows or of all.
 
 The benchmark is read in blocks of at most `block` items, each small enough to be sent to every task; every block meets all
 documents, so there is no shuffle of documents and no limit on the benchmark.
 
 Defined results: null and empty texts and items match nothing; an item shorter than a window is one window of its own length
-if it has five literal words; repeated rows are judged alike; items of equal text are all named; other columns pass through.
+if it has five words; repeated rows are judged alike; items of equal text are all named; other columns pass through.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from gustline.llm.text import GAP, bounded_batches, mix, slices, span_hashes, spans, utf8, window_starts
 
 WINDOW, LITERALS, HITS, BLOCK_ITEMS = 8, 5, 3, 20_000
+_PLAIN = 1 << 32
 UNITS = """mm cm m km inch inches feet foot mile miles mg g kg lb lbs pound pounds ounce ounces ton tons ml l liter liters litre litres
 gallon gallons second seconds minute minutes hour hours day days week weeks month months year years percent dollar dollars cent cents
 euro euros degree degrees meter meters metre metres kilometer kilometers gram grams kilogram kilograms""".split()
@@ -81,59 +85,89 @@ class Template:
         unit[1:] = number[:-1] & np.isin(hashes[1:], _unit_hashes())
         unit[self.rows[:-1][np.diff(self.rows) > 0]] = False
         self.slot = number | name | unit
+        self.plain = hashes
         self.hashes = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, hashes)))
         self.literal = np.concatenate([[0], np.cumsum(~self.slot)])
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, row and first word of the windows with enough literal words."""
+    def windows(self, size: int, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, row and first word of the windows with enough literal words, or of all windows by their plain words."""
         first, row = window_starts(self.rows, size)
-        rolled = np.full(len(first), size, np.uint64)
+        if not plain:
+            enough = self.typed(first, size)
+            first, row = first[enough], row[enough]
+        rolled = np.full(len(first), size + (_PLAIN if plain else 0), np.uint64)
+        words = self.plain if plain else self.hashes
         for k in range(size):
-            rolled = rolled * np.uint64(0xD6E8FEB86659FD93) + self.hashes[first + k]
-        enough = self.literal[first + size] - self.literal[first] >= LITERALS
-        return mix(rolled[enough]), row[enough], first[enough]
+            rolled = rolled * np.uint64(0xD6E8FEB86659FD93) + words[first + k]
+        return mix(rolled), row, first
+
+    def typed(self, first: np.ndarray, size: int) -> np.ndarray:
+        return self.literal[first + size] - self.literal[first] >= LITERALS
 
     def slots(self, first: int, size: int) -> list[tuple[int, bytes]]:
         return [(k, self.data[self.starts[first + k] : self.ends[first + k]].tobytes().lower()) for k in range(size) if self.slot[first + k]]
 
 
 class Index:
-    """Windows of a block of benchmark items by template hash."""
+    """Windows of a block of benchmark items by hash, template windows and plain ones."""
 
     def __init__(self, ids: list, texts: list[str | None]):
-        template = Template(pa.array(texts, pa.large_string()))
+        own = list(dict.fromkeys(zip(ids, texts)))
+        self.ids = [i for i, _ in own]
+        template = Template(pa.array([t for _, t in own], pa.large_string()))
         counts = np.diff(template.rows)
         self.sizes = sorted({int(min(WINDOW, c)) for c in counts if c >= LITERALS})
         self.places: dict[int, list] = defaultdict(list)
-        self.needed: dict = defaultdict(int)
+        self.needed = {False: Counter(), True: Counter()}  # places of each item, by whether plain
+        self.known = {}
         for size in self.sizes:
-            for h, row, first in zip(*template.windows(size)):
-                if size == min(WINDOW, counts[row]):
-                    self.places[int(h)].append((ids[row], int(first - template.rows[row]), dict(template.slots(first, size))))
-                    self.needed[ids[row]] += 1
-        self.known = {s: np.array(sorted(self.places), np.uint64) for s in self.sizes}
+            for plain in (False, True):
+                hashes, rows, firsts = template.windows(size, plain)
+                mine = (size == np.minimum(WINDOW, counts[rows])) & (template.typed(firsts, size) != plain)
+                for h, row, first in zip(hashes[mine].tolist(), rows[mine].tolist(), firsts[mine].tolist()):
+                    slots = {} if plain else dict(template.slots(first, size))
+                    self.places[h].append((row, int(first - template.rows[row]), slots))
+                    self.needed[plain][row] += 1
+                self.known[size, plain] = np.unique(hashes[mine])
+
+    @staticmethod
+    def _agreeing(windows: list[tuple], template: Template, size: int) -> list[tuple]:
+        """The windows (place, slots, first, plain) of one alignment whose slots agree."""
+        stands: dict[bytes, dict] = defaultdict(lambda: defaultdict(set))
+        met = []
+        for _, slots, first, _ in windows:
+            own = [(first + k, slots[k], value) for k, value in template.slots(first, size)] if slots else []
+            for at, wanted, value in own:
+                stands[wanted][value].add(at)
+            met.append(own)
+        chosen = {}
+        for wanted, by_value in stands.items():
+            best = min(by_value, key=lambda v: (v != wanted, -len(by_value[v]), v))
+            chosen[wanted] = best if len(by_value) == 1 or best == wanted or len(by_value[best]) > 1 else None
+        return [w for w, own in zip(windows, met) if all(chosen[wanted] == value for _, wanted, value in own)]
 
     def find(self, column: pa.Array) -> dict[int, dict]:
         """Items found in each row: row -> {item: most windows found on one alignment}."""
         template, found = Template(column), defaultdict(dict)
         for size in self.sizes:
-            hashes, rows, firsts = template.windows(size)
-            known = self.known[size]
-            at = np.searchsorted(known, hashes)
-            hit = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == hashes) if len(known) else []
             runs: dict = defaultdict(list)
-            for i in hit:
-                first = int(firsts[i] - template.rows[rows[i]])
-                for item, place, slots in self.places[int(hashes[i])]:
-                    runs[int(rows[i]), item, first - place].append((place, slots, int(firsts[i])))
+            for plain in (False, True):
+                known = self.known[size, plain]
+                if not len(known):
+                    continue
+                hashes, rows, firsts = template.windows(size, plain)
+                at = np.searchsorted(known, hashes)
+                for i in np.flatnonzero(known[np.minimum(at, len(known) - 1)] == hashes):
+                    first = int(firsts[i] - template.rows[rows[i]])
+                    for item, place, slots in self.places[int(hashes[i])]:
+                        runs[int(rows[i]), item, first - place].append((place, slots, int(firsts[i]), plain))
             for (row, item, _), windows in runs.items():
-                values: dict[bytes, set] = defaultdict(set)
-                for _, slots, first in windows:
-                    for k, value in template.slots(first, size) if slots else ():
-                        values[slots[k]].add(value)
-                n = len({w[0] for w in windows})
-                if n >= min(HITS, self.needed[item]) and all(len(v) == 1 for v in values.values()):
-                    found[row][item] = max(n, found[row].get(item, 0))
+                left = self._agreeing(windows, template, size)
+                typed = sum(not w[3] for w in left)
+                needed = self.needed[False][item]
+                if len(left) >= min(HITS, needed + self.needed[True][item]) or needed and typed >= min(HITS, needed):
+                    name = self.ids[item]
+                    found[row][name] = max(len(left), found[row].get(name, 0))
         return found
 
 

@@ -145,6 +145,28 @@ def test_slots_must_agree():
     assert not find("then Bob gives 7 green pears to her friend and then Carol walks home with 9 bags")
 
 
+def test_one_changed_slot_does_not_clear_a_copy():
+    rng = random.Random(9)
+    words = [w if k % 9 else "Alice" for k, w in enumerate(sentence(rng, 200, "q").replace("q", "plain").split())]
+    index = decontaminate.Index([1], [" ".join(["So", *words])])
+    for value in ("Alice", "Bob"):
+        doc = ["So", *(value if w == "Alice" else w for w in words)]
+        doc[100] = "Carol"
+        assert doc.count(value) >= 20 and dict(index.find(pa.array([" ".join(doc)])))
+    rest = ["So", *("Bob" if w == "Alice" else f"else{k}" for k, w in enumerate(words))]
+    assert not dict(index.find(pa.array([" ".join(rest)])))
+
+
+def test_items_of_slots_and_repeated_items_are_found():
+    dense = "So Alice 12 Bob 15 Carol 18 Dave 21 and Erin 24"
+    index = decontaminate.Index([1, 2, 2], [dense, *["then add the four small numbers up again now"] * 2])
+    find = lambda t: dict(index.find(pa.array([t]))).get(0, {})
+    assert find("words before it. " + dense + " and after") == {1: 5}
+    assert find("words said before So Alice" + dense[8:]) == {1: 5}
+    assert find("well then add the four small numbers up again now please") == {2: 2}
+    assert not find("So Alice 13 Bob 15 Carol 18 Dave 22 and Erin 24") and not find("12 15 18 21")
+
+
 def test_quality_features_and_bounds(spark, docs, empty):
     labels = labels_of(spark, [(i, i % 2, 0) for i in range(40)] + [(None, 1, 0), (10**6, 1, 0), (5, None, None)])
     rows = quality_rules.measured(docs)
