@@ -312,6 +312,21 @@ def test_main_text_of_pages(spark):
     assert extract.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_articles_stay_whole(spark):
+    pages = [(k, f"http://h.example/{k}", f"<body class='has-sidebar'><nav>menu</nav><article class='post has-comments'><p>Story {k} told.</p></article></body>") for k in range(5)]
+    pages += [pages[2]] * 4
+    got = {(r["page_id"], r["text"]) for r in extract.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {(k, f"Story {k} told.") for k in range(5)}
+
+
+def test_head_and_empty_elements_end():
+    read = lambda h: [t for _, t in extract.blocks(h)]
+    assert read("<html><head><title>a <b>title</b></title><meta x><script>d.write('<div>no</div>')</script><body><p>yes</p>") == ["yes"]
+    assert read("<head><meta charset=x><p>yes <svg/>and</p> no end</svg>") == ["yes and", "no end"]
+    assert read("<head><title>t</title>words at once<p>more</p>") == ["words at once", "more"]
+    assert read("<html><head><title>t</title></head><body><header>top</header><svg><text>no</text></svg><p>end</p>") == ["top", "end"]
+
+
 def test_toxicity_learns_pairs(spark, docs, empty):
     rng = random.Random(4)
     rows = []
