@@ -113,6 +113,11 @@ def test_near_join_matches_all_pairs(spark, docs, empty):
     assert near_join.prefix_depth(0.8, 24, 8, 0.99) == 7
 
 
+def test_misses_at_the_threshold_are_negligible():
+    prefix = near_join.prefix_depth(near_join.THRESHOLD, near_join.TREES, near_join.DEPTH, near_join.RECALL)
+    assert (1 - near_join.THRESHOLD**prefix) ** near_join.TREES < 1e-6
+
+
 def test_keep_one_goes_by_text_not_by_id(spark):
     rng = random.Random(8)
     texts = [sentence(rng, 40, f"t{k}x") for k in range(6)]
