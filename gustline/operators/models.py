@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gustline.functions.joins import attach
-from gustline.operators.features import column_means, filled_features, top_features, training_frame
+from gustline.operators.features import column_means, filled_features, training_frame
 from gustline.session import write_stage
 from gustline.settings import DEFAULTS, FARM_SERIES, FarmSettings
 
@@ -278,14 +278,6 @@ def fit_tree(train: DataFrame, features: Sequence[str], preset: TreePreset, labe
                           preset.estimator(label, seed).fit(rows)])
 
 
-def fit_presets(train: DataFrame, features: Sequence[str], presets: dict[str, TreePreset], label: str = "y_true",
-                seed: int = 42, parallel: int = 8) -> dict[str, PipelineModel]:
-    """One model per preset, fitted side by side."""
-    with ThreadPoolExecutor(parallel) as pool:
-        fitted = pool.map(lambda preset: fit_tree(train, features, preset, label, seed), presets.values())
-        return dict(zip(presets, fitted, strict=True))
-
-
 def predict_tree(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Scoring rows keep their place: a missing feature counts as 0."""
     return model.transform(filled_features(df, features)).drop("features")
@@ -301,46 +293,6 @@ def fit_scores(scored: DataFrame, truth: str = "y_true", guess: str = "predictio
     )
 
 
-def train_all(frame: DataFrame, targets: dict[str, str], features: Sequence[str],
-              presets: dict[str, TreePreset] = PRESETS, settings: FarmSettings = DEFAULTS, parallel: int = 8):
-    """Fit every (target, learner), score on validation, mark the best by validation RMSE.
-
-    `targets` maps a target's name to its label column. A longer feature list is first cut to the
-    `settings.top_features` best by univariate score on the training rows. Fits are submitted from a small thread pool so
-    that their stages overlap; each result row holds four numbers. Fails if any cell is missing.
-    """
-    spark = frame.sparkSession
-    train = frame.where(F.col("split") == "train").persist()
-    validation = frame.where(F.col("split") == "validation").persist()
-    many = len(features) > settings.top_features
-    chosen = {t: top_features(train, features, label, settings.top_features) if many else list(features)
-              for t, label in targets.items()}
-    cells = [(t, label, name, preset) for t, label in targets.items() for name, preset in presets.items()]
-
-    def run(cell):
-        target, label, name, preset = cell
-        model = fit_tree(train, chosen[target], preset, label, settings.seed)
-        score = fit_scores(predict_tree(model, validation, chosen[target]), label).first()
-        return (target, name), model, (target, name, score.mae, score.rmse, score.r2, score.n_samples)
-
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            done = list(pool.map(run, cells))
-    finally:
-        train.unpersist()
-        validation.unpersist()
-    missing = [row for _, _, row in done if not row[5]]
-    if missing:
-        raise ValueError(f"no validation rows for {missing}")
-    models = {key: model for key, model, _ in done}
-    table = spark.createDataFrame(
-        [row for _, _, row in done],
-        "target string, model string, mae double, rmse double, r2 double, n_samples long")
-    best = table.groupBy("target").agg(F.min_by("model", F.struct("rmse", "model")).alias("_best"))
-    ranked = table.join(best, "target").withColumn("is_best", F.col("model") == F.col("_best")).drop("_best")
-    return models, ranked
-
-
 def grid_search(folds: DataFrame, features: Sequence[str], grid: Sequence[TreePreset], label: str = "y_true",
                 seed: int = 42, parallel: int = 8) -> DataFrame:
     """One record per preset and time-ordered fold; `folds` has (fold, part) columns."""
@@ -413,30 +365,6 @@ def walk_forward_summary(scores: DataFrame) -> DataFrame:
     )
 
 
-def walk_forward_trees(folds: DataFrame, features: Sequence[str], presets: dict[str, TreePreset],
-                       label: str = "y_true", seed: int = 42, parallel: int = 8) -> DataFrame:
-    """Tree learners on the validation part of each fold of one target."""
-    spark = folds.sparkSession
-    rows = folds.persist()
-    ids = sorted(r.fold for r in rows.select("fold").distinct().collect())
-    cells = [(name, preset, fold) for name, preset in presets.items() for fold in ids]
-
-    def run(cell):
-        name, preset, fold = cell
-        own = rows.where(F.col("fold") == fold)
-        model = fit_tree(own.where("part = 'train'"), features, preset, label, seed)
-        score = fit_scores(predict_tree(model, own.where("part = 'validation'"), features), label).first()
-        return name, fold, score.mae, score.rmse, score.r2, score.n_samples
-
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            done = list(pool.map(run, cells))
-    finally:
-        rows.unpersist()
-    return spark.createDataFrame(
-        done, "model string, fold int, mae double, rmse double, r2 double, n_samples long")
-
-
 # ---- experiments
 
 def compare_linear(rows: DataFrame, blocks: dict[str, Sequence[str] | dict[str, Sequence[str]]], alpha: float = 1.0,

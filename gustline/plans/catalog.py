@@ -6,7 +6,7 @@ from gustline.functions.timeline import over_slots
 from gustline.operators import cleaning as C
 from gustline.operators import scoring as I
 from gustline.operators import splits as S
-from gustline.plans import q_alerts, q_clean, q_features, q_models, q_scores, q_sources  # noqa: F401
+from gustline.plans import q_alerts, q_boost, q_clean, q_features, q_models, q_scores, q_sources  # noqa: F401
 from gustline.plans.registry import ORACLE, QUERIES, query  # noqa: F401
 from gustline.sources.derived import DERIVED, readings, stamps
 

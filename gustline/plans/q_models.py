@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -22,8 +21,6 @@ from gustline.session import shared_dir
 from gustline.settings import FARM_SERIES, HORIZONS
 from gustline.sources.derived import DERIVED
 
-# The grid searched for a boosted learner.
-GRID_TREES, GRID_DEPTHS, GRID_RATES = (100, 150, 200), (4, 6), (0.05, 0.1)
 TREE_FEATURES = ["power", "wind_speed", "power_lag1", "power_lag6", "power_lag144", "power_roll6_mean",
                  "power_roll36_std", "power_diff1", "wind_speed_lag1", "wind_speed_roll6_mean", "hour_sin", "hour_cos"]
 
@@ -70,87 +67,6 @@ def g4_facts(spark, sf):
     return score_facts(scored_by(spark, sf, "random_forest"))
 
 
-@query("g5_boosting_a")
-def g5(spark, sf):
-    return scored_by(spark, sf, "gbt_a")
-
-
-@query("g5_boosting_a_facts", FACTS_SQL)
-def g5_facts(spark, sf):
-    return score_facts(scored_by(spark, sf, "gbt_a"))
-
-
-@query("g6_boosting_b")
-def g6(spark, sf):
-    return scored_by(spark, sf, "gbt_b")
-
-
-@query("g6_boosting_b_facts", FACTS_SQL)
-def g6_facts(spark, sf):
-    return score_facts(scored_by(spark, sf, "gbt_b"))
-
-
-@query("g7_train_all")
-def g7(spark, sf):
-    rows = farm_rows(spark, sf)
-    return stage(spark, sf, "train_all", lambda: G.train_all(
-        rows, TARGETS, _features(rows), G.PRESETS, farm_settings(spark, sf))[1])
-
-
-@query("g7_train_all_facts", f"""
-SELECT horizon AS target, CAST({len(G.PRESETS)} AS BIGINT) AS n_models, CAST(1 AS BIGINT) AS n_best, true AS best_is_least, count(*) AS n_samples
-FROM t_target WHERE series_id = 'farm_total_power' AND split = 'validation' AND y_true IS NOT NULL GROUP BY horizon""")
-def g7_facts(spark, sf):
-    least = F.min("rmse") == F.min(F.when(F.col("is_best"), F.col("rmse")))
-    return g7(spark, sf).groupBy("target").agg(
-        F.count("*").alias("n_models"), F.count_if("is_best").alias("n_best"), least.alias("best_is_least"),
-        F.max("n_samples").alias("n_samples"))
-
-
-@query("g8_grid_search")
-def g8(spark, sf):
-    return stage(spark, sf, "grid_search", lambda: search(spark, sf))
-
-
-@query("g8_grid_facts", f"""
-SELECT trees, depth, step, CAST(3 AS BIGINT) AS n_folds, true AS best_is_refitted
-FROM (SELECT unnest({list(GRID_TREES)}) AS trees) CROSS JOIN (SELECT unnest({list(GRID_DEPTHS)}) AS depth)
-CROSS JOIN (SELECT unnest({list(GRID_RATES)})::DOUBLE AS step)""")
-def g8_facts(spark, sf):
-    return g8(spark, sf).select("trees", "depth", "step", "n_folds",
-                                (F.col("is_best") == F.col("test_rmse").isNotNull()).alias("best_is_refitted"))
-
-
-def search(spark, sf):
-    """The grid on three folds, and the best preset refitted on training and validation rows and scored on the test rows."""
-    rows = farm_rows(spark, sf).where("split <> 'test'")
-    base = G.PRESETS["gbt_a"]
-    grid = [replace(base, trees=trees, depth=depth, options={**base.options, "stepSize": rate})
-            for trees in GRID_TREES for depth in GRID_DEPTHS for rate in GRID_RATES]
-    summary = G.grid_summary(G.grid_search(S.cv_folds(rows, bounds(spark, sf), 3, DERIVED), TREE_FEATURES, grid))
-    model = G.refit_best(rows, TREE_FEATURES, grid, summary)
-    test = farm_rows(spark, sf).where("split = 'test'")
-    score = G.fit_scores(G.predict_tree(model, test, TREE_FEATURES)).select("rmse").scalar()
-    return summary.withColumn("test_rmse", F.when(F.col("is_best"), score))
-
-
-@query("g10_walk_forward_trees")
-def g10(spark, sf):
-    folds = S.walk_forward(farm_rows(spark, sf), bounds(spark, sf), DERIVED, n_folds=3)
-    return stage(spark, sf, "walk_forward_trees", lambda: G.walk_forward_trees(folds, TREE_FEATURES, G.PRESETS))
-
-
-@query("g10_walk_forward_facts", f"""
-SELECT model, fold, count(*) AS n_samples FROM (
-  SELECT fold, pos >= greatest(floor(n * (0.25::DOUBLE + (fold - 1) * 0.12::DOUBLE)), 100)
-    AND pos < floor(n * (0.25::DOUBLE + fold * 0.12::DOUBLE)) AS held
-  FROM t_target CROSS JOIN (SELECT CAST(unnest(range(1, 4)) AS INTEGER) AS fold) CROSS JOIN t_bounds
-  WHERE series_id = 'farm_total_power' AND horizon = '1hour' AND y_true IS NOT NULL)
-CROSS JOIN (SELECT unnest({list(G.PRESETS)}) AS model) WHERE held GROUP BY ALL""")
-def g10_facts(spark, sf):
-    return g10(spark, sf).select("model", "fold", "n_samples")
-
-
 FOREST_KEY = "farm_1hour_forest"
 
 
@@ -192,27 +108,6 @@ def g11(spark, sf):
         F.lit(meta["data_hash"] == G.data_hash(rows)).alias("same_data"))
 
 
-@query("g12_batch_predict")
-def g12(spark, sf):
-    def build():
-        rows = farm_rows(spark, sf)
-        out = None
-        for name, model in G.fit_presets(rows.where("split = 'train'"), TREE_FEATURES, G.PRESETS).items():
-            scored = G.predict_tree(model, rows.where("split = 'test'"), TREE_FEATURES)
-            part = G.as_model(scored, name, "prediction").select("series_id", "ts", "model", "y_pred", "y_true")
-            out = part if out is None else out.unionByName(part)
-        return out
-
-    return stage(spark, sf, "batch_predictions", build)
-
-
-@query("g12_batch_facts", f"""
-SELECT ts, CAST({len(G.PRESETS)} AS BIGINT) AS n_predictions, y_true FROM t_target
-WHERE series_id = 'farm_total_power' AND horizon = '1hour' AND split = 'test'""")
-def g12_facts(spark, sf):
-    return g12(spark, sf).groupBy("ts", "y_true").agg(F.count("y_pred").alias("n_predictions"))
-
-
 def turbine_rows(spark, sf):
     """Per-turbine feature rows with the targets of all horizons side by side."""
     def build():
