@@ -82,6 +82,12 @@ class Chain:
     test_end: int = 0
     fold: int = 0
     seed: int = 42
+    allowed: tuple[int, ...] = ()  # the features it may use; all if empty
+
+    def picked(self, count: int, tree: int) -> np.ndarray:
+        """Features of a tree."""
+        own = np.array(self.allowed or range(count))
+        return own[drawn_features(len(own), tree, self.preset, self.seed)]
 
 
 # ---- binned features
@@ -352,7 +358,7 @@ def grow_local(rows: Rows, chain: Chain) -> dict | None:
     for number in range(preset.trees):
         units = whole_units(y - (base if preset.average else guess))
         inside = np.flatnonzero(drawn_rows(pos, number, preset, chain.seed))
-        picked = drawn_features(codes.shape[1], number, preset, chain.seed)
+        picked = chain.picked(codes.shape[1], number)
         columns, units = np.ascontiguousarray(codes[inside][:, picked].T), units[inside]
         tree, node = Tree(preset.width), np.ones(len(inside), np.int64)
         for level in range(preset.depth):
@@ -450,13 +456,13 @@ def _spread_models(long: DataFrame, chains: Sequence[Chain]) -> DataFrame:
         return pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in names), pa.array([guess.astype("<f8").tobytes()], pa.binary())], [*names, "guess"])
 
     state = _stored(attach(dealt, bases.drop("n_train"), KEYS).mapInArrow(begun, state_schema), state_schema, "boosting")
-    paths, held = [], []
+    paths, held, features = [], [], _features(long)
     for number in range(max(c.preset.trees for c in chains)):
         active = [i for i, c in enumerate(chains) if number < c.preset.trees]
         grown = bases.where(F.col("chain").isin(active)).select(*KEYS, *[F.expr(f"cast(null as {t})").alias(c) for c, t in (p.split(" ") for p in GROWN.split(", ")[2:])])
         grown = _stored(grown, GROWN, "grown")
         for level in range(max(chains[i].preset.depth for i in active)):
-            grown = _stored(_next_level(state, grown, chains, number, level), GROWN, "grown")
+            grown = _stored(_next_level(state, grown, chains, features, number, level), GROWN, "grown")
 
         def finished(batches: Iterator[pa.RecordBatch], number: int = number) -> Iterator[pa.RecordBatch]:
             for _, _, row in _each(batches):
@@ -497,7 +503,7 @@ def _spread_models(long: DataFrame, chains: Sequence[Chain]) -> DataFrame:
     return out
 
 
-def _next_level(state: DataFrame, grown: DataFrame, chains: Sequence[Chain], number: int, level: int) -> DataFrame:
+def _next_level(state: DataFrame, grown: DataFrame, chains: Sequence[Chain], features: int, number: int, level: int) -> DataFrame:
     parts_schema = "series_id string, chain int, node int, sums binary"
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -510,7 +516,7 @@ def _next_level(state: DataFrame, grown: DataFrame, chains: Sequence[Chain], num
             node = place(tree.feature, tree.bin, rows.codes[used], level)
             used, node = used[node >= 1 << level], node[node >= 1 << level]
             guess = np.frombuffer(row["guess"], "<f8")
-            picked = drawn_features(rows.codes.shape[1], number, preset, chain.seed)
+            picked = chain.picked(rows.codes.shape[1], number)
             nodes, where = np.unique(node, return_inverse=True)
             units = whole_units(rows.labels[used, chain.label] - guess[used])
             sums = histogram(np.ascontiguousarray(rows.codes[used][:, picked].T), where, units, len(nodes), preset.bins)
@@ -536,12 +542,12 @@ def _next_level(state: DataFrame, grown: DataFrame, chains: Sequence[Chain], num
                 tree.split(nodes[order], np.array(row["picked"]), sums, chain.preset)
             yield pa.RecordBatch.from_pylist([_row_of(row, tree)], schema=_schema(GROWN))
 
-    features = F.array(*[F.array(*[F.lit(int(f)) for f in drawn_features(_features(state), number, c.preset, c.seed)]) for c in chains])
+    picked = F.array(*[F.array(*[F.lit(int(f)) for f in c.picked(features, number)]) for c in chains])
     parts = state.join(grown, KEYS).mapInArrow(partial, parts_schema)
     sums = parts.groupBy(*KEYS, "node").applyInArrow(merge, parts_schema)
     # nodes of one level of one tree: bounded by the preset, whatever the rows
     found = sums.groupBy(*KEYS).agg(F.collect_list(F.struct("node", "sums")).alias("found"))
-    return grown.join(found, KEYS, "left").withColumn("picked", features[F.col("chain")]).mapInArrow(split, GROWN)
+    return grown.join(found, KEYS, "left").withColumn("picked", picked[F.col("chain")]).mapInArrow(split, GROWN)
 
 
 def _features(blocks_: DataFrame) -> int:
