@@ -244,8 +244,8 @@ def draw(key: np.ndarray | int, tree: int, seed: int) -> np.ndarray:
     return x * x % MODULUS
 
 
-def draw_sql(key: str, tree: int, seed: int) -> str:
-    x = f"((({key}) % {MODULUS} * 48271 + {tree * 69_621 + seed * 16_807 + 12_345}) % {MODULUS})"
+def draw_sql(key: str, tree: int | str, seed: int) -> str:
+    x = f"((({key}) % {MODULUS} * 48271 + {tree} * 69621 + {seed * 16_807 + 12_345}) % {MODULUS})"
     return f"({x} * {x} % {MODULUS})"
 
 

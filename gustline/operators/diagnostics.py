@@ -1,4 +1,4 @@
-"""Frozen signals, isolation forest and the turbine diagnostic."""
+"""Isolation forest and the turbine diagnostic."""
 
 from __future__ import annotations
 
@@ -11,71 +11,16 @@ from pyspark.sql import functions as F
 
 from gustline.session import write_stage
 from gustline.functions.measures import correlation
-from gustline.functions.timeline import over_slots, run_positions, slot_of
+from gustline.functions.quantiles import exact_quantiles
+from gustline.operators.boosting import MODULUS, draw, draw_sql
+from gustline.operators.frozen import frozen_runs
 from gustline.settings import DEFAULTS, SENSORS, FarmSettings
 
-FROZEN_BAND, FROZEN_LENGTH = 1.0, 5
 
+# ---- isolation forest
 
-# ---- frozen runs
-
-def frozen_runs(df: DataFrame, groups: Sequence[str] = ("turbine_id",), settings: FarmSettings = DEFAULTS,
-                value: str = "power") -> DataFrame:
-    """Greedy runs of readings within 1.0 of the run's first one: (groups, blocks, samples, slots, ratio).
-
-    Two neighbours that differ by 2.0 or more, or a missing reading, always end a run, so each series is
-    cut there first. Equal neighbours are then merged into one entry with a count, which makes a
-    signal stuck for months a single entry. Only the entries of one piece are folded in order.
-    """
-    groups = list(groups)
-    minutes = settings.interval_minutes
-    v = F.col(value)
-
-    rows = over_slots(
-        df.select(*groups, "ts", value).withColumn("_at", slot_of(F.col("ts"), minutes)),
-        groups, minutes, 1, 0, lambda w: {"prior": F.lag(value, 1).over(w)})
-    ends = rows.groupBy(*groups).agg(F.max("_at").alias("_last"), F.count("*").alias("_slots"))
-    joined = v.isNotNull() & F.col("prior").isNotNull() & (F.abs(v - F.col("prior")) < 2 * FROZEN_BAND)
-    same = joined & (v == F.col("prior"))
-    # Positions count back to the start of the piece (`_k`) and of the stretch of equal values (`_e`).
-    linked = run_positions(rows.withColumn("_joined", joined).withColumn("_same", same),
-                           groups, minutes, F.col("_joined"), "_k")
-    linked = run_positions(linked, groups, minutes, F.col("_same"), "_e").where(v.isNotNull())
-    pieces = linked.withColumn("_piece", F.col("_at") - F.col("_k")).withColumn("_start", F.col("_at") - F.col("_e"))
-    entries = pieces.groupBy(*groups, "_piece", "_start").agg(
-        F.count("*").alias("n"), F.min(value).alias("v"))
-    ordered = entries.groupBy(*groups, "_piece").agg(F.sort_array(F.collect_list(
-        F.struct(F.col("_start").alias("at"), "n", "v"))).alias("run")).join(ends, groups)
-
-    def closed(acc: Column) -> tuple[Column, Column]:
-        counts = (acc["n"] >= FROZEN_LENGTH) & acc["open"]
-        return (acc["blocks"] + counts.cast("long"),
-                acc["samples"] + F.when(counts, acc["n"]).otherwise(F.lit(0).cast("long")))
-
-    def state(blocks, samples, anchor, n, is_open) -> Column:
-        return F.struct(blocks.alias("blocks"), samples.alias("samples"), anchor.alias("anchor"),
-                        n.alias("n"), is_open.alias("open"))
-
-    zero = F.lit(0).cast("long")
-    started = state(zero, zero, F.lit(None).cast("double"), zero, F.lit(False))
-
-    def step(acc: Column, x: Column) -> Column:
-        stays = acc["anchor"].isNotNull() & (F.abs(x["v"] - acc["anchor"]) < FROZEN_BAND)
-        blocks, samples = closed(acc)
-        return F.when(
-            stays, state(acc["blocks"], acc["samples"], acc["anchor"], acc["n"] + x["n"], acc["open"])
-        ).otherwise(state(blocks, samples, x["v"], x["n"], x["at"] <= F.col("_last") - FROZEN_LENGTH))
-
-    folded = ordered.withColumn("_f", F.aggregate("run", started, step))
-    done = folded.select(*groups, closed(F.col("_f"))[0].alias("blocks"), closed(F.col("_f"))[1].alias("samples"))
-    totals = done.groupBy(*groups).agg(F.sum("blocks").alias("blocks"), F.sum("samples").alias("samples"))
-    out = ends.join(totals, groups, "left").select(
-        *groups, F.coalesce("blocks", F.lit(0)).alias("frozen_blocks"),
-        F.coalesce("samples", F.lit(0)).alias("frozen_samples"), F.col("_slots").alias("n_rows"))
-    return out.withColumn("frozen_ratio", F.col("frozen_samples") / F.col("n_rows"))
-
+LEVELS = 8  # a tree of 256 rows ends here
 
-# ---- isolation forest
 
 def _average_path(n):
     n = np.asarray(n, dtype=float)
@@ -84,38 +29,46 @@ def _average_path(n):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, value))
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[list[float]]:
-    """One isolation tree as rows (feature, threshold, left, right, size); feature -1 marks a leaf."""
-    nodes: list[list[float]] = []
+def _grow(x: np.ndarray, tree: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One isolation tree as arrays (feature, threshold, rows) by node, children of i at 2i and 2i + 1; feature -1 marks a leaf.
 
-    def build(rows: np.ndarray, depth: int) -> int:
-        at = len(nodes)
-        nodes.append([-1.0, 0.0, -1.0, -1.0, float(len(rows))])
+    Feature and place of a split are drawn by number of tree and node, so SQL grows the same tree from the same rows.
+    """
+    width = 2 << LEVELS
+    feature, threshold, size = np.full(width, -1), np.zeros(width), np.zeros(width, np.int64)
+    held = {1: x}
+    for node in range(1, width):
+        rows = held.pop(node, None)
+        if rows is None:
+            continue
+        size[node] = len(rows)
         low, high = rows.min(axis=0), rows.max(axis=0)
         open_features = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or not len(open_features):
-            return at
-        feature = int(rng.choice(open_features))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        left = rows[:, feature] <= threshold
-        nodes[at][:2] = [float(feature), threshold]
-        nodes[at][2] = float(build(rows[left], depth + 1))
-        nodes[at][3] = float(build(rows[~left], depth + 1))
-        return at
+        if node >= width // 2 or not len(open_features):
+            continue
+        pick = int(draw(2 * node, tree, seed)) * len(open_features) // MODULUS
+        f = feature[node] = open_features[pick]
+        threshold[node] = low[f] + (high[f] - low[f]) * (int(draw(2 * node + 1, tree, seed)) / MODULUS)
+        left = rows[:, f] <= threshold[node]
+        held |= {2 * node: rows[left], 2 * node + 1: rows[~left]}
+    return feature, threshold, size
+
 
-    build(x, 0)
-    return nodes
+def row_number_of(keys: Sequence[str]) -> Column:
+    """A 48-bit number of a row's keys, as SQL engines can compute it."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
 
 def isolation_sample(filled: DataFrame, columns: Sequence[str], keys: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
-    """min(sample, n) rows for each tree, by a hash of key and tree."""
+    """min(sample, n) rows for each tree: those with the smallest draws by row and tree. Only rows whose draw is under a bound that a few times `sample`
+    rows pass, whatever n is, reach a tree's window."""
     total = filled.agg(F.count("*").alias("n")).first().n
-    rate = min(1.0, (2.0 * sample + 64.0) / max(total, 1))
-    draw = F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.xxhash64(*keys, F.lit(seed), t).alias("_h"))),
-        lambda d: F.pmod(d["_h"], F.lit(1_000_000_007)) < rate * 1_000_000_007)
-    per_tree = filled.select(*columns, F.explode(draw).alias("_d")).select(*columns, "_d.tree", "_d._h")
-    order = Window.partitionBy("tree").orderBy(F.pmod("_h", F.lit(1_000_000_007)), "_h")
+    bound = int(min(1.0, (2.0 * sample + 64.0) / max(total, 1)) * MODULUS) + 1
+    draws = F.array(*[F.struct(F.lit(t).alias("tree"), F.expr(draw_sql("_k", t, seed)).alias("_h")) for t in range(trees)])
+    numbered = filled.select(*columns, row_number_of(keys).alias("_k"))
+    per_tree = numbered.select("*", F.explode(F.filter(draws, lambda d: d["_h"] < bound)).alias("_d")).select(*columns, "_k", "_d.tree", "_d._h")
+    order = Window.partitionBy("tree").orderBy("_h", "_k")
     return per_tree.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample)
 
 
@@ -123,51 +76,39 @@ def isolation_scores(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
                      sample: int = 256, contamination: float = 0.05, seed: int = 42) -> DataFrame:
     """Isolation-forest score per row and a flag for the share with the highest scores.
 
-    Each tree is grown in its own group from min(`sample`, n) rows: those with the smallest values of a hash of key and
-    tree, so a lost task regrows the same tree. A row goes to a tree's group only if its hash is under a bound that
-    a few times `sample` rows pass, whatever n is. The forest is at most trees x 2 x sample nodes.
+    Each tree is grown in its own group from min(`sample`, n) rows. A tree is flat arrays of 512 nodes and the forest `trees` times that, whatever
+    the number of rows; the tasks that score rows are given these arrays.
     """
-    filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in columns})
+    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
     chosen = isolation_sample(filled, columns, keys, trees, sample, seed)
     names = list(columns)
 
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rng = np.random.default_rng(seed + int(key[0]))
-        limit = int(np.ceil(np.log2(max(sample, 2))))
-        ordered = rows.sort_values("_h")[names].to_numpy(dtype=float)
-        return pd.DataFrame({"tree": [int(key[0])], "rows": [len(ordered)], "nodes": [_grow(ordered, rng, limit)]})
+        feature, threshold, size = _grow(rows[names].to_numpy(dtype=float), int(key[0]), seed + 3)
+        return pd.DataFrame({"tree": [int(key[0])], "feature": [feature.tolist()], "threshold": [threshold.tolist()], "size": [size.tolist()]})
 
-    grown = chosen.groupBy("tree").applyInPandas(grow, "tree int, rows int, nodes array<array<double>>")
-    forest = [(r.rows, np.asarray(r.nodes)) for r in grown.orderBy("tree").collect()]
-    shared = df.sparkSession.sparkContext.broadcast(forest)
+    grown = chosen.groupBy("tree").applyInPandas(grow, "tree int, feature array<int>, threshold array<double>, size array<bigint>")
+    forest = [(np.array(r.feature), np.array(r.threshold), np.array(r["size"])) for r in grown.orderBy("tree").collect()]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planted = shared.value
-        expected = float(_average_path(np.mean([n for n, _ in planted])))
+        expected = float(_average_path(np.mean([size[1] for _, _, size in forest])))
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            depth = np.zeros(len(x))
-            for _, nodes in planted:
-                at = np.zeros(len(x), dtype=int)
-                path = np.zeros(len(x))
-                while True:
-                    inner = nodes[at, 0] >= 0
-                    if not inner.any():
-                        break
-                    who = np.flatnonzero(inner)
-                    spots = at[who]
-                    feature = nodes[spots, 0].astype(int)
-                    left = x[who, feature] <= nodes[spots, 1]
-                    at[who] = np.where(left, nodes[spots, 2], nodes[spots, 3]).astype(int)
-                    path[who] += 1
-                depth += path + _average_path(nodes[at, 4])
-            yield batch[list(keys)].assign(isolation_score=2.0 ** (-(depth / len(planted)) / expected))
+            x, each = batch[names].to_numpy(dtype=float), np.arange(len(batch))
+            total = np.zeros(len(x))
+            for feature, threshold, size in forest:
+                at, depth = np.ones(len(x), int), np.zeros(len(x))
+                for _ in range(LEVELS):
+                    inner = feature[at] >= 0
+                    right = x[each, np.maximum(feature[at], 0)] > threshold[at]
+                    at, depth = np.where(inner, 2 * at + right, at), depth + inner
+                total += depth + _average_path(size[at])
+            yield batch[list(keys)].assign(isolation_score=2.0 ** (-(total / len(forest)) / expected))
 
     types = {f.name: f for f in df.schema.fields}
     schema = ", ".join(f"`{k}` {types[k].dataType.simpleString()}" for k in keys) + ", isolation_score double"
-    scored = df.sparkSession.read.parquet(write_stage(filled.select(*keys, *columns).mapInPandas(score, schema), "isolation"))
-    cut = scored.agg(F.percentile_approx("isolation_score", 1 - contamination, 100_000)).scalar()
-    return scored.withColumn("isolation_anomaly", (F.col("isolation_score") > cut).cast("int"))
+    scored = df.sparkSession.read.schema(schema).parquet(write_stage(filled.select(*keys, *columns).mapInPandas(score, schema), "isolation"))
+    cut = exact_quantiles(scored, [], "isolation_score", [1 - contamination]).select("quantile").scalar()
+    return scored.withColumn("isolation_anomaly", F.coalesce((F.col("isolation_score") > cut).cast("int"), F.lit(0)))
 
 
 # ---- turbine diagnostic

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gustline.operators import alerts as J
 from gustline.operators import diagnostics as D
 from gustline.operators import splits as S
+from gustline.operators.boosting import MODULUS, draw_sql
 from gustline.plans.q_clean import clean_frame
 from gustline.plans.q_features import bounds, series_targets
 from gustline.plans.q_scores import metrics, predictions, rounded
@@ -116,12 +117,49 @@ def j6(spark, sf):
     return out.withColumns({"residual": F.round("residual", 5), "anomaly_score": F.round("anomaly_score", 6)})
 
 
-@query("j7_isolation_forest")
+def isolation_sql(trees=100, sample=256, seed=42):
+    """Common table expressions that grow the forest level by level over t_iso (farm_no, ts, x) and the scores of all rows (iso_scores)."""
+    cte("iso_draw", f"""
+SELECT *, {draw_sql('k', 'tree', seed)} AS h
+FROM (SELECT *, CAST(('0x' || substr(md5(farm_no || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S')), 1, 12)) AS BIGINT) AS k FROM t_iso)
+CROSS JOIN (SELECT unnest(range({trees})) AS tree)""")
+    cte("iso_at0", f"SELECT *, 1 AS node, row_number() OVER (PARTITION BY tree ORDER BY h, k) <= {sample} AS inside FROM iso_draw")
+
+    for level in range(D.LEVELS):
+        cte(f"iso_box{level}", f"""
+SELECT tree, node, n, list_filter([0, 1, 2], lambda f: hi[f + 1] > lo[f + 1]) AS free, lo, hi FROM (
+  SELECT tree, node, count(*) AS n, [min(x[1]), min(x[2]), min(x[3])] AS lo, [max(x[1]), max(x[2]), max(x[3])] AS hi
+  FROM iso_at{level} WHERE inside AND node >= {1 << level} GROUP BY tree, node)""")
+        cte(f"iso_cut{level}", f"""
+SELECT tree, node, f, lo[f + 1] + (hi[f + 1] - lo[f + 1]) * ({draw_sql('2 * node + 1', 'tree', seed + 3)} / {MODULUS}::DOUBLE) AS threshold
+FROM (SELECT *, free[{draw_sql('2 * node', 'tree', seed + 3)} * len(free) // {MODULUS} + 1] AS f FROM iso_box{level} WHERE len(free) > 0)""")
+        cte(f"iso_at{level + 1}", f"""
+SELECT a.* REPLACE (CASE WHEN c.f IS NULL THEN a.node ELSE 2 * a.node + CAST(x[c.f + 1] > threshold AS INTEGER) END AS node)
+FROM iso_at{level} a LEFT JOIN iso_cut{level} c ON c.tree = a.tree AND c.node = a.node""")
+    path = "CASE WHEN s <= 1 THEN 0 WHEN s = 2 THEN 1 ELSE 2 * (ln(s - 1) + 0.5772156649015329::DOUBLE) - 2 * (s - 1) / s::DOUBLE END"
+    cte("iso_scores", f"""
+SELECT farm_no, ts, pow(2.0::DOUBLE, -(sum(length(bin(node)) - 1 + {path}) / {trees}) / (SELECT {path} FROM (SELECT avg(n) AS s FROM iso_box0))) AS score
+FROM (SELECT a.*, coalesce(s, 0)::DOUBLE AS s FROM iso_at{D.LEVELS} a LEFT JOIN (SELECT tree, node, count(*) AS s FROM iso_at{D.LEVELS} WHERE inside GROUP BY tree, node) l
+  ON l.tree = a.tree AND l.node = a.node) GROUP BY farm_no, ts""")
+
+
+cte("t_iso", """
+SELECT farm_no, ts, [coalesce(max(wind_speed) FILTER (place = 1), 0.0::DOUBLE), coalesce(max(wind_speed) FILTER (place = 2), 0.0::DOUBLE),
+  coalesce(max(wind_speed) FILTER (place = 3), 0.0::DOUBLE)] AS x
+FROM (SELECT *, (CAST(substr(turbine_id, 3) AS BIGINT) - 1) // 12 AS farm_no, (CAST(substr(turbine_id, 3) AS BIGINT) - 1) % 12 + 1 AS place FROM t_clean)
+GROUP BY farm_no, ts
+""")
+isolation_sql()
+
+
+@query("j7_isolation_forest", """
+SELECT farm_no, ts, round(score, 9) AS isolation_score, CAST(score > (SELECT quantile_cont(score, 0.95) FROM iso_scores) AS INTEGER) AS isolation_anomaly
+FROM iso_scores""")
 def j7(spark, sf):
     """On the wind readings of the first three turbines of each farm, side by side."""
     first = PLACES[:3]
     wide = with_farm(clean_frame(spark, sf)).groupBy("farm_no", "ts").pivot("place", first).agg(F.first("wind_speed"))
-    return D.isolation_scores(wide, first, ["farm_no", "ts"])
+    return D.isolation_scores(wide, first, ["farm_no", "ts"]).withColumn("isolation_score", F.round("isolation_score", 9))
 
 
 @query("j8_anomaly_counts", """
