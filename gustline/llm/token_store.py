@@ -5,8 +5,8 @@ frequent pairs of adjacent symbols are replaced by nonterminals, the pairs of a
 a pair is found at least `least` times; the rules, the length each symbol expands to, and the compressed sequence are stored. With the
 lengths summed at every `STRIDE`-th symbol a document is decoded without the rest of its shard (`Shard.ids`).
 
-Texts are cut before each run of ASCII white space, where the tokenizer's own splitting always cuts; equal pieces of a batch are encoded once.
-Texts with white space of other kinds or special tokens are encoded whole.
+Texts are cut before each run of ASCII white space, where the tokenizer's own splitting always cuts; equal pieces of a batch are encoded once, all
+together (`Coder`). Pieces it has no tables for go to the tokenizer itself.
 
 Defined results: null and empty texts have the end id alone; a null doc_id comes first; repeated rows are documents of their own, in any order;
 other columns are ignored; an empty table has no shard.
@@ -21,79 +21,151 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gustline.llm.text import GAP, bounded_batches, slices, utf8
+from gustline.llm.prefix_counts import BLANK, cuts, grammar
+from gustline.llm.text import bounded_batches, slices, utf8
 from gustline.session import shared_dir, write_stage
 
 END_ID, SHARD_IDS, LEAST, ROUNDS, PAIRS, STRIDE, BITS = 0, 2_000_000, 32, 4, 2048, 1024, 20
-WHOLE = regex.compile(r"<\|endoftext\|>|[\x1c-\x1f\x85   -     　]")
+LETTER, DIGIT, OTHER, SPACE = range(4)
 _LOADED: dict = {}
 
 
-def tokenizer(path: str):
-    """The tokenizer of a worker, and per id whether its text begins with white space."""
+class Coder:
+    """Ids of many distinct pieces at once: split by tables of character classes, then encoded by the prefix rule of the merges.
+
+    The classes of all characters of up to two bytes are read off the tokenizer's own splitting. Pieces with other characters, with white space inside or with
+    special tokens go to the tokenizer itself.
+    """
+
+    def __init__(self, path: str):
+        self.grammar = grammar(path)
+        split = self.grammar.own.pre_tokenizer.pre_tokenize_str
+        classes = np.full(0x800, OTHER, np.uint8)
+        for cp in range(0x800):
+            c = chr(cp)
+            if c in BLANK:
+                classes[cp] = SPACE
+            elif len(split("a" + c)) == 1:
+                classes[cp] = LETTER
+            elif len(split("1" + c)) == 1:
+                classes[cp] = DIGIT
+        self.classes = classes
+        sizes = np.zeros(self.grammar.own.get_vocab_size(), np.int64)
+        for text, i in self.grammar.own.get_vocab().items():
+            sizes[i] = len(text)
+        self.sizes = sizes
+        self.marks = [m.encode() for m in self.grammar.special]
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces data[at[i]:at[i + 1]] in some order, and first id and number of ids of each piece."""
+        piece = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        lead = (data & 0xE0) == 0xC0
+        cp = data.astype(np.int32)
+        where = np.flatnonzero(lead)
+        cp[where] = ((cp[where] & 0x1F) << 6) | (cp[where + 1] & 0x3F)
+        follows = (data & 0xC0) == 0x80
+        kind = self.classes[np.where(cp < 0x800, cp, 0)]
+        kind[1:][follows[1:]] = kind[:-1][follows[1:]]
+        own = np.zeros(len(at) - 1, bool)  # for the tokenizer itself
+        own[piece[(data >= 0xE0)]] = True
+        first = np.zeros(len(data), bool)
+        first[at[:-1]] = True
+        inner = (kind == SPACE) & ~first
+        inner[1:] &= ~(kind[:-1] == SPACE)
+        own[piece[inner | (kind == SPACE) & (data > 0x7F)]] = True
+        raw = data.tobytes()
+        for mark in self.marks:
+            low = raw.find(mark)
+            while low >= 0:
+                own[piece[low]] = True
+                low = raw.find(mark, low + 1)
+        begins = self._borders(data, kind, first)
+        begins &= ~own[piece]
+        starts = np.flatnonzero(begins | (first & ~own[piece]))
+        ends = np.append(starts[1:], len(data))
+        ends = np.minimum(ends, at[1:][piece[starts]])
+        atoms = np.stack([starts, ends])
+        order = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(np.cumsum(ends - starts) - (ends - starts), (ends - starts).sum()).astype(np.int64)),
+                                                 pa.py_buffer(np.ascontiguousarray(data[~own[piece]]))]).dictionary_encode()
+        flat, to = utf8_of(order.dictionary)
+        last, _ = self.grammar.last_tokens(flat, to[:-1], to[1:])
+        token = np.full(len(flat), -1, np.int64)
+        open_, limit = to[1:].copy(), to[:-1]
+        while len(open_):  # walk back from the end of each atom, one token at a time
+            t = last[open_ - 1]
+            open_ = open_ - self.sizes[t]
+            token[open_] = t
+            more = open_ > limit
+            open_, limit = open_[more], limit[more]
+        ids = token[token >= 0]
+        edges = np.concatenate([[0], np.cumsum(token >= 0)])[to]
+        out, rows = spread(ids, edges[:-1], np.diff(edges), order.indices.to_numpy().astype(np.int64))
+        per_piece = np.bincount(piece[atoms[0]], weights=np.diff(rows), minlength=len(at) - 1).astype(np.int64)
+        begin = np.cumsum(per_piece) - per_piece
+        rest = np.flatnonzero(own)
+        if len(rest):
+            found = self.grammar.own.encode_batch([raw[at[i] : at[i + 1]].decode() for i in rest], add_special_tokens=False)
+            listed = [e.ids for e in found]
+            per_piece[rest] = [len(i) for i in listed]
+            begin[rest] = len(out) + np.cumsum(per_piece[rest]) - per_piece[rest]
+            out = np.concatenate([out, *(np.array(i, np.int64) for i in listed)])
+        return out.astype(np.uint32), begin, per_piece
+
+    def _borders(self, data: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where the tokenizer's splitting begins a piece, within pieces of white space followed by other characters."""
+        out = first.copy()
+        out[1:] |= kind[1:] != kind[:-1]
+        space = kind == SPACE
+        last_space = np.zeros(len(data), bool)
+        last_space[:-1] = space[:-1] & ~space[1:] & ~first[1:]
+        # the last of several blanks stands alone, or goes to what follows if it is a space
+        out |= last_space
+        joins = last_space & (data == 0x20)
+        out[1:][joins[:-1]] = False
+        # an apostrophe alone, not after a joined space, takes the letters of a contraction with it
+        quote = np.flatnonzero(out & (data == 0x27))
+        quote = quote[quote + 1 < len(data)]
+        quote = quote[(kind[quote + 1] == LETTER) & out[quote + 1] & ~first[quote + 1]]
+        one, two = data[np.minimum(quote + 1, len(data) - 1)], data[np.minimum(quote + 2, len(data) - 1)]
+        inside = (quote + 2 < len(data)) & ~first[np.minimum(quote + 2, len(data) - 1)]
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        long = inside & np.isin(one.astype(np.int32) << 8 | two, [int.from_bytes(p, "big") for p in (b"re", b"ve", b"ll")])
+        hit = short | long
+        quote, size = quote[hit], np.where(short[hit], 1, 2)
+        out[quote + 1] = False
+        after = quote + 1 + size
+        after = after[after < len(data)]
+        out[after] = True
+        return out
+
+
+def utf8_of(column: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column end to end, and the row bounds in them."""
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], (offsets - offsets[0]).astype(np.int64)
+
+
+def coder(path: str) -> Coder:
     if path not in _LOADED:
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_file(path)
-        opens = np.zeros(own.get_vocab_size(), bool)
-        for text, i in own.get_vocab().items():
-            opens[i] = text[:1] in "ĠĊĉċČč"
-        _LOADED[path] = own, opens
+        _LOADED[path] = Coder(path)
     return _LOADED[path]
 
 
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts end to end, without end ids, and the row bounds in them."""
-    own, opens = tokenizer(path)
-    odd = [i for i, t in enumerate(column.to_pylist()) if t and WHOLE.search(t)]
-    plain = column.fill_null("")
-    if odd:
-        mask = np.zeros(len(column), bool)
-        mask[odd] = True
-        plain = pa.array(np.where(mask, "", plain.to_numpy(zero_copy_only=False)), pa.string())
-    data, bounds = utf8(plain)
-    gap = GAP[data]
-    cut = np.zeros(len(data) + 1, bool)
-    if len(data):
-        cut[1:-1] = gap[1:] & ~gap[:-1]
-        cut[bounds] = True
-    cut[-1] = True
-    at = np.flatnonzero(cut) if len(data) else np.zeros(1, np.int64)
-    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    data, bounds = utf8(column)
+    if not len(data):
+        return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
+    at = np.flatnonzero(cuts(data, bounds)).astype(np.int64)
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data))])
     codes = pieces.dictionary_encode()
-    words = [w.decode() for w in codes.dictionary.to_pylist()]
-    spaced = [i for i, w in enumerate(words) if w[0] in " \n" and len(w) > 1 and w[1] not in " \t\n\x0b\x0c\r"]
-    rest = sorted(set(range(len(words))) - set(spaced))
-    lengths = np.zeros(len(words), np.int64)
-    found, order = [], []
-    for low in range(0, len(spaced), 4096):
-        some = spaced[low : low + 4096]
-        ids = np.array(own.encode("".join(words[i] for i in some), add_special_tokens=False).ids, np.uint32)
-        begin = np.flatnonzero(opens[ids])
-        if len(begin) != len(some):
-            raise ValueError("the tokenizer cuts elsewhere than before white space")
-        lengths[some] = np.diff(np.append(begin, len(ids)))
-        found.append(ids), order.extend(some)
-    for i in rest:
-        ids = np.array(own.encode(words[i], add_special_tokens=False).ids, np.uint32)
-        lengths[i] = len(ids)
-        found.append(ids), order.append(i)
-    flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
-    first = np.zeros(len(words), np.int64)
-    first[order] = np.concatenate([[0], np.cumsum(lengths[order])[:-1]]) if order else []
+    flat, first, lengths = coder(path).encode(*utf8_of(codes.dictionary))
     out, edges = spread(flat, first, lengths, codes.indices.to_numpy().astype(np.int64))
-    rows = edges[np.searchsorted(at, bounds)]
-    if odd:
-        parts = [out[a:b] for a, b in zip(rows, rows[1:])]
-        for i in odd:
-            parts[i] = np.array(own.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32)
-        out, rows = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    return out, rows
+    return out, edges[np.searchsorted(at, bounds)]
 
 
 def spread(flat: np.ndarray, first: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +263,7 @@ def write_tokens(docs: DataFrame, path: str, shard_ids: int = SHARD_IDS) -> Data
         from pyspark import TaskContext
 
         store, top = fs.FileSystem.from_uri(folder)
-        symbols, part, number = len(tokenizer(path)[1]), TaskContext.get().partitionId(), 0
+        symbols, part, number = len(coder(path).sizes), TaskContext.get().partitionId(), 0
         docs_, held, sizes = [], [], []
 
         def flush() -> pa.RecordBatch:

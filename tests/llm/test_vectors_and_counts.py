@@ -218,3 +218,14 @@ def test_stored_counts_answer_questions(spark, own):
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         prefix_counts.Grammar(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_ids_of_many_pieces_are_the_library_s(own):
+    from gustline.llm import token_store
+
+    rng = random.Random(7)
+    more = [*ODD, "'t", "'d", "'m", "'re's", "½", "٣", "א", "'é"]
+    own_texts = ["".join(rng.choice(more) for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    column = pa.array([*own_texts, None, "", "'", "' ", "'s", "x'", " " * 40 + "x", "ab" * 300, "<|endoftext|>"])
+    ids, bounds = token_store.encode(column, PATH)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [own.encode(t or "", add_special_tokens=False).ids for t in column.to_pylist()]
