@@ -252,8 +252,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     kept = nodes.groupBy("root").agg(F.min("first")["row_"].alias("kept_")).select("kept_")
     kept = docs.sparkSession.read.parquet(write_stage(kept, "kept"))
     worded = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.where(worded).withColumn("row_", row).join(kept, F.col("row_") == F.col("kept_"), "left_semi")
-    return rows.dropDuplicates(["row_"]).select(docs.columns).union(docs.where(~worded))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # so that no column can clash with the helpers
+    rows = docs.where(worded).select(whole.alias("whole_"), row.alias("row_")).join(kept, F.col("row_") == F.col("kept_"), "left_semi")
+    return rows.dropDuplicates(["row_"]).select("whole_.*").union(docs.where(~worded))
 
 
 def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,8 @@ SHARDS, SEED = 8, 17
 
 
 def interleaved(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, keys: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
-    """docs with shard and slot (place in the shard, from 0). `keys` are the columns that tell rows of a source apart."""
+    """docs with shard and slot (place in the shard, from 0), which take the place of columns of these names. `keys` are the columns that tell
+    rows of a source apart."""
     spark = docs.sparkSession
     rows, names = packed(docs)
     source = F.coalesce(F.concat(F.lit("="), F.col("row_.source")), F.lit(""))
@@ -39,7 +40,7 @@ def interleaved(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, keys: t
     cut = running(placed, [], "b_", [F.col("place_"), F.col("s_"), F.col("rank_")], "one_", "at_")
     cut = cut.withColumn("shard", F.expr(f"at_ * {shards} div {max(total, 1)}").cast("int"))
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
-    return cut.select(*[F.col(f"row_.`{c}`").alias(c) for c in names], "shard", (F.col("at_") - first).cast("long").alias("slot"))
+    return cut.select(*[F.col(f"row_.`{c}`").alias(c) for c in names if c.lower() not in ("shard", "slot")], "shard", (F.col("at_") - first).cast("long").alias("slot"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,7 @@ from gustline.session import shared_dir, write_stage
 
 LINES, DATE, LEVEL = 300, "2024-01-01T00:00:00Z", 4
 END = "<QQ"
+NONE = -2 ** 63  # place of records without page_id in the order of pages; the record itself tells them apart
 
 
 def digest(payload: bytes) -> str:
@@ -130,7 +131,7 @@ class Captures:
         self.block, self.lines = -1, []
 
     def find(self, key: str, page: int) -> list[list]:
-        """Lines [key, page, file, offset, length] of a capture; page is -1 for none."""
+        """Lines [key, page, file, offset, length] of a capture; page is NONE for none."""
         at = max(bisect.bisect_left(self.firsts, (key, page)) - 1, 0)
         found: list[list] = []
         while at < len(self.firsts) and (self.firsts[at] <= (key, page) or not found and at == 0):
@@ -180,7 +181,7 @@ def build_index(manifest: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([directory[0][0][0]]), pa.array([directory[0][0][1]], pa.int64())],
                                          ["index", "first_key", "first_page"])
 
-    lines = manifest.select("key", F.coalesce("page_id", F.lit(-1)).alias("page"), "file", "offset", "length")
+    lines = manifest.select("key", F.coalesce("page_id", F.lit(NONE)).alias("page"), "file", "offset", "length")
     parts = max(1, manifest.rdd.getNumPartitions())
     ordered = lines.repartitionByRange(parts, "key", "page").sortWithinPartitions("key", "page", "file", "offset")
     return spark.read.parquet(write_stage(ordered.mapInArrow(run, "index string, first_key string, first_page long"), "cdx"))
@@ -198,8 +199,8 @@ def read_captures(captures: DataFrame, index: DataFrame, folder: str) -> DataFra
         for batch in batches:
             ids, urls = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             keys = [url_key(u) for u in urls]
-            files = [max(bisect.bisect_right(firsts, (k, -1 if i is None else i)) - 1, 0) for k, i in zip(keys, ids)]
-            yield pa.RecordBatch.from_arrays([pa.array(files, pa.int32()), pa.array(keys, pa.string()), pa.array([-1 if i is None else i for i in ids], pa.int64())],
+            files = [max(bisect.bisect_right(firsts, (k, NONE if i is None else i)) - 1, 0) for k, i in zip(keys, ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(files, pa.int32()), pa.array(keys, pa.string()), pa.array([NONE if i is None else i for i in ids], pa.int64())],
                                              ["file", "key", "page"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +219,8 @@ def read_captures(captures: DataFrame, index: DataFrame, folder: str) -> DataFra
                     fields, payload, size = parse(archives[file].read_at(length, offset))
                     refers = re.search(r"page:(-?\d+)", fields.get("WARC-Refers-To", ""))
                     stored = fields["WARC-Type"] == "response"
-                    rows.append((None if page == -1 else page, fields["WARC-Target-URI"], fields["WARC-Type"], int(refers[1]) if refers else None, size,
+                    own = fields["WARC-Record-ID"].removeprefix("<urn:page:").removesuffix(">")
+                    rows.append((int(own) if own else None, fields["WARC-Target-URI"], fields["WARC-Type"], int(refers[1]) if refers else None, size,
                                  fields["WARC-Payload-Digest"].removeprefix("sha1:"), payload.decode() if stored else None))
             columns = list(zip(*rows)) if rows else [[]] * 7
             kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]

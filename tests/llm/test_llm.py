@@ -378,3 +378,24 @@ def test_pipeline_stages(spark, tmp_path, docs):
     texts = {i: WORD.findall(t or "") for i, t, *_ in documents()}
     assert got and 30 not in got and not got & {0, 1, 2, 3, 4, 12} and len(got & {7, 8, 9, 10}) <= 1
     assert all(len(texts[i]) >= 10 for i in got)
+
+
+def test_warc_keeps_negative_and_missing_ids_apart(spark, tmp_path):
+    rows = [(-1, "https://a.example/x", "<p>one</p>"), (None, "https://a.example/x", "<p>two</p>"), (-2 ** 63, "https://a.example/y", "<p>three</p>"), (0, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {(r.page_id, r.payload_bytes) for r in warc.op3_warc(spark, str(tmp_path)).collect()}
+    assert got == {(i, len(h or "")) for i, _, h in rows}
+
+
+def test_keep_one_leaves_columns_as_they_are(spark):
+    same = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, same, 7, "a"), (2, same, 8, "b"), (3, "other words are here", 9, "c")], "doc_id long, text string, row_ int, kept_ string")
+    kept = near_join.keep_one(docs)
+    assert kept.schema == docs.schema
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, same, 7, "a"), (3, "other words are here", 9, "c")]
+
+
+def test_shards_take_the_place_of_their_names(docs):
+    out = sharding.interleaved(docs)
+    assert out.columns == [*(c for c in docs.columns if c != "shard"), "shard", "slot"]
+    assert out.count() == docs.count()
