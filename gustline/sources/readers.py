@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +22,7 @@ WEATHER_SCHEMA = T.StructType([
     T.StructField("wind_speed", T.DoubleType()), T.StructField("wind_direction", T.DoubleType()),
     T.StructField("temperature", T.DoubleType()),
 ])
+PIECE = 8 << 20
 FORMATS = {"csv": {"header": True}, "json": {"multiLine": True}, "parquet": {}}
 
 
@@ -127,15 +133,47 @@ def load_processed(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.parquet(path)
 
 
-def file_manifest(spark: SparkSession, paths: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Size, SHA-256, rows, first and last timestamp of each file.
+def _opened(uri: str):
+    """Arrow's file system for a path as Spark lists it, and the path in it."""
+    if uri.startswith("file:/"):
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", uri)
+    return fs.FileSystem.from_uri(quote(uri, safe=":/@%"))
+
+
+def file_digests(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file_name, size_bytes, sha256) of each file, one file a row.
 
-    Files are hashed by the tasks that read them; a single file must stay below the 2 GB limit of the
-    binary reader.
+    Spark lists the files without reading them; a task then feeds a file to the hasher piece by piece, so its size does not matter. In a store that only
+    Spark's own readers reach a file is read as one value instead, which ends at 2 GB.
     """
+    listed = spark.read.format("binaryFile").load(list(paths))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    hashes = spark.read.format("binaryFile").load(list(paths)).select(
-        name.alias("file_name"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    files = listed.select("path", name.alias("file_name"), F.col("length").alias("size_bytes"))
+    some = files.select("path").first()
+    try:
+        if some:
+            _opened(some.path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return listed.select(name.alias("file_name"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for path in batch.column(0).to_pylist():
+                store, own = _opened(path)
+                digest = hashlib.sha256()
+                with store.open_input_stream(own, compression=None) as stream:
+                    while piece := stream.read(PIECE):
+                        digest.update(piece)
+                sums.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sums, pa.string())], ["file_name", "size_bytes", "sha256"])
+
+    return files.repartition(min(10_000, max(1, files.count())), "path").mapInArrow(run, "file_name string, size_bytes long, sha256 string")
+
+
+def file_manifest(spark: SparkSession, paths: Sequence[str], ts: str = "ts") -> DataFrame:
+    """Size, SHA-256, rows, first and last timestamp of each file."""
+    hashes = file_digests(spark, paths)
     return hashes.join(file_coverage(spark, paths, ts), "file_name", "left")
 
 

@@ -110,3 +110,21 @@ def test_targets_name_one_horizon(spark):
     rows = spark.createDataFrame([("a_target_1hour", "1hour"), ("b_target_1hour", "1hour"), ("b_target_1hour", "6hour")],
                                  "target string, horizon string")
     assert {r.target: r.status for r in Q.target_horizons(rows).collect()} == {"a_target_1hour": "PASS", "b_target_1hour": "FAIL"}
+
+
+def test_digest_of_a_large_file_is_fed_in_pieces(spark, tmp_path):
+    """3 GB, more than a binary value holds; the file is sparse, so it takes no room."""
+    import hashlib
+
+    large, small = tmp_path / "large.bin", tmp_path / "small file.bin"
+    with open(large, "wb") as f:
+        f.truncate(3 << 30)
+        f.seek((3 << 30) - 3)
+        f.write(b"end")
+    small.write_bytes(b"few bytes")
+    want, zeros = hashlib.sha256(), bytes(1 << 20)
+    for _ in range((3 << 10) - 1):
+        want.update(zeros)
+    want.update(zeros[:-3] + b"end")
+    got = {r.file_name: (r.size_bytes, r.sha256) for r in A.file_digests(spark, [str(tmp_path)]).collect()}
+    assert got == {"large.bin": (3 << 30, want.hexdigest()), "small file.bin": (9, hashlib.sha256(b"few bytes").hexdigest())}
