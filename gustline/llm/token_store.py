@@ -31,6 +31,7 @@ from gustline.session import shared_dir, write_stage
 
 END_ID, SHARD_IDS, LEAST, ROUNDS, PAIRS, STRIDE, BITS = 0, 2_000_000, 32, 4, 2048, 1024, 20
 LETTER, DIGIT, OTHER, SPACE = range(4)
+STRETCH = 1 << 20  # bytes of atoms encoded together
 _LOADED: dict = {}
 
 
@@ -62,7 +63,7 @@ class Coder:
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the pieces data[at[i]:at[i + 1]] in some order, and first id and number of ids of each piece."""
-        piece = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        piece = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
         lead = (data & 0xE0) == 0xC0
         cp = data.astype(np.int32)
         where = np.flatnonzero(lead)
@@ -88,23 +89,27 @@ class Coder:
         starts = np.flatnonzero(begins | (first & ~own[piece]))
         ends = np.append(starts[1:], len(data))
         ends = np.minimum(ends, at[1:][piece[starts]])
-        atoms = np.stack([starts, ends])
-        order = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(np.cumsum(ends - starts) - (ends - starts), (ends - starts).sum()).astype(np.int64)),
-                                                 pa.py_buffer(np.ascontiguousarray(data[~own[piece]]))]).dictionary_encode()
+        edges = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        order = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data[~own[piece]]))]).dictionary_encode()
         flat, to = utf8_of(order.dictionary)
-        last, _ = self.grammar.last_tokens(flat, to[:-1], to[1:])
-        token = np.full(len(flat), -1, np.int64)
-        open_, limit = to[1:].copy(), to[:-1]
-        while len(open_):  # walk back from the end of each atom, one token at a time
-            t = last[open_ - 1]
-            open_ = open_ - self.sizes[t]
-            token[open_] = t
-            more = open_ > limit
-            open_, limit = open_[more], limit[more]
+        token = np.full(len(flat), -1, np.int32)
+        low = 0
+        while low < len(to) - 1:  # in stretches, so that memory does not follow the number of atoms
+            high = max(low + 1, int(np.searchsorted(to, to[low] + STRETCH, side="right")) - 1)
+            begin, end = to[low:high] - to[low], to[low + 1 : high + 1] - to[low]
+            last, _ = self.grammar.last_tokens(flat[to[low] : to[high]], begin, end)
+            open_, limit = end, begin
+            while len(open_):  # walk back from the end of each atom, one token at a time
+                t = last[open_ - 1]
+                open_ = open_ - self.sizes[t]
+                token[to[low] + open_] = t
+                more = open_ > limit
+                open_, limit = open_[more], limit[more]
+            low = high
         ids = token[token >= 0]
         edges = np.concatenate([[0], np.cumsum(token >= 0)])[to]
         out, rows = spread(ids, edges[:-1], np.diff(edges), order.indices.to_numpy().astype(np.int64))
-        per_piece = np.bincount(piece[atoms[0]], weights=np.diff(rows), minlength=len(at) - 1).astype(np.int64)
+        per_piece = np.bincount(piece[starts], weights=np.diff(rows), minlength=len(at) - 1).astype(np.int64)
         begin = np.cumsum(per_piece) - per_piece
         rest = np.flatnonzero(own)
         if len(rest):
