@@ -398,41 +398,6 @@ def compare_linear(rows: DataFrame, blocks: dict[str, Sequence[str] | dict[str,
     ).withColumn("nmae_pct", F.col("mae") / rated_power(F.col("series_id"), settings) * 100)
 
 
-def fair_experiment(rows: DataFrame, blocks: dict[str, Sequence[str]], presets: dict[str, TreePreset],
-                    base: str = "power", seed: int = 42, parallel: int = 8) -> DataFrame:
-    """Persistence, ridge and the tree learners of one target on each feature list.
-
-    Every cell is trained and scored on the rows complete in all lists together.
-    """
-    everything = list(dict.fromkeys(f for block in blocks.values() for f in block))
-    complete = training_frame(rows, [*everything, base], "y_true").persist()
-    train, test = complete.where("split = 'train'"), complete.where("split = 'test'")
-    keyed = complete.withColumn("horizon", F.lit(""))
-
-    def run(cell):
-        block, name, preset = cell
-        features = blocks[block]
-        if name == "persistence":
-            scored = test.withColumn("prediction", F.col(base))
-        elif name == "ridge":
-            fits = fit_linear(keyed.where("split = 'train'"), features, 1.0)
-            scored = predict_linear(keyed.where("split = 'test'"), fits, features, "prediction")
-        else:
-            scored = predict_tree(fit_tree(train, features, preset, "y_true", seed), test, features)
-        s = fit_scores(scored).first()
-        return block, len(features), name, s.mae, s.rmse, s.r2, s.n_samples
-
-    cells = [(b, name, preset) for b in blocks
-             for name, preset in {"persistence": None, "ridge": None, **presets}.items()]
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            done = list(pool.map(run, cells))
-    finally:
-        complete.unpersist()
-    return rows.sparkSession.createDataFrame(
-        done, "feature_set string, n_features int, model string, mae double, rmse double, r2 double, n_samples long")
-
-
 def ablation_blocks(features: Sequence[str]) -> dict[str, list[str]]:
     """The full feature list and the same without one kind of feature."""
     kinds = {

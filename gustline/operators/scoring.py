@@ -11,6 +11,9 @@ from gustline.functions.joins import attach
 from gustline.functions.quantiles import exact_quantiles
 from gustline.settings import FARM_SERIES
 
+# How far RMSE may rise and R2 fall against the stored scores.
+RMSE_FACTOR, R2_FACTOR = 1.15, 0.90
+
 GROUP = ["series_id", "horizon", "model"]
 LEVELS = (0.5, 0.8, 0.9, 0.95, 0.99)
 MASK_COLUMNS = ("observed_target", "target_imputed", "official_cutoff", "prediction_available", "feature_available")
@@ -272,6 +275,19 @@ def farm_bias(predictions: DataFrame, model: str) -> DataFrame:
     )
 
 
+# ---- regression gate
+
+def regression_gate(current: DataFrame, stored: DataFrame, keys: Sequence[str] = ("series_id", "horizon"),
+                    rmse_factor: float = RMSE_FACTOR, r2_factor: float = R2_FACTOR) -> DataFrame:
+    """(keys, rmse, stored_rmse, r2, stored_r2, status) of every target scored now: FAIL where RMSE rose or R2 fell beyond the factor of what is stored,
+    NEW for a target that is not stored. Stored targets that are no longer scored are GONE.
+    """
+    old = stored.select(*keys, F.col("rmse").alias("stored_rmse"), F.col("r2").alias("stored_r2"))
+    both = current.select(*keys, "rmse", "r2").join(old, list(keys), "full")
+    worse = (F.col("rmse") > F.col("stored_rmse") * rmse_factor) | (F.col("r2") < F.col("stored_r2") * r2_factor)
+    return both.withColumn("status", F.when(F.col("rmse").isNull(), "GONE").when(F.col("stored_rmse").isNull(), "NEW").when(worse, "FAIL").otherwise("PASS"))
+
+
 # ---- interval coverage
 
 def coverage(official: DataFrame, levels: Sequence[float] = LEVELS) -> DataFrame:

@@ -310,6 +310,11 @@ def tested(spark, sf, model):
     return stage(spark, sf, f"tested_{model}", build)
 
 
+@query("g4_forests_of_all")
+def g4_all(spark, sf):
+    return tested(spark, sf, "random_forest")
+
+
 @query("g5_boosting_a")
 def g5(spark, sf):
     return tested(spark, sf, "gbt_a")
@@ -492,6 +497,12 @@ def h8_small(spark, sf):
     return rounded(H.registry(I.metrics(all_official(spark, sf, small_predictions(spark, sf))), [*LEARNED, *SMALL]))
 
 
+@query("i9_gate_of_trees")
+def i9_trees(spark, sf):
+    """Test scores of the second boosted learner against those of the first, target by target."""
+    return I.regression_gate(tested(spark, sf, "gbt_b"), tested(spark, sf, "gbt_a"))
+
+
 @query("h9_champions_beside_trees")
 def h9_trees(spark, sf):
     """The champion over all models, persistence included, with the best learned one beside it."""

@@ -268,6 +268,19 @@ def i1(spark, sf):
     return rounded(metrics(spark, sf))
 
 
+@query("i9_regression_gate", """
+WITH now AS (SELECT series_id, horizon, rmse, r2 FROM t_metrics WHERE model = 'linear_wind' AND horizon <> '24hour'),
+old AS (SELECT series_id, horizon, rmse AS stored_rmse, r2 AS stored_r2 FROM t_metrics WHERE model = 'linear_roll' AND horizon <> '10min')
+SELECT series_id, horizon, round(rmse, 4) AS rmse, round(stored_rmse, 4) AS stored_rmse, round(r2, 4) AS r2, round(stored_r2, 4) AS stored_r2,
+  CASE WHEN rmse IS NULL THEN 'GONE' WHEN stored_rmse IS NULL THEN 'NEW' WHEN rmse > stored_rmse * 1.15::DOUBLE OR r2 < stored_r2 * 0.9::DOUBLE THEN 'FAIL'
+    ELSE 'PASS' END AS status FROM now FULL JOIN old USING (series_id, horizon)""")
+def i9_gate(spark, sf):
+    """Scores of one model against the stored ones of the model it would replace; each lacks a horizon of the other."""
+    table = metrics(spark, sf)
+    now = table.where("model = 'linear_wind' AND horizon <> '24hour'")
+    return rounded(I.regression_gate(now, table.where("model = 'linear_roll' AND horizon <> '10min'")))
+
+
 @query("i2_rated_power", "SELECT DISTINCT series_id, rated FROM t_pred")
 def i2(spark, sf):
     return predictions(spark, sf).select("series_id", "rated").distinct()

@@ -32,7 +32,7 @@ def with_ctes(body: str) -> str:
 
 
 cte("t_raw", """
-SELECT 'TB' || lpad(CAST(user_id // 30 + 1 AS VARCHAR), 5, '0') AS turbine_id,
+SELECT printf('TB%05d', user_id // 30 + 1) AS turbine_id,
        time_bucket(INTERVAL '10 minutes', ts) AS ts,
        event_id % 2 AS reading_no,
        CAST(sum(c) FILTER (event_type IN ('view', 'click', 'signup'))

@@ -30,7 +30,7 @@ def settings_for(spark: SparkSession, sf_dir: str) -> FarmSettings:
 
 
 def turbine_name() -> Column:
-    return F.concat(F.lit("TB"), F.lpad(F.expr("user_id div 30 + 1").cast("string"), 5, "0"))
+    return F.format_string("TB%05d", F.expr("user_id div 30 + 1"))  # five digits at least, more where needed
 
 
 def stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_farm(df: DataFrame) -> DataFrame:
     """Twelve turbines make one farm: add its number and the turbine's place in it (`TB01` to `TB12`)."""
-    number = F.substring("turbine_id", 3, 5).cast("long") - 1
+    number = F.substring("turbine_id", 3, 20).cast("long") - 1
     place = F.concat(F.lit("TB"), F.lpad((number % 12 + 1).cast("string"), 2, "0"))
     return df.withColumns({"farm_no": F.floor(number / F.lit(12)), "place": place})
 
