@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,6 +115,7 @@ def isolation_scores(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
 # ---- turbine diagnostic
 
 PROFILE_KEYS = ("turbine_id", "split")
+NO_SPREAD = 1e-12  # share of the squares below which a column counts as constant
 
 
 def turbine_profile(df: DataFrame, settings: FarmSettings = DEFAULTS) -> DataFrame:
@@ -140,22 +142,60 @@ def effective_samples(rows: DataFrame) -> DataFrame:
         F.count("y_true").alias("effective_samples"), F.count_if(F.col("y_true").isNull()).alias("invalid_targets"))
 
 
+PAIR_SUMS = ("n", "x", "y", "xx", "yy", "xy")
+
+
+def _pair_sums(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Sums over the slots where both x of one turbine and y of another are known, for all pairs of columns."""
+    kx, ky = (~np.isnan(x)).astype(float), (~np.isnan(y)).astype(float)
+    x, y = np.nan_to_num(x), np.nan_to_num(y)
+    return [kx.T @ ky, x.T @ ky, kx.T @ y, (x * x).T @ ky, kx.T @ (y * y), x.T @ y]
+
+
 def neighbour_correlations(df: DataFrame) -> DataFrame:
     """Power and wind correlation of every turbine with each other one of its farm, per split, on shared slots.
 
-    `df` has farm_no. A slot of a farm holds at most one row per turbine, so each row meets as many others as a farm has
-    places, however many farms there are. Wind is compared where the turbine's own power is known too.
+    `df` has farm_no. The turbines of a slot are brought together once; each task then adds up products of all pairs of a farm as matrices, so a row is read once and only
+    sums by pair are shuffled. Wind is compared where the turbine's own power is known too.
     """
-    names = ("turbine_id", "power", "wind_speed")
-    own = df.select("farm_no", "ts", "split", *names)
-    other = df.select("farm_no", "ts", *[F.col(c).alias(f"_{c}") for c in names])
-    both = own.join(other, ["farm_no", "ts"]).where(F.col("turbine_id") != F.col("_turbine_id"))
-    shared = F.when(F.col("power").isNotNull() & F.col("_power").isNotNull(), F.lit(1))
-    known = both.withColumn("_own_wind", F.when(F.col("power").isNotNull(), F.col("wind_speed")))
-    out = known.groupBy(*PROFILE_KEYS, F.col("_turbine_id").alias("other_id")).agg(
-        F.count(shared).alias("n_shared"), correlation("power", "_power").alias("power_corr"),
-        correlation("_own_wind", "_wind_speed").alias("wind_corr"), F.avg("_power").alias("mean_power"))
-    return out.where(F.col("n_shared") > 10)
+    slots = df.groupBy("farm_no", "ts", "split").agg(F.collect_list(F.struct(
+        "turbine_id", F.col("power").cast("double").alias("power"), F.col("wind_speed").cast("double").alias("wind_speed"))).alias("t"))
+    names = [f"{kind}_{c}" for kind in ("p", "w") for c in PAIR_SUMS] + ["m", "s"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = batch.column(2)
+            slot = np.repeat(np.arange(batch.num_rows), each.value_lengths().to_numpy())
+            flat = each.flatten()
+            turbine = flat.field("turbine_id").dictionary_encode()
+            power, wind = (flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("power", "wind_speed"))
+            code, ids = turbine.indices.to_numpy(), turbine.dictionary.to_pylist()
+            group = np.unique(np.stack([batch.column(0).to_numpy(), batch.column(1).dictionary_encode().indices.to_numpy()]), axis=1, return_inverse=True)[1].ravel()
+            for g in np.unique(group):
+                inside = group[slot] == g
+                own, at = np.unique(code[inside], return_inverse=True)
+                rows, row = np.unique(slot[inside], return_inverse=True)
+                p, w, there = (np.full((len(rows), len(own)), np.nan) for _ in range(3))
+                p[row, at], w[row, at], there[row, at] = power[inside], wind[inside], 1.0
+                sums = [*_pair_sums(p, p), *_pair_sums(np.where(np.isnan(p), np.nan, w), w)]
+                here = np.nan_to_num(there)
+                sums += [here.T @ (~np.isnan(p)).astype(float), here.T @ np.nan_to_num(p)]
+                i, j = np.nonzero(~np.eye(len(own), dtype=bool))
+                split = batch.column(1)[int(rows[0])].as_py()
+                yield pa.RecordBatch.from_arrays([pa.array([ids[own[k]] for k in i], pa.string()), pa.array([split] * len(i), pa.string()),
+                                                  pa.array([ids[own[k]] for k in j], pa.string()), *(pa.array(s[i, j]) for s in sums)], ["turbine_id", "split", "other_id", *names])
+
+    schema = "turbine_id string, split string, other_id string, " + ", ".join(f"{c} double" for c in names)
+    total = slots.select("farm_no", "split", "t").mapInArrow(run, schema).groupBy(*PROFILE_KEYS, "other_id").agg(*[F.sum(c).alias(c) for c in names])
+
+    def corr(kind: str) -> Column:
+        n, x, y, xx, yy, xy = (F.col(f"{kind}_{c}") for c in PAIR_SUMS)
+        vx, vy = xx - F.try_divide(x * x, n), yy - F.try_divide(y * y, n)
+        return F.when((vx > xx * NO_SPREAD) & (vy > yy * NO_SPREAD), (xy - x * y / n) / F.sqrt(vx * vy))
+
+    return total.where(F.col("p_n") > 10).select(
+        *PROFILE_KEYS, "other_id", F.col("p_n").cast("long").alias("n_shared"), corr("p").alias("power_corr"), corr("w").alias("wind_corr"),
+        F.try_divide("s", "m").alias("mean_power"))
 
 
 def turbine_findings(profile: DataFrame, correlations: DataFrame, metrics: DataFrame) -> DataFrame:
