@@ -31,7 +31,7 @@ from gustline.session import shared_dir, write_stage
 
 END_ID, SHARD_IDS, LEAST, ROUNDS, PAIRS, STRIDE, BITS = 0, 2_000_000, 32, 4, 2048, 1024, 20
 LETTER, DIGIT, OTHER, SPACE = range(4)
-STRETCH = 1 << 20  # bytes of atoms encoded together
+STRETCH, SLICE_BYTES = 1 << 18, 8 << 20  # bytes of atoms, and of texts, encoded together
 _LOADED: dict = {}
 
 
@@ -282,7 +282,7 @@ def write_tokens(docs: DataFrame, path: str, shard_ids: int = SHARD_IDS) -> Data
             return row
 
         for batch in batches:
-            for some in slices(batch, "text", 16 << 20):
+            for some in slices(batch, "text", SLICE_BYTES):
                 ids, rows = encode(some.column(1), path)
                 n = np.diff(rows) + 1
                 edges = np.concatenate([[0], np.cumsum(n)])
