@@ -153,7 +153,7 @@ isolation_sql()
 
 
 @query("j7_isolation_forest", """
-SELECT farm_no, ts, round(score, 9) AS isolation_score, CAST(score > (SELECT quantile_cont(score, 0.95) FROM iso_scores) AS INTEGER) AS isolation_anomaly
+SELECT farm_no, ts, round(score, 9) AS isolation_score, CAST(round(score, 9) > (SELECT round(quantile_cont(score, 0.95), 9) FROM iso_scores) AS INTEGER) AS isolation_anomaly
 FROM iso_scores""")
 def j7(spark, sf):
     """On the wind readings of the first three turbines of each farm, side by side."""
