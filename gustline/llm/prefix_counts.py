@@ -31,7 +31,7 @@ from gustline.llm.text import GAP, bounded_batches, mix, slices, utf8
 from gustline.session import write_stage
 
 BLOCK, LIMIT, SLICE_BYTES = 4096, 1024, 8 << 20
-MEMO_BITS, MOST_PIECES = 20, 1_000_000
+MEMO_BITS, MOST_PIECES, TOGETHER = 20, 1_000_000, 32_768
 OPTIONS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
 STORED = "n_bytes long, n_chars long, n_tokens long, marks array<bigint>, least array<bigint>, steps array<binary>"
 # Contractions that the tokenizer's splitting takes as pieces of three characters.
@@ -283,8 +283,8 @@ class Grammar:
         if len(self.seen) + len(words) > MOST_PIECES:
             self.forget()
         fresh = [w for w in words if w not in self.seen]
-        if fresh:
-            self.learn(fresh)
+        for low in range(0, len(fresh), TOGETHER):  # so that memory does not follow the number of new pieces
+            self.learn(fresh[low : low + TOGETHER])
         index = np.fromiter((self.seen[w] for w in words), np.int64, len(words))[codes.indices.to_numpy()]
         n = self.length[index]
         edges = np.concatenate([[0], np.cumsum(n)])
