@@ -141,24 +141,22 @@ class Grammar:
 
     def last_tokens(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Last token and number of tokens of the prefix that ends with each byte, for all spans of bytes at once."""
-        count, last = np.zeros(len(data), np.int64), np.zeros(len(data), np.int64)
-        begin, end = np.repeat(starts, ends - starts), np.repeat(ends, ends - starts)
-        origin = np.arange(len(data))
+        count, last = np.zeros(len(data), np.int32), np.zeros(len(data), np.int64)
+        begin, end = np.repeat(starts.astype(np.int32), ends - starts), np.repeat(ends.astype(np.int32), ends - starts)
+        origin, length = np.arange(len(data), dtype=np.int32), 0
         node, found = np.zeros(len(data), np.int32), []
-        at = origin
         while len(origin):  # all tokens that start at each byte, one byte longer each time
-            node = self.child[self.row[node], data[at]]
-            alive = node >= 0
-            origin, at, node = origin[alive], at[alive], node[alive]
-            hit = self.token[node] >= 0
-            found.append((origin[hit], at[hit], self.token[node[hit]]))
-            on = (self.row[node] >= 0) & (at + 1 < end[at])
-            origin, at, node = origin[on], at[on] + 1, node[on]
+            node = self.child[self.row[node], data[origin + length]]
+            token = self.token[node]  # of -1, no node, not used
+            hit = (node >= 0) & (token >= 0)
+            found.append((origin[hit], origin[hit] + np.int32(length), token[hit]))
+            on = np.flatnonzero((node >= 0) & (self.row[node] >= 0) & (origin + (length + 1) < end[origin]))
+            origin, node, length = origin[on], node[on], length + 1
         if not found:
             return last, count
         origin, at, token = (np.concatenate(parts) for parts in zip(*found, strict=True))
         size = at - begin[at]
-        order = np.argsort(size, kind="stable")
+        order = np.argsort(size.astype(np.uint16) if len(size) and size.max() < 1 << 16 else size, kind="stable")  # 16 bits are sorted by counting
         edges = np.flatnonzero(np.diff(size[order], prepend=-1, append=-1))
         for low, high in zip(edges, edges[1:]):  # by length of the prefix
             some = order[low:high]

@@ -31,7 +31,7 @@ from gustline.session import shared_dir, write_stage
 
 END_ID, SHARD_IDS, LEAST, ROUNDS, PAIRS, STRIDE, BITS = 0, 2_000_000, 32, 4, 2048, 1024, 20
 LETTER, DIGIT, OTHER, SPACE = range(4)
-STRETCH, SLICE_BYTES = 1 << 18, 8 << 20  # bytes of atoms, and of texts, encoded together
+SLICE_BYTES, TOGETHER, MOST_ATOMS = 8 << 20, 32_768, 600_000  # bytes of texts and new atoms encoded together; atoms kept
 _LOADED: dict = {}
 
 
@@ -60,6 +60,46 @@ class Coder:
             sizes[i] = len(text)
         self.sizes = sizes
         self.marks = [m.encode() for m in self.grammar.special]
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the atoms met so far; they only save time."""
+        self.seen: dict[bytes, int] = {}
+        self.ids, self.first, self.length, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+
+    def numbers(self, atoms: pa.LargeBinaryArray) -> np.ndarray:
+        """Number of each atom among those met so far; new ones are encoded first, some at a time, so that memory does not follow their number."""
+        words = atoms.to_pylist()
+        if len(self.seen) + len(words) > MOST_ATOMS:
+            self.forget()
+        fresh = [w for w in words if w not in self.seen]
+        for low in range(0, len(fresh), TOGETHER):
+            self.learn(fresh[low : low + TOGETHER])
+        return np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words))
+
+    def learn(self, words: list[bytes]) -> None:
+        data = np.frombuffer(b"".join(words), np.uint8)
+        to = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
+        last, _ = self.grammar.last_tokens(data, to[:-1], to[1:])
+        token = np.full(len(data), -1, np.int32)
+        open_, limit = to[1:], to[:-1]
+        while len(open_):  # walk back from the end of each atom, one token at a time
+            t = last[open_ - 1]
+            open_ = open_ - self.sizes[t]
+            token[open_] = t
+            more = open_ > limit
+            open_, limit = open_[more], limit[more]
+        ids = token[token >= 0]
+        edges = np.concatenate([[0], np.cumsum(token >= 0)])[to]
+        known = len(self.seen)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while known + len(words) > len(self.first):
+            self.first, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.first[known : known + len(words)], self.length[known : known + len(words)] = self.used + edges[:-1], np.diff(edges)
+        self.seen.update(zip(words, range(known, known + len(words)), strict=True))
+        self.used += len(ids)
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the pieces data[at[i]:at[i + 1]] in some order, and first id and number of ids of each piece."""
@@ -91,24 +131,8 @@ class Coder:
         ends = np.minimum(ends, at[1:][piece[starts]])
         edges = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
         order = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data[~own[piece]]))]).dictionary_encode()
-        flat, to = utf8_of(order.dictionary)
-        token = np.full(len(flat), -1, np.int32)
-        low = 0
-        while low < len(to) - 1:  # in stretches, so that memory does not follow the number of atoms
-            high = max(low + 1, int(np.searchsorted(to, to[low] + STRETCH, side="right")) - 1)
-            begin, end = to[low:high] - to[low], to[low + 1 : high + 1] - to[low]
-            last, _ = self.grammar.last_tokens(flat[to[low] : to[high]], begin, end)
-            open_, limit = end, begin
-            while len(open_):  # walk back from the end of each atom, one token at a time
-                t = last[open_ - 1]
-                open_ = open_ - self.sizes[t]
-                token[to[low] + open_] = t
-                more = open_ > limit
-                open_, limit = open_[more], limit[more]
-            low = high
-        ids = token[token >= 0]
-        edges = np.concatenate([[0], np.cumsum(token >= 0)])[to]
-        out, rows = spread(ids, edges[:-1], np.diff(edges), order.indices.to_numpy().astype(np.int64))
+        number = self.numbers(order.dictionary)
+        out, rows = spread(self.ids, self.first, self.length, number[order.indices.to_numpy()])
         per_piece = np.bincount(piece[starts], weights=np.diff(rows), minlength=len(at) - 1).astype(np.int64)
         begin = np.cumsum(per_piece) - per_piece
         rest = np.flatnonzero(own)
