@@ -143,35 +143,88 @@ def test_templates_find_reparameterised_items(spark, docs, empty):
     assert decontaminate.contaminated(table, bench.limit(0)).count() == 0 and decontaminate.keep_clean(table, bench.limit(0)).count() == 7
 
 
-def test_slots_must_agree():
-    index = decontaminate.Index([1], ["then Alice gives 5 green pears to her friend and then Alice walks home with 2 bags"])
-    find = lambda t: dict(index.find(pa.array([t])))
+def finder(spark, ids: list[int], items: list[str]):
+    """The items found in one text, with their windows."""
+    bench = spark.createDataFrame(list(zip(ids, items)), "item_id long, text string")
+
+    def find(*texts: str) -> dict:
+        table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        return {i: r["n_windows"] for r in decontaminate.contaminated(table, bench).collect() for i in r["item_ids"]}
+
+    return find
+
+
+def test_slots_must_agree(spark):
+    find = finder(spark, [1], ["then Alice gives 5 green pears to her friend and then Alice walks home with 2 bags"])
     assert find("then Bob gives 7 green pears to her friend and then Bob walks home with 9 bags")
     assert not find("then Bob gives 7 green pears to her friend and then Carol walks home with 9 bags")
 
 
-def test_one_changed_slot_does_not_clear_a_copy():
+def test_one_changed_slot_does_not_clear_a_copy(spark):
     rng = random.Random(9)
     words = [w if k % 9 else "Alice" for k, w in enumerate(sentence(rng, 200, "q").replace("q", "plain").split())]
-    index = decontaminate.Index([1], [" ".join(["So", *words])])
+    find = finder(spark, [1], [" ".join(["So", *words])])
     for value in ("Alice", "Bob"):
         doc = ["So", *(value if w == "Alice" else w for w in words)]
         doc[100] = "Carol"
-        assert doc.count(value) >= 20 and dict(index.find(pa.array([" ".join(doc)])))
+        assert doc.count(value) >= 20 and find(" ".join(doc))
     rest = ["So", *("Bob" if w == "Alice" else f"else{k}" for k, w in enumerate(words))]
-    assert not dict(index.find(pa.array([" ".join(rest)])))
+    assert not find(" ".join(rest))
 
 
-def test_items_of_slots_and_repeated_items_are_found():
+def test_items_of_slots_and_repeated_items_are_found(spark):
     dense = "So Alice 12 Bob 15 Carol 18 Dave 21 and Erin 24"
-    index = decontaminate.Index([1, 2, 2], [dense, *["then add the four small numbers up again now"] * 2])
-    find = lambda t: dict(index.find(pa.array([t]))).get(0, {})
+    find = finder(spark, [1, 2, 2], [dense, *["then add the four small numbers up again now"] * 2])
     assert find("words before it. " + dense + " and after") == {1: 5}
     assert find("words said before So Alice" + dense[8:]) == {1: 5}
     assert find("well then add the four small numbers up again now please") == {2: 2}
     assert not find("So Alice 13 Bob 15 Carol 18 Dave 22 and Erin 24") and not find("12 15 18 21")
 
 
+def test_copies_are_found_whatever_their_place_and_length(spark):
+    find = finder(spark, [1, 2, 3], ["What is the capital city of the country?", "Name it, Bob", "He met Ann and Bob in Rome"])
+    assert set(find("Question 5 What is the capital city of the country? Paris")) == {1}
+    assert set(find("name it bob")) == {2} and not find("please name it, Bob") and not find("Name it")
+    assert set(find("Long ago he met Ann and Bob in Rome twice")) == {3} and not find("Long ago he met Ann and Joe in Rome twice")
+
+
+def test_windows_match_brute_force_for_any_partitioning(spark):
+    rng = random.Random(5)
+    pool = [f"w{i}" if i % 3 else "q" * (i + 1) for i in range(12)]
+    items = [" ".join(rng.choice(pool[1::3] + pool[2::3]) for _ in range(rng.randrange(5, 14))) for _ in range(12)]
+    docs = [" ".join(rng.choice(pool) for _ in range(40)) for _ in range(20)]
+    docs = [d + " " + items[k % 12] + " end" if k % 2 else d for k, d in enumerate(docs)] + ["", None]
+
+    def places(item: str, doc: str) -> int:
+        a, b = item.split(), (doc or "").split()
+        n = min(8, len(a))
+        by_shift = collections.defaultdict(set)
+        for i in range(len(a) - n + 1):
+            for j in range(len(b) - n + 1):
+                if a[i : i + n] == b[j : j + n]:
+                    by_shift[j - i].add(i)
+        return max(map(len, by_shift.values()), default=0)
+
+    want = {}
+    for k, d in enumerate(docs):
+        hits = {i: n for i, item in enumerate(items) if (n := places(item, d)) >= min(3, max(1, len(item.split()) - 7))}
+        if hits:
+            want[k] = (sorted(hits), max(hits.values()))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for parts in (1, 7):
+        table = spark.createDataFrame([(k, d) for k, d in enumerate(docs)], "doc_id long, text string").repartition(parts)
+        got = {r["doc_id"]: (r["item_ids"], r["n_windows"]) for r in decontaminate.contaminated(table, bench.repartition(parts)).collect()}
+        assert got == want and len(got) >= 10
+    nobody = spark.createDataFrame([(None, docs[1]), (None, docs[3]), (4, docs[0])], "doc_id long, text string")
+    assert decontaminate.contaminated(nobody, bench).count() == 2
+
+
+def test_full_bit_map_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "bit_map", lambda windows: np.full(1 << 10, ~np.uint64(0), np.uint64))
+    find = finder(spark, [1], ["then Alice gives 5 green pears to her friend and then Alice walks home with 2 bags"])
+    assert set(find("then Bob gives 7 green pears to her friend and then Bob walks home with 9 bags", "other words that say nothing of it at all")) == {1}
+
+
 def test_quality_features_and_bounds(spark, docs, empty):
     labels = labels_of(spark, [(i, i % 2, 0) for i in range(40)] + [(None, 1, 0), (10**6, 1, 0), (5, None, None)])
     rows = quality_rules.measured(docs)
