@@ -403,6 +403,20 @@ def test_toxicity_learns_pairs(spark, docs, empty):
     assert all(0 <= r["score"] < 0.5 for r in toxicity.scored(docs, none).collect())
 
 
+def test_toxicity_learns_pairs_of_equal_shares():
+    rng = random.Random(8)
+    texts, y = [], []
+    for _ in range(3000):
+        one, other = rng.random() < 0.5, rng.random() < 0.5
+        texts.append(sentence(rng, 30) + " insult" * one + " group" * other)
+        y.append(one != other)
+    column, y = pa.array(texts), np.array(y, float)
+    row, bucket = toxicity.terms(column)
+    sets = [np.unique(bucket[row == i]) for i in range(len(texts))]
+    machine = toxicity.Machine(sets[:2400], y[:2400], np.ones(2400))
+    assert ((machine.score(column[2400:]) >= 0.5) == y[2400:]).mean() >= 0.97
+
+
 def test_languages(spark, docs, empty):
     rng = random.Random(6)
     parts = {"aa": "ba be bi bo bu", "bb": "ka ke ki ko ku", "cc": "za ze zi zo zu"}
