@@ -119,12 +119,12 @@ def synthetic_rows(raw: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def synthetic_report(raw: DataFrame, processed: DataFrame, n_examples: int = 5) -> DataFrame:
-    """Count and share of added timestamps with the first few as examples."""
+    """Count and share of added timestamps with the first few as examples, null if none was added."""
     added = synthetic_rows(raw, processed)
     total = timestamp_union(processed).agg(F.count("*")).scalar()
     text = F.date_format("ts", "yyyy-MM-dd HH:mm")
     examples = added.orderBy("ts").limit(n_examples).agg(
-        F.array_join(F.sort_array(F.collect_list(text)), ", ")).scalar()
+        F.nullif(F.array_join(F.sort_array(F.collect_list(text)), ", "), F.lit(""))).scalar()
     return added.agg(F.count("*").alias("n_added")).select(
         "n_added", (F.col("n_added") / total).alias("ratio"), examples.alias("examples"))
 

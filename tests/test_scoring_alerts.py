@@ -228,3 +228,11 @@ def test_isolation_trees_have_full_samples(spark, n):
     df = spark.range(n).selectExpr("id", "cast(id % 97 as double) a", "cast(id % 31 as double) b")
     rows = D.isolation_sample(df, ["a", "b"], ["id"], 100, 256, 42).groupBy("tree").count().collect()
     assert len(rows) == 100 and {r["count"] for r in rows} == {min(256, n)}
+
+
+def test_no_added_slots_give_no_examples(scada):
+    whole, gappy = scada(wind_speed=[1.0] * 8), scada(wind_speed=[1.0] * 8, skip=(2, 3))
+    none = Q.synthetic_report(whole, whole).first()
+    assert (none.n_added, none.ratio, none.examples) == (0, 0.0, None)
+    some = Q.synthetic_report(gappy, whole).first()
+    assert (some.n_added, some.ratio, some.examples) == (2, 0.25, "2024-01-01 00:20, 2024-01-01 00:30")
