@@ -152,3 +152,15 @@ def test_walk_forward_makes_all_five_folds(spark, scada):
     sizes = {(r.fold, r.part): r.n for r in rows}
     assert {f for f, _ in sizes} == {1, 2, 3, 4, 5}
     assert sizes[(1, "train")] == 250 and sizes[(1, "validation")] == 120 and sizes[(5, "test")] == 120
+
+
+def test_places_meet_before_they_are_widened(spark):
+    from gustline.operators import features as E
+
+    rows = spark.createDataFrame([(0, p, f"t{p}", stamp(i), float(i), 1.0, 2.0) for p in ("TB01", "TB02") for i in range(4)],
+                                 "farm_no long, place string, turbine_id string, ts timestamp_ntz, power double, wind_speed double, temperature double")
+    wide = E.farm_scope_matrix(rows, ["TB01", "TB02"])
+    assert [(r.TB01_power, r.TB02_power) for r in wide.orderBy("ts").collect()] == [(float(i), float(i)) for i in range(4)]
+    lines = wide._jdf.queryExecution().optimizedPlan().toString(), wide._jdf.queryExecution().sparkPlan().toString()
+    plan = wide._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not [a for a, b in zip(plan, plan[1:]) if "Exchange" in a and "pivotfirst" in b]
