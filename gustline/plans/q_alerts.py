@@ -10,7 +10,7 @@ from gustline.operators import splits as S
 from gustline.operators.boosting import MODULUS, draw_sql
 from gustline.plans.q_clean import clean_frame
 from gustline.plans.q_features import bounds, series_targets
-from gustline.plans.q_scores import metrics, predictions, rounded
+from gustline.plans.q_scores import metrics, rounded, test_predictions
 from gustline.plans.registry import query
 from gustline.plans.sqlbase import cte
 from gustline.settings import SENSORS
@@ -238,7 +238,7 @@ SELECT series_id, horizon, model, tp + fn AS n_actual_events, tp + fp AS n_predi
 
 
 def turbine_predictions(spark, sf):
-    return predictions(spark, sf).where("split = 'test' and series_id <> 'farm_total_power'")
+    return test_predictions(spark, sf).where("split = 'test' and series_id <> 'farm_total_power'")
 
 
 @query("j13_ramp_accuracy", ramp_sql("y_true", "target"))
