@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gustline.operators import boosting as X
 from gustline.operators import cleaning as C
 from gustline.operators import features as E
 from gustline.plans import q_boost, q_features, q_scores, stages
@@ -42,3 +43,19 @@ def test_wide_rows_are_not_shuffled_by_slot(spark):
     matrix = E.feature_matrix(df, C.farm_frame(df), DERIVED)
     plan = matrix._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_scores_of_one_learner_grow_no_other(spark, monkeypatch):
+    small = {m: X.Boost(2, 2, average=p.average) for m, p in X.LEARNERS.items()}
+    monkeypatch.setattr(X, "LEARNERS", small)
+    monkeypatch.setattr(stages, "_PATHS", {})
+    monkeypatch.setattr(stages, "_VALUES", {})
+    grown, fit = [], X.fit
+    monkeypatch.setattr(X, "fit", lambda blocks, chains: grown.append(sorted({c.model for c in chains})) or fit(blocks, chains))
+    one = q_boost.tested(spark, SF, "gbt_b")
+    assert grown == [["gbt_b"]]
+    every = q_boost.validated(spark, SF)
+    assert grown == [["gbt_b"], ["gbt_a", "random_forest"]]
+    assert {r.model for r in every.select("model").distinct().collect()} == set(small) and every.count() == 3 * one.count()
+    chains, models, *_ = q_boost.learned(spark, SF)
+    assert len(grown) == 2 and [r.chain for r in models.select("chain").distinct().orderBy("chain").collect()] == list(range(len(chains)))
