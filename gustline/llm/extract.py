@@ -1,12 +1,13 @@
-"""Main text of web pages by document frequency of text runs and tag rules (operator 9).
+"""Main text of web pages by equivalence classes of tokens and tag rules (operator 9).
 
-Text runs are taken in the context of their path of block elements. A run found on nearly all distinct pages of its host is
-boilerplate, all other runs are slots. The slots inside the element that holds most slot text of the host, an article if
+Tokens are elements that hold text, as their path of block elements, and text runs in the context of their path; the two ends of a page are tokens too.
+Tokens of a host with equal occurrence vectors (the exclusive or of one hash per page and count, summed before the shuffle) found on half of its distinct pages
+make a class; those not found on every page must share their container too. A class is valid if its tokens come in the same order on every page, and if it is nested: each of its
+occurrences lies whole in one gap, always the same, of the class around it. Tokens out of order leave their class; a class is of two or more tokens, one of them
+an element. Valid classes, each in a gap of another, are the template of the host; text runs in them are boilerplate, all other runs are slots. The slots inside the element that holds most slot text of the host, an article if
 there is one, are the main text; menus, headers, footers, sidebars, notices, adverts, forms and comments are left out by tag and name.
-Tokens with equal occurrence vectors (the exclusive or of one hash per page and count, summed before the shuffle) are grouped, but the
-groups are not validated or nested to a template: only the frequency of their runs decides.
 
-Hosts with fewer than `pages` distinct pages have no constant text; their pages are read by structure alone.
+Hosts with fewer than `pages` distinct pages have no template; their pages are read by structure alone.
 Defined results: null and empty html give empty text; a null url is a host of its own; a page cut off anywhere is read as far
 as it goes; repeated rows get equal texts and count as one page of the host; other columns pass.
 """
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from gustline.llm.text import bounded_batches
 from gustline.session import write_stage
 
-SUPPORT, CONSTANT, PAGES = 0.5, 0.9, 5
+SUPPORT, PAGES = 0.5, 5
+BEGIN, END, ROOT = -1, -2, -1
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(script|style|noscript|template|svg|textarea|select|iframe)\b[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)([^>]*)>?|[^<]+|<", re.S | re.I)
@@ -128,17 +130,51 @@ def _code(*parts: str) -> int:
     return int(np.frombuffer(__import__("hashlib").blake2b("\x00".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), np.int64)[0])
 
 
-def tokens(html: str | None) -> Counter:
-    """(token, kind, path or '') with counts; kind 0: element, 1: text run."""
-    found: Counter = Counter()
+def tokens(html: str | None) -> Iterator[tuple[int, int, str, int]]:
+    """(token, kind, container, characters of an article) in page order; kind 0: element or end of the page, 1: text run."""
+    codes: dict[str, tuple[int, str, bool]] = {}
+    yield BEGIN, 0, "", 0
     for path, text in blocks(html):
-        found[_code(path, text), 1, container(path)] += 1
-        found[_code(path), 0, container(path)] += 1
-    return found
+        if path not in codes:
+            codes[path] = _code(path), container(path), aside(path)
+        element, place, out = codes[path]
+        yield element, 0, place, 0
+        yield _code(path, text), 1, place, 0 if out else len(text)
+    yield END, 0, "", 0
+
+
+def order(sequence: list[int], classes: list[list[int]]) -> Iterator[tuple[int, int | None, int]]:
+    """(class, token, rank) of each token of the classes on a page, and (class, None, gap) of each occurrence of a class.
+
+    The rank is the token's place among those of its class in one occurrence, the gap tells the class around it and how many tokens of that came before. A class
+    that is not ended before the one around it goes on has two gaps.
+    """
+    of = {code: c for c, own in enumerate(classes) for code in own}
+    seen, done = Counter(), Counter()
+    stack: list[list[int]] = []  # class and tokens so far of each occurrence that is not ended
+    for code in sequence:
+        c = of.get(code)
+        if c is None:
+            continue
+        size = len(classes[c])
+        yield c, code, done[c] - seen[code] * size
+        seen[code] += 1
+        if done[c] % size == 0:
+            yield c, None, stack[-1][0] * 1_000_000 + stack[-1][1] if stack else ROOT
+            stack.append([c, 0])
+        done[c] += 1
+        if all(own != c for own, _ in stack):  # cut off by the class around it
+            continue
+        while stack[-1][0] != c:
+            yield stack[-1][0], None, ROOT - 1
+            yield stack.pop()[0], None, ROOT - 2
+        stack[-1][1] += 1
+        if stack[-1][1] >= size:
+            stack.pop()
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host_, n_pages, classes, constant, main) per host: valid classes, codes of constant text runs, main containers by slot text."""
+    """(host_, main, constant, classes) per host: main container by slot text, codes of the text runs and number of the valid classes."""
     spark = pages.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,15 +182,25 @@ def templates(pages: DataFrame) -> DataFrame:
             host, code, kind, where, hashed, chars = [], [], [], [], [], []
             for h, page, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 length: Counter = Counter()
-                for path, text in blocks(html):
-                    length[_code(path, text), 1, container(path)] += 0 if aside(path) else len(text)
-                for key, n in tokens(html).items():
+                times: Counter = Counter()
+                for key, k, place, n in tokens(html):
+                    times[key, k, place] += 1
+                    length[key, k, place] += n
+                for key, n in times.items():
                     host.append(h), code.append(key[0]), kind.append(key[1]), where.append(key[2])
-                    hashed.append(_code(str(page), str(n))), chars.append(length.get(key, 0))
+                    hashed.append(_code(str(page), str(n))), chars.append(length[key])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(host, pa.string()), pa.array(code, pa.int64()), pa.array(kind, pa.int32()), pa.array(where, pa.string()),
                  pa.array(hashed, pa.int64()), pa.array(chars, pa.int64())], ["host_", "code", "kind", "place", "page", "chars"])
 
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(h, c, code, value) for h, html, classes in zip(*(batch.column(i).to_pylist() for i in range(3)))
+                    for c, code, value in set(order([t[0] for t in tokens(html)], classes))]
+            host, c, code, value = zip(*rows) if rows else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(c, pa.int32()), pa.array(code, pa.int64()), pa.array(value, pa.int64())],
+                                             ["host_", "class", "code", "value"])
+
     # one page of each group of equal pages of a host, found on hashes only
     first = pages.groupBy("host_", F.xxhash64("html").alias("page_")).agg(F.min(F.struct("page_id", "row_"))["row_"].alias("row_"))
     first = spark.read.parquet(write_stage(first, "pages"))
@@ -165,15 +211,27 @@ def templates(pages: DataFrame) -> DataFrame:
     summed = spark.read.parquet(write_stage(found.groupBy("host_", "place", "kind", "code").agg(
         F.count("*").alias("df"), F.bit_xor("page").alias("vector"), F.sum("chars").alias("chars")), "tokens"))
     known = summed.join(spark.read.parquet(write_stage(counts, "hosts")).withColumnRenamed("host_", "of_"), F.col("host_") == F.col("of_"))
-    valid = known.where((F.col("n_pages") >= PAGES) & (F.col("df") >= SUPPORT * F.col("n_pages")))
-    classes = valid.groupBy("host_", "n_pages", "df", "vector").agg(
-        F.collect_set(F.when((F.col("kind") == 1) & (F.col("df") >= CONSTANT * F.col("n_pages")), F.col("code"))).alias("runs"),
-        F.count("*").alias("size"))
-    constant = classes.groupBy("host_").agg(F.flatten(F.collect_list("runs")).alias("constant"), F.count("*").alias("classes"))
-    slots = known.where((F.col("kind") == 1) & ((F.col("n_pages") < PAGES) | (F.col("df") < CONSTANT * F.col("n_pages"))))
+    wide = known.where((F.col("n_pages") >= PAGES) & (F.col("df") >= SUPPORT * F.col("n_pages")))
+    groups = wide.groupBy("host_", "df", "vector", F.when(F.col("df") < F.col("n_pages"), F.col("place")).alias("place")).agg(
+        F.sort_array(F.collect_list("code")).alias("codes"), F.collect_set(F.when(F.col("kind") == 1, F.col("code"))).alias("runs"))
+    groups = groups.where((F.size("codes") > F.size("runs")) & (F.size("codes") > 1))
+    listed = groups.groupBy("host_").agg(F.sort_array(F.collect_list(F.struct("codes", "runs"))).alias("c"))
+    listed = spark.read.parquet(write_stage(listed.select(F.col("host_").alias("of_"), F.col("c.codes").alias("codes"), F.col("c.runs").alias("runs")), "classes"))
+    # a page of the host for each check of its classes: the shuffle holds one row per token and task
+    checked = pages.join(listed.select("of_", "codes"), F.col("host_") == F.col("of_")).select("host_", "html", "codes").mapInArrow(
+        ordered, "host_ string, class int, code long, value long")
+    same = checked.groupBy("host_", "class", "code").agg((F.min("value") == F.max("value")).alias("same"))
+    valid = same.groupBy("host_", "class").agg(
+        F.min(F.when(F.col("code").isNull(), F.col("same"))).alias("nested"), F.collect_list(F.when(F.col("same"), F.col("code"))).alias("kept"))
+    runs = valid.where("nested").join(listed, F.col("host_") == F.col("of_")).withColumn("runs", F.array_intersect("kept", F.col("runs")[F.col("class")]))
+    runs = runs.where((F.size("kept") > 1) & (F.size("kept") > F.size("runs")))
+    constant = runs.groupBy("host_").agg(F.flatten(F.collect_list("runs")).alias("constant"), F.count("*").alias("classes"))
+    constant = spark.read.parquet(write_stage(constant.withColumnRenamed("host_", "of_"), "constant"))
+    slots = known.where("kind = 1").drop("of_").join(constant, F.col("host_") == F.col("of_"), "left").where(
+        F.col("constant").isNull() | ~F.array_contains("constant", F.col("code")))
     main = slots.groupBy("host_", "place").agg(F.sum("chars").alias("chars")).groupBy("host_").agg(
         F.max(F.struct("chars", "place"))["place"].alias("main"))
-    out = main.join(constant.withColumnRenamed("host_", "of_"), F.col("host_") == F.col("of_"), "left").select("host_", "main", "constant", "classes")
+    out = main.join(constant, F.col("host_") == F.col("of_"), "left").select("host_", "main", "constant", "classes")
     return spark.read.parquet(write_stage(out, "templates"))
 
 

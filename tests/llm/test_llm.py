@@ -377,6 +377,39 @@ def test_articles_stay_whole(spark):
     assert got == {(k, f"Story {k} told.") for k in range(5)}
 
 
+def test_templates_are_ordered_and_nested_classes(spark):
+    """Blocks of a class found on part of the pages are boilerplate if they keep their order and place; repeated text without an element of its own stays."""
+    def page(k: int) -> str:
+        box = "<div class=box><h3>Join us</h3><p>Write to the editors</p></div>" if k % 5 < 3 else ""
+        duo = ["<h4>Left</h4>", "<h5>Right</h5>"][:: 1 if k % 4 else -1] if k % 5 > 1 else []
+        again = "<p>Said before</p>" if k % 10 < 7 else ""
+        return f"<body><article><h1>Head {k}</h1><p>Story {k}</p>{box}{again}<div class=duo>{''.join(duo)}</div><p>End {k}</p></article></body>"
+
+    pages = [(k, f"http://h.example/{k}", page(k)) for k in range(20)]
+    got = {r["page_id"]: r["text"] for r in extract.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for k in range(20):
+        duo = ["Left", "Right"][:: 1 if k % 4 else -1] if k % 5 > 1 else []
+        assert got[k] == " ".join([f"Head {k}", f"Story {k}", *["Said before"] * (k % 10 < 7), *duo, f"End {k}"])
+
+
+def test_order_and_gaps_of_classes():
+    classes = [[1, 2, 3], [4, 5], [6, 7]]
+
+    def checked(*sequences):
+        values = collections.defaultdict(set)
+        for sequence in sequences:
+            for c, code, value in extract.order(sequence, classes):
+                values[c, code].add(value)
+        return {key for key, own in values.items() if len(own) > 1}
+
+    assert checked([1, 4, 5, 2, 9, 3], [1, 2, 3]) == set()
+    assert checked([1, 4, 5, 2, 3], [1, 2, 4, 5, 3]) == {(1, None)}  # two gaps
+    assert checked([1, 4, 2, 5, 3]) >= {(1, None)} and not checked([1, 4, 2, 5, 3]) & {(0, None)}  # not whole in a gap
+    assert checked([1, 6, 7, 2, 3], [1, 7, 6, 2, 3]) == {(2, 6), (2, 7)}  # two orders
+    assert checked([1, 4, 5, 4, 5, 2, 3], [1, 4, 5, 2, 3]) == set()  # repeated in its gap
+    assert checked([1, 4, 6, 7, 5, 2, 3]) == set()  # a class in a class
+
+
 def test_head_and_empty_elements_end():
     read = lambda h: [t for _, t in extract.blocks(h)]
     assert read("<html><head><title>a <b>title</b></title><meta x><script>d.write('<div>no</div>')</script><body><p>yes</p>") == ["yes"]
