@@ -164,3 +164,38 @@ def test_places_meet_before_they_are_widened(spark):
     lines = wide._jdf.queryExecution().optimizedPlan().toString(), wide._jdf.queryExecution().sparkPlan().toString()
     plan = wide._jdf.queryExecution().executedPlan().toString().split("\n")
     assert not [a for a, b in zip(plan, plan[1:]) if "Exchange" in a and "pivotfirst" in b]
+
+
+def test_windows_of_all_places_equal_those_of_each(spark):
+    """Windows over the places of a farm give the features of every turbine alone, also where a place starts later, ends earlier or is absent."""
+    from gustline.operators import features as E
+
+    spans = {(0, "TB01"): (0, 400), (0, "TB02"): (30, 400), (0, "TB03"): (0, 250), (1, "TB01"): (0, 400), (1, "TB02"): (0, 90)}
+    rows = spark.createDataFrame(
+        [(farm, p, f"{p}-{farm}", stamp(i), None if i % 17 == 5 else float(i * i % 41), float(i % 13), float(i % 7) - 2.0)
+         for (farm, p), (low, high) in spans.items() for i in range(low, high)],
+        "farm_no long, place string, turbine_id string, ts timestamp_ntz, power double, wind_speed double, temperature double")
+    wide = E.farm_scope_matrix(rows, ["TB01", "TB02", "TB03"], horizons={"1hour": 6})
+    found = {(r.farm_no, r.ts): r for r in wide.collect()}
+    assert len(found) == 800
+    alone = E.window_features(rows, sensors=("power", "wind_speed", "temperature"), horizons={})
+    names = [c for c in alone.columns if c.startswith(("power", "wind_speed", "temperature"))]
+    assert all(f"{p}_{c}" in wide.columns for p in ("TB01", "TB02", "TB03") for c in names)
+    cells = 0
+    for r in alone.collect():
+        for c in names:
+            assert found[r.farm_no, r.ts][f"{r.place}_{c}"] == r[c], (r.place, c)
+            cells += r[c] is not None
+    assert cells == sum(v is not None for r in found.values() for c, v in r.asDict().items() if c.startswith("TB"))
+    total = {k: sum(v for v in (r.TB01_power, r.TB02_power, r.TB03_power) if v is not None) for k, r in found.items()}
+    for (farm, ts), r in found.items():
+        assert (r.power or 0.0) == total[farm, ts] and (r.power_target_1hour or 0.0) == total.get((farm, ts + (stamp(6) - stamp(0))), 0.0)
+
+
+def test_features_of_a_farm_are_not_shuffled(spark):
+    """Readings meet in the one shuffle; before, the features of every place were shuffled to meet and again to be joined."""
+    from gustline.operators import features as E
+
+    rows = spark.createDataFrame([], "farm_no long, place string, turbine_id string, ts timestamp_ntz, power double, wind_speed double, temperature double")
+    wide = E.farm_scope_matrix(rows, ["TB01", "TB02"])
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from gustline.operators import boosting as X
 from gustline.operators import cleaning as C
 from gustline.operators import features as E
-from gustline.plans import q_boost, q_features, q_scores, stages
+from gustline.plans import q_boost, q_features, q_models, q_scores, stages
 from gustline.plans.q_clean import clean_frame
 from gustline.settings import FARM_SERIES
 from gustline.sources.derived import DERIVED
@@ -59,3 +59,15 @@ def test_scores_of_one_learner_grow_no_other(spark, monkeypatch):
     assert {r.model for r in every.select("model").distinct().collect()} == set(small) and every.count() == 3 * one.count()
     chains, models, *_ = q_boost.learned(spark, SF)
     assert len(grown) == 2 and [r.chain for r in models.select("chain").distinct().orderBy("chain").collect()] == list(range(len(chains)))
+
+
+def test_scores_of_all_places_store_no_wide_rows(spark, monkeypatch):
+    monkeypatch.setattr(stages, "_PATHS", {})
+    monkeypatch.setattr(stages, "_VALUES", {})
+    scores = q_models.e13_wide(spark, SF)
+    assert "wide_features" not in {key[2] for key in stages._PATHS} and scores.count() > 0
+    train = q_boost.ends(spark, SF)[0]
+    held = q_models.wide_frame(spark, SF, train).where("split = 'train'")
+    whole = q_models.wide_rows(spark, SF).where("split = 'train'")
+    assert held.columns == whole.columns and held.count() == whole.count() > 0
+    assert held.exceptAll(whole).count() == 0
