@@ -260,13 +260,14 @@ def places(spark, sf):
     return value(spark, sf, "places", build)
 
 
-def wide_frame(spark, sf, upto=None):
+def wide_frame(spark, sf, train=False):
     """One row per farm and slot: features of all places, and the farm's power with its targets. Not stored: a reader of few columns has the others pruned,
-    and one of the rows before a position needs readings up to their last target only.
+    and one of the training rows needs readings up to their last target only.
     """
     own = S.add_time_index(with_farm(clean_frame(spark, sf)), bounds(spark, sf), DERIVED)
-    if upto is not None:
-        own = own.where(F.col("time_index") < upto + max(HORIZONS.values()))
+    if train:
+        low, high = bounds(spark, sf)
+        own = own.where(F.col("time_index") < F.floor((high - low + 1) * F.lit(DERIVED.train_ratio)) + max(HORIZONS.values()))
     wide = E.farm_scope_matrix(own, places(spark, sf), DERIVED, HORIZONS)
     named = wide.withColumn("series_id", F.concat(F.lit("farm_"), "farm_no")).drop("farm_no")
     return S.split_by_time(S.add_time_index(named, bounds(spark, sf), DERIVED), bounds(spark, sf), DERIVED)
@@ -296,7 +297,7 @@ def wide_scores(spark, sf, rows):
 @query("e13_scores_of_all_places")
 def e13_wide(spark, sf):
     """Scores of the features of all places for every horizon."""
-    return wide_scores(spark, sf, wide_frame(spark, sf, ends(spark, sf)[0]))
+    return wide_scores(spark, sf, wide_frame(spark, sf, train=True))
 
 
 @query("e13_scores_of_places_facts", """
@@ -313,7 +314,7 @@ SELECT horizon, place || '_power' AS feature, count(*) AS n, round(corr(power, y
 def e13_places(spark, sf):
     """Correlation of the power of each place with the farm's later power."""
     own = [f"{p}_power" for p in places(spark, sf)]
-    scores = L.feature_scores(wide_tiles(spark, sf, wide_frame(spark, sf, ends(spark, sf)[0]), own))
+    scores = L.feature_scores(wide_tiles(spark, sf, wide_frame(spark, sf, train=True), own))
     return scores.select("horizon", "feature", "n", F.round("r", 6).alias("r"))
 
 

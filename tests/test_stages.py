@@ -66,8 +66,12 @@ def test_scores_of_all_places_store_no_wide_rows(spark, monkeypatch):
     monkeypatch.setattr(stages, "_VALUES", {})
     scores = q_models.e13_wide(spark, SF)
     assert "wide_features" not in {key[2] for key in stages._PATHS} and scores.count() > 0
-    train = q_boost.ends(spark, SF)[0]
-    held = q_models.wide_frame(spark, SF, train).where("split = 'train'")
+    held = q_models.wide_frame(spark, SF, train=True).where("split = 'train'")
     whole = q_models.wide_rows(spark, SF).where("split = 'train'")
     assert held.columns == whole.columns and held.count() == whole.count() > 0
     assert held.exceptAll(whole).count() == 0
+
+
+def test_no_events_give_no_scores_of_places(spark, tmp_path):
+    spark.read.parquet(f"{SF}/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    assert q_models.e13_wide(spark, str(tmp_path)).collect() == [] and q_models.e13_places(spark, str(tmp_path)).collect() == []
