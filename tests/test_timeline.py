@@ -33,6 +33,16 @@ def test_chunked_windows_equal_whole_series_windows(series, span):
     assert chunked.exceptAll(whole).count() == 0
 
 
+def test_windows_take_the_wanted_number_of_tasks(series):
+    """Rows that are small when they are shuffled still go to as many tasks as asked for, with the same windows."""
+    def columns(w):
+        return {"back": F.lag("power", 9).over(w)}
+
+    few, many = (over_slots(series, ["turbine_id"], 10, 9, 5, columns, span=40, tasks=n) for n in (None, 12))
+    assert few.rdd.getNumPartitions() < 12 == many.rdd.getNumPartitions()
+    assert many.exceptAll(few).count() == 0 and many.count() == 600
+
+
 def test_slot_round_trip(spark):
     df = spark.createDataFrame([(stamp(i),) for i in range(500)], "ts timestamp_ntz")
     assert df.where(slot_start(slot_of(F.col("ts"), 10), 10) != F.col("ts")).count() == 0
